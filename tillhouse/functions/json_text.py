@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_json_array(df: DataFrame, column: str, schema: str, position: str | None = None) -> DataFrame:
+def explode_json_array(
+    df: DataFrame, column: str, fields: Mapping[str, str], position: str | None = None
+) -> DataFrame:
     """One row per element of a JSON array of objects; other columns are kept.
 
-    ``position`` names a column for the element's place in its array.
+    ``fields`` maps field names to types. Values are read as text and then cast,
+    so "11" and 11 are the same; one that does not cast is NULL. ``position``
+    names a column for the element's place in its array.
     """
     others = [c for c in df.columns if c != column]
-    items = F.from_json(F.col(column), schema)
+    texts = "array<struct<" + ",".join(f"`{name}`: string" for name in fields) + ">>"
     at = position or "_position"
-    exploded = df.select(*others, F.posexplode(items).alias(at, "_item")).select(*others, at, "_item.*")
-    return exploded if position else exploded.drop(at)
+    exploded = df.select(*others, F.posexplode(F.from_json(column, texts)).alias(at, "_item"))
+    values = [F.col(f"_item.{name}").try_cast(kind).alias(name) for name, kind in fields.items()]
+    return exploded.select(*others, *([at] if position else []), *values)
 
 
 def field(column: str, name: str, default: Column | None = None, as_type: str | None = None) -> Column:

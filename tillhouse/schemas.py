@@ -26,8 +26,14 @@ POS_STAGED = T.StructType(
     ]
 )
 
-BRANCH_JSON = "array<struct<name string, traffic_weight int>>"
-PRODUCT_JSON = "array<struct<name string, category string, base_price decimal(10,2), popularity_weight int>>"
+# Fields of the JSON arrays that master data is loaded from.
+BRANCH_JSON = {"name": "string", "traffic_weight": "int"}
+PRODUCT_JSON = {
+    "name": "string",
+    "category": "string",
+    "base_price": "decimal(10,2)",
+    "popularity_weight": "int",
+}
 
 # Domains that the source database enforces with CHECK constraints.
 LEDGER_TYPES = ["import", "sale", "adjustment"]

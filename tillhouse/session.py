@@ -24,6 +24,7 @@ def local_session(name: str = "tillhouse", cpus: int | str = "*", memory: str =
         .appName(name)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in RUNTIME_CONF.items():

@@ -418,7 +418,7 @@ class DriverTables:
         def entry(name):
             return F.concat(
                 F.lit('{"name":"'), name, F.lit('","category":"'), F.col("p_type"), F.lit('","base_price":"'), price,
-                F.lit('","popularity_weight":"'), size, F.lit('"}'),
+                F.lit('","popularity_weight":'), size, F.lit("}"),
             )
 
         named = entry(F.concat(F.col("p_name"), F.lit(" #"), key))
