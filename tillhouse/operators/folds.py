@@ -7,12 +7,18 @@ One task handles one chunk, not one key.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _chunk_of(time: str, chunk: str) -> Column:
+    """The chunk an event falls into; events without a time come before all others."""
+    return F.coalesce(F.date_trunc(chunk, F.col(time)), F.lit(dt.datetime(1, 1, 1)))
+
+
 def clamped_balance(
     events: DataFrame,
     keys: Sequence[str],
@@ -24,12 +30,12 @@ def clamped_balance(
 ) -> DataFrame:
     """Balance after each event, where every step is max(0, balance + change).
 
-    With S the running sum from the opening level, the balance equals
+    Keys must not be NULL. With S the running sum from the opening level, the balance equals
     S - min(0, lowest S so far). ``order[0]`` is the event time; ``order`` as a
     whole must be unique per key. Adds ``quantity``.
     """
     keys = list(keys)
-    chunked = events.withColumn("_chunk", F.date_trunc(chunk, F.col(order[0])))
+    chunked = events.withColumn("_chunk", _chunk_of(order[0], chunk))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = chunked.withColumn("_sum", F.sum(change).over(within)).withColumn("_low", F.min("_sum").over(within))
 
@@ -56,19 +62,21 @@ def with_previous(
     """LAG(value) over each key's history, NULL on the first event of a key.
 
     Only the first event of a chunk looks beyond it, at the last value of the
-    chunk before.
+    chunk before; those events, one per chunk, carry their chunk's last value.
     """
     keys = list(keys)
-    chunked = events.withColumn("_chunk", F.date_trunc(chunk, F.col(order[0])))
+    chunked = events.withColumn("_chunk", _chunk_of(order[0], chunk))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = chunked.withColumn("_lag", F.lag(value).over(within)).withColumn("_row", F.row_number().over(within))
-
-    lasts = local.groupBy(*keys, "_chunk").agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = (
+        chunked.withColumn("_lag", F.lag(value).over(within))
+        .withColumn("_row", F.row_number().over(within))
+        .withColumn("_last", F.last(value).over(whole))
+    )
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    carried = lasts.select(*keys, "_chunk", F.lag("_last").over(by_chunk).alias("_carry"))
-    joined = local.join(carried, [*keys, "_chunk"])
-    previous = F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col("_lag"))
-    return joined.select(*events.columns, previous.alias(name))
+    firsts = local.filter(F.col("_row") == 1).withColumn("_lag", F.lag("_last").over(by_chunk))
+    others = local.filter(F.col("_row") > 1)
+    return firsts.unionByName(others).select(*events.columns, F.col("_lag").alias(name))
 
 
 def level_changes(

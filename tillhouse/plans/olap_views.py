@@ -37,6 +37,9 @@ def top_products_branch(sales: DataFrame, dim_branch: DataFrame, dim_product: Da
     sold = sales.groupBy("branch_key", "product_key").agg(
         F.sum("quantity").alias("total_units_sold"), F.sum("net_amount").alias("total_revenue")
     )
+    # Said here rather than left to the label joins, so that both uses of the
+    # sums in the ranking have one plan and share one shuffle.
+    sold = sold.dropna(subset=["branch_key", "product_key"])
     ranked = rank_descending(sold, "total_units_sold", by=["branch_key"])
     return (
         ranked.join(_product_names(dim_product), "product_key")

@@ -52,12 +52,12 @@ def fact_sales(
     """One row per order item, the order's discount split by item value.
 
     Discount and net are each rounded once from the exact quotient; both are
-    NULL when the order total is 0. Product lookups are joined to one another
-    first, order lookups likewise, so items shuffle at most once per side.
+    NULL when the order total is 0. Joins on the product come first, one after
+    the other: where products are too many to broadcast, items are shuffled by
+    product once for all of them, and once by order.
     """
-    catalogue = products.select(F.col("id").alias("product_id"), "cost_price").join(
-        dim_product.select("product_id", "product_key"), "product_id"
-    )
+    costs = products.select(F.col("id").alias("product_id"), "cost_price")
+    product_keys = dim_product.select("product_id", "product_key")
     headers = orders.select(
         F.col("id").alias("order_id"),
         "branch_id",
@@ -67,7 +67,7 @@ def fact_sales(
     ).join(dim_branch.select("branch_id", "branch_key"), "branch_id")
 
     item = to_cents(F.col("unit_price") * F.col("quantity"))
-    joined = items.join(catalogue, "product_id").join(headers, "order_id").withColumn("_item", item)
+    joined = items.join(costs, "product_id").join(product_keys, "product_id").join(headers, "order_id").withColumn("_item", item)
     discount = share_cents(F.col("_discount"), F.col("_item"), F.col("_gross"))
     net = rounded_quotient(F.col("_item") * F.col("_gross") - F.col("_discount") * F.col("_item"), F.col("_gross"))
     return joined.select(
