@@ -257,3 +257,35 @@ def test_build_star(spark):
     assert tables["dim_branch"].count() == 25
     assert rows(tables["dim_product"].select("product_key", "product_id").orderBy("product_key").limit(2)) == [(1, 0), (2, 1)]
     assert tables["fact_sales"].count() == 6000
+
+
+def test_warehouse_loads_and_partial_reload(spark, folder):
+    from tillhouse.plans.warehouse import Warehouse
+
+    store, t = Warehouse(folder), DriverTables(spark, FOLDER)
+    store.load_dimensions(t, 1, dt.date(2026, 1, 1))
+    store.load_facts(t, 1)
+    first = rows(store.dimension(spark, "dim_product", 1))
+    store.load_dimensions(t, 2, dt.date(2026, 2, 2))
+    assert rows(store.dimension(spark, "dim_product", 2)) == first
+    sales = store.fact(spark, "fact_sales")
+    before = rows(sales.select("order_id", "product_key", "net_amount", "time_key"))
+    assert len(before) == 6000
+
+    days = (dt.date(1997, 3, 1), dt.date(1997, 3, 31))
+    store.load_facts(DriverTables(spark, FOLDER, days), 2, days)
+    assert rows(store.fact(spark, "fact_sales").select("order_id", "product_key", "net_amount", "time_key")) == before
+
+    month = store.fact(spark, "fact_sales", *days)
+    assert "PartitionFilters: [isnotnull(time_key" in month._jdf.queryExecution().executedPlan().toString()
+    day = dt.date(1997, 3, 12)
+    kept = dashboard.kpi(month, store.dimension(spark, "dim_time", 2), t.dim_branch, t.dim_product, day)
+    inline = dashboard.kpi(queries_sales(t), star.dim_time(t.order_headers), t.dim_branch, t.dim_product, day)
+    assert rows(kept) == rows(inline)
+    daily = store.fact(spark, "fact_orders_daily").agg(F.sum("total_net"), F.sum("total_orders")).first()
+    sales = store.fact(spark, "fact_sales")  # the files listed before the reload are gone
+    assert daily == sales.agg(F.sum("net_amount"), F.countDistinct("order_id")).first()
+
+
+def queries_sales(t):
+    return star.fact_sales(t.order_items, t.orders, ledger.cost_price_default(t.products), t.dim_branch, t.dim_product)

@@ -30,14 +30,28 @@ def is_email(text: Column) -> Column:
     return F.coalesce(text.rlike(rf"\A{word}@{word}\.{word}\z"), F.lit(False))
 
 
+_PAD = f"[{JS_SPACE}]*"
+_INTEGER = rf"\A{_PAD}([+-]?\d{{1,300}}|0[xX][0-9a-fA-F]+|0[oO][0-7]+|0[bB][01]+)?{_PAD}\z"
+_DECIMAL = rf"\A{_PAD}[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_PAD}\z"
+
+
+def as_number(text: Column) -> Column:
+    """The number a decimal text stands for, padded or not; NULL for any other text."""
+    return F.when(text.rlike(_DECIMAL), js_trim(text).try_cast("double"))
+
+
 def is_whole_number(text: Column) -> Column:
-    """Whether the text reads as a whole number: 7, 7.0, 7e2 or 0x1f, padded or not."""
-    t = js_trim(text)
-    plain = t.rlike(r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z")
-    number = F.when(plain, t.try_cast("double"))
+    """Whether the text reads as a whole number: 7, 7.0, 7e2, 0x1f or blank, padded
+    or not. Plain digits are decided by one pattern; only fractions and exponents
+    are worked out."""
+    number = as_number(text)
     whole = (number == F.floor(number)) & (F.abs(number) != F.lit(float("inf")))
-    radix = t.rlike(r"\A0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)\z")
-    return F.coalesce((t == "") | radix | whole, F.lit(False))
+    return F.when(text.rlike(_INTEGER), True).otherwise(F.coalesce(whole, F.lit(False)))
+
+
+def is_not_negative(text: Column) -> Column:
+    """Whether a text that reads as a number is zero or more."""
+    return F.when(text.contains("-"), as_number(text) >= 0).otherwise(True)
 
 
 def contains_any(term: str, *columns: str) -> Column:

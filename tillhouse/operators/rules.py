@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import is_email, is_whole_number, js_trim, strip_angle_brackets
+from ..functions import is_email, is_not_negative, is_whole_number, js_trim, strip_angle_brackets
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column], name: str = "errors") -> DataFrame:
@@ -38,8 +38,7 @@ def _given_whole(column: str) -> Column:
 
 def _whole_not_negative(column: str) -> Column:
     text = F.col(column).cast("string")
-    number = F.when(text.rlike("[xXoObB]"), 0).otherwise(js_trim(text).try_cast("double"))
-    return is_whole_number(text) & (F.coalesce(number, F.lit(0)) >= 0)
+    return text.isNotNull() & is_whole_number(text) & is_not_negative(text)
 
 
 def user_rules() -> dict[str, Column]:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import all_of, hour_label, percent_change, pg_asc, pg_desc
+from ..functions import all_of, hour_label, money_sum, percent_change, pg_asc, pg_desc
 from ..operators import date_spine
 
 
@@ -86,10 +86,10 @@ def kpi_revenue_by_hour(
     sales: DataFrame, dim_branch: DataFrame, as_of: dt.date, branch_id: int | None = None
 ) -> DataFrame:
     today = _of_branch(sales, dim_branch, branch_id).filter(F.col("time_key") == day_key(as_of))
-    per_order = today.groupBy("hour_of_day", "order_id").agg(F.sum("net_amount").alias("net"))
+    per_order = today.groupBy("hour_of_day", "order_id").agg(money_sum(F.col("net_amount")).alias("net"))
     return (
         per_order.groupBy("hour_of_day")
-        .agg(F.sum("net").alias("revenue"), F.count("order_id").alias("orders"))
+        .agg(money_sum(F.col("net")).alias("revenue"), F.count("order_id").alias("orders"))
         .orderBy(pg_asc("hour_of_day"))
         .select(hour_label(F.col("hour_of_day")).alias("hour"), F.round("revenue", 2).alias("revenue"), "orders")
     )
@@ -102,8 +102,8 @@ def revenue_by_date(
     """Revenue per day since ``days`` before ``as_of``. Days without sales are missing."""
     first = as_of - dt.timedelta(days=days)
     recent = _of_branch(sales, dim_branch, branch_id).filter(F.col("time_key") >= day_key(first))
-    per_order = recent.groupBy("time_key", "order_id").agg(F.sum("net_amount").alias("net"))
-    daily = per_order.groupBy("time_key").agg(F.sum("net").alias("revenue"), F.count("order_id").alias("orders"))
+    per_order = recent.groupBy("time_key", "order_id").agg(money_sum(F.col("net_amount")).alias("net"))
+    daily = per_order.groupBy("time_key").agg(money_sum(F.col("net")).alias("revenue"), F.count("order_id").alias("orders"))
     dates = dim_time.filter(F.col("full_date") >= F.lit(first)).select("time_key", F.col("full_date").alias("date"))
     return daily.join(dates, "time_key").select("date", "revenue", "orders").orderBy(pg_asc("date"))
 
@@ -131,7 +131,7 @@ def top_products(
     sold = (
         _of_branch(sales, dim_branch, branch_id)
         .groupBy("product_key")
-        .agg(F.sum("quantity").alias("units_sold"), F.sum("net_amount").alias("revenue"))
+        .agg(F.sum("quantity").alias("units_sold"), money_sum(F.col("net_amount")).alias("revenue"))
     )
     best = sold.orderBy(pg_desc("units_sold"), pg_asc("product_key")).limit(limit)
     return best.join(dim_product, "product_key").select("name", "category", "units_sold", F.round("revenue", 2).alias("revenue"))
@@ -150,7 +150,7 @@ def low_stock_lots(lots: DataFrame, as_of: dt.date, branch_id: int | None = None
     scope = F.col("branch_id") == branch_id if branch_id else None
     return (
         lots.filter(all_of([(stock <= reorder) | expiring, scope]))
-        .orderBy(pg_asc("expiry_date"), pg_asc("stock_quantity"))
+        .orderBy(pg_asc("expiry_date"), pg_asc("stock_quantity"), pg_asc("batch_number"))
         .select(
             F.col("product_name").alias("product"),
             F.col("ingredient_type").alias("category"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import all_of, as_money, optional_equal, pg_asc, pg_desc, within_days
+from ..functions import all_of, from_cents, optional_equal, pg_asc, pg_desc, to_cents, within_days
 from ..operators import clamped_balance, combinations, insert_absent, page, page_info, update_from, update_where
 
 STOCK_KEY = ["branch_id", "product_id"]
@@ -18,8 +18,8 @@ COST_RATE = "0.4"
 def order_totals(items: DataFrame) -> DataFrame:
     """Header totals of each order."""
     return items.groupBy("order_id").agg(
-        as_money(F.sum(as_money(F.col("quantity") * F.col("unit_price")))).alias("gross_amount"),
-        as_money(F.sum("discount")).alias("discount_amount"),
+        from_cents(F.sum(to_cents(F.col("unit_price")) * F.col("quantity"))).alias("gross_amount"),
+        from_cents(F.sum(to_cents(F.col("discount")))).alias("discount_amount"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import pg_asc, pg_desc, ratio
+from ..functions import money_sum, pg_asc, pg_desc, ratio
 from ..operators import rank_descending
 
 
@@ -24,10 +24,10 @@ def _product_names(dim_product: DataFrame) -> DataFrame:
 def revenue_by_hour(sales: DataFrame) -> DataFrame:
     """Revenue and orders per hour of day. Orders are counted by a sum per order
     first: an hour with a third of all sales is spread over its orders."""
-    per_order = sales.groupBy("hour_of_day", "order_id").agg(F.sum("net_amount").alias("net"))
+    per_order = sales.groupBy("hour_of_day", "order_id").agg(money_sum(F.col("net_amount")).alias("net"))
     return (
         per_order.groupBy("hour_of_day")
-        .agg(F.sum("net").alias("total_revenue"), F.count("order_id").alias("total_orders"))
+        .agg(money_sum(F.col("net")).alias("total_revenue"), F.count("order_id").alias("total_orders"))
         .orderBy(pg_asc("hour_of_day"))
     )
 
@@ -35,11 +35,11 @@ def revenue_by_hour(sales: DataFrame) -> DataFrame:
 def top_products_branch(sales: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Every product a branch sold, ranked by units within the branch."""
     sold = sales.groupBy("branch_key", "product_key").agg(
-        F.sum("quantity").alias("total_units_sold"), F.sum("net_amount").alias("total_revenue")
+        F.sum("quantity").alias("total_units_sold"), money_sum(F.col("net_amount")).alias("total_revenue")
     )
     # Said here rather than left to the label joins, so that both uses of the
     # sums in the ranking have one plan and share one shuffle.
-    sold = sold.dropna(subset=["branch_key", "product_key"])
+    sold = sold.filter(F.col("branch_key").isNotNull() & F.col("product_key").isNotNull())
     ranked = rank_descending(sold, "total_units_sold", by=["branch_key"])
     return (
         ranked.join(_product_names(dim_product), "product_key")
@@ -59,7 +59,7 @@ def inventory_turnover(
     average stock is the same both ways.
     """
     key = ["branch_key", "product_key"]
-    sold = sales.groupBy(*key).agg(F.sum("cost_amount").alias("_cost"))
+    sold = sales.groupBy(*key).agg(money_sum(F.col("cost_amount")).alias("_cost"))
     stock = inventory.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_days"), F.avg("closing_stock").alias("_average")
     )
@@ -94,11 +94,11 @@ def profit_margin(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
 
 def branch_performance(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
     totals = orders_daily.groupBy("branch_key").agg(
-        F.sum("total_net").alias("total_revenue"),
+        money_sum(F.col("total_net")).alias("total_revenue"),
         F.sum("total_orders").alias("total_orders"),
-        F.sum(F.col("total_net") - F.col("total_cost")).alias("total_profit"),
+        money_sum(F.col("total_net") - F.col("total_cost")).alias("total_profit"),
     )
-    ranked = rank_descending(totals, "total_revenue", name="revenue_rank")
+    ranked = rank_descending(totals.filter(F.col("branch_key").isNotNull()), "total_revenue", name="revenue_rank")
     return (
         ranked.join(_branch_names(dim_branch), "branch_key")
         .select("branch_name", "total_revenue", "total_orders", "total_profit", "revenue_rank")
@@ -107,7 +107,7 @@ def branch_performance(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFr
 
 
 def _branch_revenue(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    totals = orders_daily.groupBy("branch_key").agg(F.sum("total_net").alias("revenue"))
+    totals = orders_daily.groupBy("branch_key").agg(money_sum(F.col("total_net")).alias("revenue"))
     return totals.join(_branch_names(dim_branch), "branch_key").select(F.col("branch_name").alias("branch"), "revenue")
 
 
@@ -121,7 +121,7 @@ def branch_best_worst(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFra
 
 def revenue_distribution(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
     """Each branch's part of all revenue."""
-    total = orders_daily.agg(F.sum("total_net")).scalar()
+    total = orders_daily.agg(money_sum(F.col("total_net"))).scalar()
     return (
         _branch_revenue(orders_daily, dim_branch)
         .withColumn("share", ratio(F.col("revenue"), total))
@@ -146,6 +146,6 @@ def daily_revenue(orders_daily: DataFrame, dim_time: DataFrame, dim_branch: Data
 
 def product_performance(sales: DataFrame, dim_product: DataFrame) -> DataFrame:
     sold = sales.groupBy("product_key").agg(
-        F.sum("quantity").alias("units_sold"), F.sum("net_amount").alias("total_revenue")
+        F.sum("quantity").alias("units_sold"), money_sum(F.col("net_amount")).alias("total_revenue")
     )
     return sold.join(dim_product, "product_key").select("name", "category", "units_sold", "total_revenue")

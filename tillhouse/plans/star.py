@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_money, day_name, iso_weekday, month_name, share_cents, time_key, to_cents
-from ..functions.money import from_cents, rounded_quotient
+from ..functions import day_name, from_cents, iso_weekday, money_sum, month_name, share_cents, time_key, to_cents
 from ..operators import assign_surrogate_keys, upsert
 from .ledger import cost_price_default
 
@@ -61,27 +60,29 @@ def fact_sales(
     headers = orders.select(
         F.col("id").alias("order_id"),
         "branch_id",
-        "created_at",
+        time_key(F.col("created_at")).alias("time_key"),
+        F.hour("created_at").alias("hour_of_day"),
+        iso_weekday(F.col("created_at")).alias("day_of_week"),
         to_cents(F.col("gross_amount")).alias("_gross"),
         to_cents(F.col("discount_amount")).alias("_discount"),
     ).join(dim_branch.select("branch_id", "branch_key"), "branch_id")
 
-    item = to_cents(F.col("unit_price") * F.col("quantity"))
+    item = to_cents(F.col("unit_price")) * F.col("quantity")
     joined = items.join(costs, "product_id").join(product_keys, "product_id").join(headers, "order_id").withColumn("_item", item)
     discount = share_cents(F.col("_discount"), F.col("_item"), F.col("_gross"))
-    net = rounded_quotient(F.col("_item") * F.col("_gross") - F.col("_discount") * F.col("_item"), F.col("_gross"))
+    net = share_cents(F.col("_gross") - F.col("_discount"), F.col("_item"), F.col("_gross"))
     return joined.select(
-        time_key(F.col("created_at")).alias("time_key"),
+        "time_key",
         "branch_key",
         "product_key",
         "order_id",
         "quantity",
-        as_money(F.col("unit_price") * F.col("quantity")).alias("gross_amount"),
+        from_cents(F.col("_item")).alias("gross_amount"),
         from_cents(discount).alias("discount_amount"),
         from_cents(net).alias("net_amount"),
-        as_money(F.col("cost_price") * F.col("quantity")).alias("cost_amount"),
-        F.hour("created_at").alias("hour_of_day"),
-        iso_weekday(F.col("created_at")).alias("day_of_week"),
+        from_cents(to_cents(F.col("cost_price")) * F.col("quantity")).alias("cost_amount"),
+        "hour_of_day",
+        "day_of_week",
     )
 
 
@@ -92,13 +93,13 @@ def fact_orders_daily(sales: DataFrame) -> DataFrame:
     becomes a plain count and a busy branch is spread over its orders.
     """
     money = ["gross_amount", "discount_amount", "net_amount", "cost_amount"]
-    per_order = sales.groupBy("time_key", "branch_key", "order_id").agg(*[F.sum(c).alias(c) for c in money])
+    per_order = sales.groupBy("time_key", "branch_key", "order_id").agg(*[money_sum(F.col(c)).alias(c) for c in money])
     return per_order.groupBy("time_key", "branch_key").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("gross_amount").alias("total_gross"),
-        F.sum("discount_amount").alias("total_discount"),
-        F.sum("net_amount").alias("total_net"),
-        F.sum("cost_amount").alias("total_cost"),
+        money_sum(F.col("gross_amount")).alias("total_gross"),
+        money_sum(F.col("discount_amount")).alias("total_discount"),
+        money_sum(F.col("net_amount")).alias("total_net"),
+        money_sum(F.col("cost_amount")).alias("total_cost"),
     )
 
 

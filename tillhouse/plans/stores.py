@@ -34,7 +34,7 @@ def inventory_list(inventory: DataFrame, stores: DataFrame, products: DataFrame,
         .join(_store_names(stores, "location"), "store_id")
     )
     columns = ["id", "quantity", "low_stock", "product_id", "product", "category", "unit", "store_id", "store", "location"]
-    order = [pg_asc(c) for c in (["store"] if not store_id else []) + ["category", "product"]]
+    order = [pg_asc(c) for c in [*([] if store_id else ["store"]), "category", "product", "id"]]
     return listed.select(*columns).orderBy(*order)
 
 
@@ -186,7 +186,7 @@ def store_list(stores: DataFrame) -> DataFrame:
 
 
 def product_list(products: DataFrame) -> DataFrame:
-    return products.select("id", "name", "category", "unit").orderBy(pg_asc("category"), pg_asc("name"))
+    return products.select("id", "name", "category", "unit").orderBy(pg_asc("category"), pg_asc("name"), pg_asc("id"))
 
 
 def branch_list(branches: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import all_of, as_money
+from ..functions import all_of, as_money, from_cents, rounded_quotient, to_cents
 from ..operators import combinations
 from ..operators.folds import clamped_balance, level_changes
 from ..plans import ledger as ledger_plans
@@ -27,6 +27,23 @@ START_LEVEL = 10_000
 SHELF_LEVEL = 120  # start level of the branch stock, low enough for some to go negative
 
 
+# Declared, so that opening a table reads no file footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string, html string",
+}
+
+
 class DriverTables:
     """``order_days`` limits orders, and with them their items, to a day range, open
     at the end if the second day is None.
@@ -36,9 +53,12 @@ class DriverTables:
         self.spark = spark
         self.folder = folder
         self.order_days = order_days
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     # ---- order side -------------------------------------------------------
 
@@ -82,8 +102,9 @@ class DriverTables:
             lines = lines.join(wanted, "l_orderkey", "left_semi")
         prices = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
         quantity = F.col("l_quantity").cast("int")
-        percent = F.round(F.col("l_discount") * 100).cast("int")
-        discount = as_money(F.col("unit_price") * quantity * percent * F.lit(Decimal("0.01")))
+        percent = F.floor(F.col("l_discount") * 100 + 0.5)
+        # Price in cents times whole percents, back to cents.
+        discount = from_cents(rounded_quotient(to_cents(F.col("unit_price")) * quantity * percent, F.lit(100)))
         return lines.join(prices, F.col("l_partkey") == F.col("p_partkey")).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
