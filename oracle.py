@@ -198,11 +198,11 @@ def _kpi(scope: str) -> str:
         FROM a, y"""
 
 
-def _top(scope: str) -> str:
+def _top(scope: str, limit: int = 5, more: str = "") -> str:
     return f"""
-        SELECT p.name, p.category, CAST(s.u AS BIGINT) AS units_sold, CAST(s.r AS DOUBLE) AS revenue
+        SELECT p.name, p.category, CAST(s.u AS BIGINT) AS units_sold, CAST(s.r AS DOUBLE) AS revenue {more}
         FROM (SELECT product_key, SUM(quantity) AS u, SUM(net_amount) AS r FROM v_fact {scope}
-              GROUP BY 1 ORDER BY u DESC, product_key LIMIT 5) s
+              GROUP BY 1 ORDER BY u DESC, product_key LIMIT {limit}) s
         JOIN v_products p ON p.id + 1 = s.product_key"""
 
 
@@ -382,6 +382,7 @@ STATEMENTS = {
         SELECT days.date, CAST(COALESCE(r.revenue, 0) AS DOUBLE) AS revenue, COALESCE(r.orders, 0) AS orders
         FROM days LEFT JOIN r ON r.date = days.date""",
     "top_products": _top(""),
+    "top_products_ranked": _top("", 10, ", ROW_NUMBER() OVER (ORDER BY s.u DESC, p.name) AS position"),
     "top_products_of_branch": _top("WHERE branch_key = 4"),
     "low_stock_lots": """
         SELECT product, category, CAST(stock AS DOUBLE) AS stock, 'kg' AS unit, CAST(10 AS DOUBLE) AS reorder_level, expiry_date, batch,
@@ -423,6 +424,9 @@ STATEMENTS = {
     "low_stock_preview": _low(LOW_COLUMNS, "ORDER BY i.quantity, i.id LIMIT 5"),
     "low_stock_by_ratio": _low("p.name AS product, p.category, 'pcs' AS unit, s.name AS store, s.id AS store_id"),
     "inventory_list": LISTED,
+    "inventory_chart": f"""
+        SELECT substr(product, 1, 15) AS name, quantity, low_stock
+        FROM ({LISTED}) ORDER BY store, category, product, id LIMIT 8""",
     "search": LISTED + " WHERE lower(p.name) LIKE '%ring%' OR lower(p.category) LIKE '%ring%'",
     "inventory_by_store": """
         SELECT s.id AS store_id, s.name AS store, s.location, COUNT(i.id) AS product_count, CAST(SUM(i.quantity) AS BIGINT) AS total_quantity,
@@ -501,6 +505,7 @@ STATEMENTS = {
                CAST(to_json(COALESCE(list(p.key ORDER BY p.key) FILTER (WHERE p.key IS NOT NULL), [])) AS VARCHAR) AS permissions
         FROM v_roles r LEFT JOIN v_bridge b ON b.role_id = r.id LEFT JOIN v_permissions p ON p.id = b.permission_id
         GROUP BY r.id, r.name, r.description""",
+    "permission_list": "SELECT id, key, 'Manage ' || 'Brand#' || CAST(id AS VARCHAR) AS label FROM v_permissions",
     "user_permissions": """
         SELECT u.id AS user_id, r.name AS role, u.store_id, CAST(to_json(list(DISTINCT p.key ORDER BY p.key)) AS VARCHAR) AS permissions
         FROM v_users u JOIN v_roles r ON r.id = u.role_id JOIN v_bridge b ON b.role_id = r.id JOIN v_permissions p ON p.id = b.permission_id
@@ -508,7 +513,7 @@ STATEMENTS = {
     "role_permission_replace": """
         SELECT role_id, permission_id FROM v_bridge WHERE role_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 1000)
         UNION ALL SELECT s_suppkey, CAST(s_nationkey AS BIGINT) FROM supplier WHERE s_acctbal < 1000""",
-    "delete_permissions_cascade": "SELECT role_id, permission_id FROM v_bridge WHERE permission_id <= 12",
+    "delete_cascade": "SELECT role_id, permission_id FROM v_bridge WHERE permission_id <= 12",
     "delete_cascade_stock": """
         SELECT * FROM v_ledger WHERE store_id NOT IN (SELECT id FROM v_stores WHERE location = 'Region 1')""",
     "delete_users_set_null": """
@@ -582,7 +587,7 @@ STATEMENTS = {
         WITH h AS (SELECT CAST(MIN(created_at) AS DATE) AS a, CAST(MAX(created_at) AS DATE) AS z, COUNT(*) AS n FROM v_headers),
         d AS (SELECT CAST(UNNEST(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d, n // (z - a + 1) AS base FROM h)
         SELECT d, CAST(CASE WHEN isodow(d) IN (6, 7) THEN (3 * base + 1) // 2 ELSE base END AS BIGINT) AS num_orders FROM d""",
-    "weighted_pick": """
+    "weighted_sample": """
         SELECT category, id, ROW_NUMBER() OVER (PARTITION BY category ORDER BY t, id) AS pick_rank
         FROM (SELECT category, id, -ln((CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':7'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE)
                      / CAST(popularity_weight AS DOUBLE) AS t FROM v_products WHERE popularity_weight > 0)

@@ -34,6 +34,10 @@ def role_permissions(roles: DataFrame, bridge: DataFrame, permissions: DataFrame
     )
 
 
+def permission_list(permissions: DataFrame) -> DataFrame:
+    return permissions.select("id", "key", "label").orderBy(pg_asc("key"))
+
+
 def permissions_of_role(bridge: DataFrame, permissions: DataFrame, role_id: int) -> DataFrame:
     wanted = bridge.filter(F.col("role_id") == role_id).select(F.col("permission_id").alias("id"))
     return permissions.join(wanted, "id").select("id", "key", "label")

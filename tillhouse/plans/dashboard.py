@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import all_of, hour_label, money_sum, percent_change, pg_asc, pg_desc
@@ -137,6 +137,12 @@ def top_products(
     return best.join(dim_product, "product_key").select("name", "category", "units_sold", F.round("revenue", 2).alias("revenue"))
 
 
+def with_position(best: DataFrame) -> DataFrame:
+    """Number the rows of a short ranked list, by units and then by name."""
+    order = Window.orderBy(pg_desc("units_sold"), pg_asc("name"))
+    return best.withColumn("position", F.row_number().over(order))
+
+
 def low_stock_lots(lots: DataFrame, as_of: dt.date, branch_id: int | None = None, soon_days: int = 7) -> DataFrame:
     """Lots at or below their reorder level, or expiring within a week.
 

@@ -38,6 +38,12 @@ def inventory_list(inventory: DataFrame, stores: DataFrame, products: DataFrame,
     return listed.select(*columns).orderBy(*order)
 
 
+def stock_chart(inventory: DataFrame, stores: DataFrame, products: DataFrame, bars: int = 8) -> DataFrame:
+    """The first rows of the stock list with short labels."""
+    top = inventory_list(inventory, stores, products).limit(bars)
+    return top.select(F.substring("product", 1, 15).alias("name"), "quantity", "low_stock")
+
+
 def search(listed: DataFrame, columns: list[str], term: str) -> DataFrame:
     """Rows in which any of the columns contains the term, in any case."""
     return listed.filter(contains_any(term, *columns)) if term else listed

@@ -63,14 +63,16 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def query(fn: Callable[[DriverTables], DataFrame], days: tuple[dt.date, dt.date | None] | None = None) -> None:
-    """Register ``fn`` under its name; ``days`` limits the orders it reads."""
+    """Register ``fn`` under its name, less a trailing underscore that keeps it
+    apart from an operator; ``days`` limits the orders it reads."""
+    name = fn.__name__.rstrip("_")
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return present(fn(DriverTables(configure(spark), folder, days)))
 
-    run.__name__ = fn.__name__
+    run.__name__ = name
     run.__doc__ = fn.__doc__
-    _QUERIES[fn.__name__] = run
+    _QUERIES[name] = run
 
 
 def on_days(first: dt.date | None = None, last: dt.date | None = None):
@@ -286,6 +288,11 @@ def top_products(t):
     return dashboard.top_products(_sales(t), t.dim_branch, t.dim_product)
 
 
+@whole
+def top_products_ranked(t):
+    return dashboard.with_position(dashboard.top_products(_sales(t), t.dim_branch, t.dim_product, limit=10))
+
+
 @whole
 def top_products_of_branch(t):
     return dashboard.top_products(_sales(t), t.dim_branch, t.dim_product, limit=5, branch_id=3)
@@ -375,6 +382,11 @@ def inventory_list(t):
     return stores.inventory_list(t.inventory, t.stores, t.store_products)
 
 
+@whole
+def inventory_chart(t):
+    return stores.stock_chart(t.inventory, t.stores, t.store_products)
+
+
 @whole
 def search(t):
     return stores.search(stores.inventory_list(t.inventory, t.stores, t.store_products), ["product", "category"], "Ring")
@@ -518,6 +530,11 @@ def role_permissions(t):
     return access.role_permissions(t.roles, t.role_permissions, t.permissions)
 
 
+@whole
+def permission_list(t):
+    return access.permission_list(t.permissions)
+
+
 @whole
 def user_permissions(t):
     return access.user_permissions(t.users, t.roles, t.role_permissions, t.permissions)
@@ -533,7 +550,8 @@ def role_permission_replace(t):
 
 
 @whole
-def delete_permissions_cascade(t):
+def delete_cascade_(t):
+    """Grants left after the permissions with the highest numbers are deleted."""
     gone = t.permissions.filter(F.col("id") > 12)
     return delete_cascade(t.role_permissions, gone, "permission_id")
 
@@ -646,7 +664,7 @@ def date_volume_plan(t):
 
 
 @whole
-def weighted_pick(t):
+def weighted_sample_(t):
     """Three products per type, the popular ones more often."""
     picked = weighted_sample(t.products, "popularity_weight", 3, ["category"], key="id", seed=7)
     return picked.select("category", "id", "pick_rank")
