@@ -289,3 +289,38 @@ def test_warehouse_loads_and_partial_reload(spark, folder):
 
 def queries_sales(t):
     return star.fact_sales(t.order_items, t.orders, ledger.cost_price_default(t.products), t.dim_branch, t.dim_product)
+
+
+def test_hot_order_and_product_are_split(spark):
+    """A third of the items in one order, a third on one product: the joins split both."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    t = DriverTables(spark, FOLDER)
+    lines = t.raw("lineitem").withColumn("_i", F.monotonically_increasing_id() % 3)
+    hot = lines.withColumns(
+        {
+            "l_orderkey": F.when(F.col("_i") == 0, 77).otherwise(F.col("l_orderkey")),
+            "l_partkey": F.when(F.col("_i") == 1, 5).otherwise(F.col("l_partkey")),
+        }
+    ).drop("_i")
+    t._raw["lineitem"] = hot.unionByName(hot).unionByName(hot).repartition(8)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sales = queries_sales(t)
+        found = sales.agg(F.count(F.lit(1)), F.sum("net_amount"), F.sum("discount_amount"))
+        row = found.collect()[0]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        totals = ledger.order_totals(t.order_items).agg(F.sum(F.col("gross_amount") - F.col("discount_amount")), F.sum("discount_amount")).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("skew=true") >= 2
+    assert row[0] == 18_000
+    assert abs(row[1] - totals[0]) < 100 and abs(row[2] - totals[1]) < 100
