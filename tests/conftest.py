@@ -11,7 +11,9 @@ from tillhouse.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", cpus=8, memory="8g")
+    session = local_session("tests", cpus=8, memory="8g")
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole filter lists in plan texts
+    return session
 
 
 @pytest.fixture

@@ -201,7 +201,7 @@ def test_null_order(spark):
 
 def test_combinations_and_numbered(spark):
     left, right = spark.range(7).toDF("a"), spark.range(5).toDF("b")
-    assert rows(combinations(left, right, "a")) == sorted(((a, b) for a in range(7) for b in range(5)), key=str)
+    assert rows(combinations(left, right)) == sorted(((a, b) for a in range(7) for b in range(5)), key=str)
     df = spark.createDataFrame([("x", 2), ("y", 0), ("z", None)], "k string, n int")
     assert rows(numbered(df, F.col("n"), "i").select("k", "i")) == [("x", 1), ("x", 2)]
 

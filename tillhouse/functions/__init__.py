@@ -1,5 +1,5 @@
 from .dates import day_name, iso_weekday, month_name, time_key
-from .json_text import explode_json_array, field
+from .json_text import explode_json_array, field, unreadable
 from .money import as_money, from_cents, money_sum, percent_change, ratio, rounded_quotient, share_cents, to_cents
 from .ordering import pg_asc, pg_desc
 from .predicates import all_of, optional_equal, within_days
@@ -32,5 +32,6 @@ __all__ = [
     "strip_angle_brackets",
     "time_key",
     "to_cents",
+    "unreadable",
     "within_days",
 ]

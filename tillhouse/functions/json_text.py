@@ -25,6 +25,12 @@ def explode_json_array(
     return exploded.select(*others, *([at] if position else []), *values)
 
 
+def unreadable(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose text is no JSON array of objects; ``explode_json_array`` yields
+    nothing for them."""
+    return df.filter(F.col(column).isNotNull() & F.from_json(column, "array<map<string,string>>").isNull())
+
+
 def field(column: str, name: str, default: Column | None = None, as_type: str | None = None) -> Column:
     """A field of a JSON object, as text or cast; ``default`` where it is missing."""
     value = F.get_json_object(F.col(column), f"$.{name}")

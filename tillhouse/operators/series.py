@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Key slots used to spread an all-combinations join.
+# Slots per side of an all-combinations join; its work is spread over their square.
 SLOTS = 16
 
 
@@ -20,13 +20,18 @@ def numbered(df: DataFrame, count: Column, name: str) -> DataFrame:
     return df.filter(count >= 1).withColumn(name, F.explode(F.sequence(F.lit(1), count.cast("int"))))
 
 
-def combinations(left: DataFrame, right: DataFrame, spread_by: str) -> DataFrame:
+def combinations(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every left row with every right row; the result is that long by definition.
 
-    Left rows are dealt to slots, right rows go to every slot, and the slot is
-    an ordinary join key. A small left side is broadcast by Spark, if its size
-    allows; otherwise both sides are shuffled and no task holds one whole.
+    Rows of either side are dealt to slots and copied to all slots of the other
+    side, and the pair of slots is an ordinary join key. A small side is
+    broadcast by Spark, if its size allows; otherwise each task joins one slot
+    of either side, and none holds a side whole.
     """
-    dealt = left.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(SLOTS)).cast("int"))
-    copied = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-    return dealt.join(copied, "_slot").drop("_slot")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        slot = F.pmod(F.xxhash64(*df.columns), F.lit(SLOTS)).cast("int")
+        return df.withColumn(own, slot).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+
+    slots = ["_left", "_right"]
+    return dealt(left, *slots).join(dealt(right, *reversed(slots)), slots).drop(*slots)

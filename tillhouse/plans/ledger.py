@@ -35,7 +35,6 @@ def stock_matrix_init(branches: DataFrame, products: DataFrame, existing: DataFr
     pairs = combinations(
         branches.select(F.col("id").alias("branch_id")),
         products.select(F.col("id").alias("product_id")),
-        spread_by="branch_id",
     )
     fresh = pairs.withColumn("stock_level", F.lit(level).cast("long"))
     return fresh.join(existing.select(*STOCK_KEY), STOCK_KEY, "left_anti")

@@ -147,7 +147,7 @@ def build_star(t, dims: Mapping[str, DataFrame] | None = None) -> dict[str, Data
         dim_product = upsert_dim(dims["dim_product"], products, "product_id", "product_key", ["name", "category"])
     sales = fact_sales(t.order_items, t.orders, cost_price_default(t.products), dim_branch, dim_product)
     return {
-        "dim_time": dim_time(t.order_headers),
+        "dim_time": dim_time(t.order_times),
         "dim_branch": dim_branch,
         "dim_product": dim_product,
         "fact_sales": sales,

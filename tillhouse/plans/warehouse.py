@@ -53,7 +53,7 @@ class Warehouse:
                 {"valid_from": F.coalesce("valid_from", F.lit(today)), "is_current": F.coalesce("is_current", F.lit(True))}
             )
             overwrite_table(dim, f"{self.path(name)}/load={load}")
-        overwrite_table(star.dim_time(t.order_headers), f"{self.path('dim_time')}/load={load}")
+        overwrite_table(star.dim_time(t.order_times), f"{self.path('dim_time')}/load={load}")
 
     def load_facts(self, t, load: int, days: tuple[dt.date, dt.date] | None = None) -> None:
         """Reload the facts, all of them or only those of a range of days.

@@ -140,7 +140,7 @@ def kafka_normalize(t):
 
 @whole
 def dim_time(t):
-    return star.dim_time(t.order_headers)
+    return star.dim_time(t.order_times)
 
 
 @whole
@@ -245,7 +245,7 @@ def revenue_distribution(t):
 
 @whole
 def daily_revenue(t):
-    return olap_views.daily_revenue(_orders_daily(t), star.dim_time(t.order_headers), t.dim_branch)
+    return olap_views.daily_revenue(_orders_daily(t), star.dim_time(t.order_times), t.dim_branch)
 
 
 @whole
@@ -258,12 +258,12 @@ def product_performance(t):
 
 @today_and_yesterday
 def kpi(t):
-    return dashboard.kpi(_sales(t), star.dim_time(t.order_headers), t.dim_branch, t.dim_product, AS_OF)
+    return dashboard.kpi(_sales(t), star.dim_time(t.order_times), t.dim_branch, t.dim_product, AS_OF)
 
 
 @today_and_yesterday
 def kpi_branch(t):
-    sales, days = _sales(t), star.dim_time(t.order_headers)
+    sales, days = _sales(t), star.dim_time(t.order_times)
     return dashboard.kpi(sales, days, t.dim_branch, t.dim_product, AS_OF, branch_id=1)
 
 
@@ -274,12 +274,12 @@ def kpi_revenue_by_hour(t):
 
 @two_weeks
 def revenue_by_date(t):
-    return dashboard.revenue_by_date(_sales(t), star.dim_time(t.order_headers), t.dim_branch, AS_OF)
+    return dashboard.revenue_by_date(_sales(t), star.dim_time(t.order_times), t.dim_branch, AS_OF)
 
 
 @two_weeks
 def revenue_by_date_filled(t):
-    by_date = dashboard.revenue_by_date(_sales(t), star.dim_time(t.order_headers), t.dim_branch, AS_OF, branch_id=7)
+    by_date = dashboard.revenue_by_date(_sales(t), star.dim_time(t.order_times), t.dim_branch, AS_OF, branch_id=7)
     return dashboard.revenue_by_date_filled(by_date, AS_OF)
 
 
@@ -322,7 +322,7 @@ def insights_quiet_day(t):
 
 @whole
 def data_quality(t):
-    return checks.data_quality(t.inventory_current, t.order_items, t.order_headers, _orders_daily(t))
+    return checks.data_quality(t.inventory_current, t.order_items, t.order_times, _orders_daily(t))
 
 
 # ---- orders and branch stock ------------------------------------------------
@@ -655,7 +655,7 @@ def insert_absent_stock(t):
 def date_volume_plan(t):
     """Plan over the whole order history at its mean daily volume."""
     day = F.to_date("created_at")
-    history = t.order_headers.agg(
+    history = t.order_times.agg(
         F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("n")
     )
     span = F.datediff("last", "first") + 1

@@ -29,6 +29,8 @@ def local_session(name: str = "tillhouse", cpus: int | str = "*", memory: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # Recording the Python line of every expression makes plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

@@ -127,13 +127,18 @@ class DriverTables:
         )
 
     @cached_property
-    def order_headers(self) -> DataFrame:
-        customers = self.raw("customer").select("c_custkey", "c_nationkey")
+    def order_times(self) -> DataFrame:
+        """Ids and times of the orders, for which no branch has to be looked up."""
         hours = F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
-        return self._raw_orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-            F.col("o_orderkey").alias("id"),
-            F.col("c_nationkey").alias("branch_id"),
-            (F.col("o_orderdate") + hours).alias("created_at"),
+        return self._raw_orders.select(
+            F.col("o_orderkey").alias("id"), "o_custkey", (F.col("o_orderdate") + hours).alias("created_at")
+        )
+
+    @cached_property
+    def order_headers(self) -> DataFrame:
+        customers = self.raw("customer").select("c_custkey", F.col("c_nationkey").alias("branch_id"))
+        return self.order_times.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+            "id", "branch_id", "created_at"
         )
 
     @cached_property
@@ -151,7 +156,6 @@ class DriverTables:
         pairs = combinations(
             self.branches.select(F.col("id").alias("branch_id")),
             self.products.select(F.col("id").alias("product_id")),
-            spread_by="branch_id",
         )
         return pairs.withColumn("stock_level", F.lit(START_LEVEL))
 

@@ -8,9 +8,11 @@ Write errors end the stream; the checkpoint never moves past lost rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +23,17 @@ from ..schemas import POS_EVENT, POS_STAGED
 
 REQUIRED = ["transaction_id", "branch_id", "product_id", "quantity", "unit_price", "event_ts"]
 SPIKE_UNITS = 20
+
+
+def _acceptable() -> Column:
+    """Whether the order tables' constraints hold: nothing missing, a positive
+    quantity, no negative price, and amounts that fit their columns."""
+    present = reduce(and_, [F.col(c).isNotNull() for c in REQUIRED])
+    price = F.col("unit_price").try_cast("decimal(10,2)")
+    fits = (price * F.col("quantity")).try_cast("decimal(10,2)").isNotNull()
+    return F.coalesce(present & (F.col("quantity") > 0) & (F.col("unit_price") >= 0) & fits, F.lit(False))
+
+
 STAGED_BY_EPOCH = T.StructType(
     [*POS_STAGED.fields, T.StructField("run", T.StringType()), T.StructField("epoch_id", T.LongType())]
 )
@@ -70,12 +83,9 @@ class Ingest:
             StorageLevel.MEMORY_AND_DISK
         )
         try:
-            complete = F.lit(True)
-            for name in REQUIRED:
-                complete = complete & F.col(name).isNotNull()
-            self._write(typed.filter(~complete).select("value"), "rejects", epoch)
+            self._write(typed.filter(~_acceptable()).select("value"), "rejects", epoch)
 
-            good = typed.filter(complete)
+            good = typed.filter(_acceptable())
             fresh = self._unseen(spark, good, epoch)
             self._write(fresh, "staged", epoch)
 
