@@ -42,6 +42,7 @@ def _whole_not_negative(column: str) -> Column:
 
 
 def user_rules() -> dict[str, Column]:
+    # Messages as the forms show them, here and in the next two.
     return {
         "Name must be at least 2 characters": F.length(js_trim(F.col("name"))) >= 2,
         "Invalid email format": is_email(F.col("email")),

@@ -15,6 +15,7 @@ def data_quality(stock: DataFrame, items: DataFrame, orders: DataFrame, orders_d
     n = F.col("n")
     count = F.count(F.lit(1)).alias("n")
 
+    # Check names and texts as the quality report shows them.
     def outcome(df: DataFrame, name: str, failed: str, bad, bad_text, good_text) -> DataFrame:
         return df.select(
             F.lit(name).alias("check_name"),
