@@ -45,7 +45,7 @@ def is_whole_number(text: Column) -> Column:
     or not. Plain digits are decided by one pattern; only fractions and exponents
     are worked out."""
     number = as_number(text)
-    whole = (number == F.floor(number)) & (F.abs(number) != F.lit(float("inf")))
+    whole = number % 1 == 0  # an infinite number leaves no remainder that is one
     return F.when(text.rlike(_INTEGER), True).otherwise(F.coalesce(whole, F.lit(False)))
 
 

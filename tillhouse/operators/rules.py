@@ -12,9 +12,13 @@ from ..functions import is_email, is_not_negative, is_whole_number, js_trim, str
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column], name: str = "errors") -> DataFrame:
-    """Add the list of messages whose rule does not hold. NULL counts as broken."""
-    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(message)) for message, rule in rules.items()]
-    return df.withColumn(name, F.array_compact(F.array(*broken)))
+    """Add the list of messages whose rule does not hold. NULL counts as broken.
+
+    NULLs are taken out with array_except: unlike array_compact, it leaves the
+    rules themselves in generated code.
+    """
+    broken = [F.when(F.coalesce(rule, F.lit(False)), None).otherwise(F.lit(message)) for message, rule in rules.items()]
+    return df.withColumn(name, F.array_except(F.array(*broken), F.array(F.lit(None).cast("string"))))
 
 
 def accepted(validated: DataFrame, name: str = "errors") -> DataFrame:
