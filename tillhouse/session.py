@@ -3,8 +3,6 @@ the settings the library relies on, and the ones used by tests and the bench."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every query may assume; all of them can be set on a running session.
@@ -16,7 +14,6 @@ RUNTIME_CONF = {
     # Split a hot join key also where that costs one more shuffle afterwards,
     # as in joins that follow one another on the same key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -44,17 +41,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints and working tables.
-
-    Only where none is configured (local tests) a fresh local folder is used.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tillhouse-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
