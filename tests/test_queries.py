@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle
 from compare import difference, duck
+from tillhouse import registry
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,13 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_sql(spark, con, name):
-    assert difference(con, entry.queries()[name](spark, FOLDER), SQL[name]) is None
+    assert difference(con, registry.queries()[name](spark, FOLDER), SQL[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(registry.queries())
 
 
 def test_entry_has_rows(spark):
