@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import quality
+from tillhouse.llm import quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def op2_quality_rules(spark, folder):
     )
 
 
+@_query
+def op6_simhash_near_dedup(spark, folder):
+    return simhash.simhash_components(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
