@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import quality, simhash
+from tillhouse.llm import packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op6_simhash_near_dedup(spark, folder):
     return simhash.simhash_components(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_vector_best_fit_packing(spark, folder):
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
