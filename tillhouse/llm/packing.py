@@ -62,7 +62,7 @@ _memory: dict[bytes, bytes] = {}
 def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
     """Ids of each text and END, as little-endian unsigned 32-bit integers.
 
-    The tokenizer never joins what white space (space, \\t to \\r) parts, so ids of
+    The tokenizer never joins what white space (space, tab to carriage return) parts, so ids of
     words follow each other as those of the text do; words seen before are looked up.
     A worker uses one tokenizer at a time.
     """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import packing, quality, simhash
+from tillhouse.llm import packing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -38,6 +38,12 @@ def op7_vector_best_fit_packing(spark, folder):
     return packing.pack(_table(spark, folder, "documents"))
 
 
+@_query
+def op8_secret_scans(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return secrets.secret_report(docs, secrets.train(secrets.labelled_samples(docs)))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
