@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import packing, quality, secrets, simhash
+from tillhouse.llm import mixing, packing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -28,6 +28,12 @@ def op2_quality_rules(spark, folder):
     )
 
 
+@_query
+def op3_source_mixing(spark, folder):
+    rows = mixing.mix_rows(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @_query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.simhash_components(_table(spark, folder, "documents"))

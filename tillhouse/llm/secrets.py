@@ -32,7 +32,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 _STATES = len(ALPHABET) + 1  # 0: any other character, and the place before the first
 #: Bound on the documents that labelled samples are taken from, about.
 SAMPLE_DOCS = 20_000
-THRESHOLD = 8.0
+THRESHOLD = 20.0
 MARK = "[secret]"
 
 
