@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import mixing, packing, quality, secrets, simhash
+from tillhouse.llm import language, mixing, packing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -50,6 +50,14 @@ def op8_secret_scans(spark, folder):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_samples(docs)))
 
 
+@_query
+def op10_language_id(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = language.fit(docs.filter(~language.held_out()))
+    found = language.classify(docs, model).withColumn("held_out", language.held_out())
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
