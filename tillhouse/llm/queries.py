@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import language, mixing, packing, quality, secrets, simhash
+from tillhouse.llm import html_text, language, mixing, packing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -50,6 +50,12 @@ def op8_secret_scans(spark, folder):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_samples(docs)))
 
 
+@_query
+def op9_html_extraction(spark, folder):
+    pages = _table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 @_query
 def op10_language_id(spark, folder):
     docs = _table(spark, folder, "documents")
