@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillhouse.llm import html_text, language, mixing, packing, quality, secrets, simhash
+from tillhouse.llm import ann, html_text, language, mixing, packing, quality, secrets, simhash
+from tillhouse.llm.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -21,6 +23,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_nearest_neighbours(spark, folder):
+    table = _table(spark, folder, "embeddings")
+    index = stored(ann.build_index(table, 20), "index")
+    return ann.search(index, table.filter(F.col("vec_id") % 20 == 0), 20)
+
+
 @_query
 def op2_quality_rules(spark, folder):
     return quality.quality_report(_table(spark, folder, "documents")).select(
