@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ann, html_text, language, mixing, packing, quality, repeats, secrets, simhash
+from tillhouse.llm import ann, html_text, language, lm, mixing, packing, quality, repeats, secrets, simhash
 from tillhouse.llm.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op4_suffix_array_dedup(spark, folder):
     return repeats.without_repeats(_table(spark, folder, "documents"))
 
 
+@_query
+def op5_lm_scores(spark, folder):
+    return lm.lm_scores(_table(spark, folder, "documents"))
+
+
 @_query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.simhash_components(_table(spark, folder, "documents"))
