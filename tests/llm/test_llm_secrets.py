@@ -1,0 +1,95 @@
+import hashlib
+import random
+import re
+import string
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillhouse.llm import secrets
+from tillhouse.llm.queries import queries
+
+NAME = "op8_secret_scans"
+LETTERS = "".join(f"(?:{''.join(f'[{c}{c.upper()}]' for c in w)})|" for w in ("password", "passwd", "secret", "token"))
+ASSIGN = re.compile(rf"""(?:{LETTERS}[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def joined(spans):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def test_spans_of_messy_documents(spark, messy, rows):
+    expected = []
+    for r in rows:
+        b = base(r["text"])
+        n = [sum(k == kind for _, k, _ in b) for kind in range(3)]
+        expected.append((r["doc_id"], *n, hashlib.sha256(joined(b).encode()).hexdigest(), joined(b)))
+    found = queries()[NAME](spark, messy).collect()
+    without_model = [(*r[:5], ",".join(s for s in r["spans"].split(",") if not s.startswith("markov"))) for r in found]
+    assert sorted(without_model, key=str) == sorted(expected, key=str)
+
+
+def test_empty_table(spark, empty):
+    assert queries()[NAME](spark, empty).count() == 0
+
+
+CASES = [
+    "token=secret: longvalue12345", "passwd:abc password=abcdefgh", "API_KEY = 'abcd1234' apikey:x", "ſecret=abcdefgh1",
+    "AKIA1234567890AB AKIAAKIAAKIAAKIA AKIA12", "é" * 5 + "f" * 32 + "g" + "0" * 31, "xtoken = token = abcdefgh==", "secret:  \"abcdefgh\"",
+]
+
+
+def test_fixed_patterns_case_by_case(spark):
+    df = spark.createDataFrame(list(enumerate(CASES)), "i int, t string")
+    got = {r["i"]: [(s["start"], s["order"], s["end"]) for s in r["b"]] for r in df.select("i", secrets.base_spans(F.col("t")).alias("b")).collect()}
+    assert got == {i: base(t) for i, t in enumerate(CASES)}
+
+
+@pytest.fixture(scope="module")
+def models(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return secrets.train(secrets.labelled_samples(docs))
+
+
+def test_models_tell_random_strings_from_names(spark, models):
+    rng = random.Random(2)
+    drawn = ["".join(rng.choices(string.ascii_letters + string.digits, k=32)) for _ in range(200)]
+    names = ["customer_order_line_item_v2", "thehereatstion12345", "http/1/thetheand/ofthe2", "2024-01-01T00-00-00", "theandthere2ofthe"]
+    df = spark.createDataFrame([(t, True) for t in drawn] + [(t, False) for t in names], "t string, random boolean")
+    got = df.select("random", (models.score(F.col("t")) >= secrets.THRESHOLD).alias("found")).collect()
+    assert sum(r["found"] for r in got if r["random"]) >= 198
+    assert not any(r["found"] for r in got if not r["random"])
+
+
+def test_ratio_equals_counts_by_hand(spark):
+    samples = spark.createDataFrame([("ab1", True), ("aab", False), (None, True), ("x", None)], "token string, secret boolean")
+    models = secrets.train(samples)
+    import math
+
+    n = len(secrets.ALPHABET) + 1
+    # start-a: once in either class; a-b: once in either; b-1: once in secrets only.
+    expected = math.log((2 / (n + 1)) / (2 / (n + 1))) + math.log((2 / (n + 1)) / (2 / (n + 2))) + math.log((2 / (n + 1)) / (1 / n))
+    got = spark.range(1).select(models.score(F.lit("ab1"))).first()[0]
+    assert got == pytest.approx(expected, abs=1e-5)
+
+
+def test_redaction(spark, models):
+    text = "é token=abcdefgh12 mid " + "0123456789abcdef" * 2 + " end"
+    rows = [(1, text), (2, None), (3, ""), (4, "nothing here"), (5, "password=" + "a1" * 20)]
+    df = spark.createDataFrame(rows, "i int, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", secrets.redacted(F.col("t"), models).alias("x")).collect()}
+    assert got == {1: "é [secret] mid [secret] end", 2: None, 3: "", 4: "nothing here", 5: "[secret]"}
+
+
+def test_no_python_on_executors(spark, messy, models):
+    docs = spark.read.parquet(f"{messy}/documents.parquet")
+    plan = secrets.secret_report(docs, models)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
