@@ -74,10 +74,10 @@ VIEWS = {
                CASE event_type WHEN 'signup' THEN k % 26 + 5 WHEN 'error' THEN k % 16 - 5 ELSE -(k % 10 + 1) END AS change_amount,
                CASE event_type WHEN 'signup' THEN 'import' WHEN 'error' THEN 'adjustment' ELSE 'sale' END AS type,
                user_id AS created_by, ts AS created_at
-        FROM v_events WHERE event_type <> 'click'""",
+        FROM v_events""",
     "v_stores": """
         SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS name, 'Region ' || CAST(n_regionkey AS VARCHAR) AS location
-        FROM nation WHERE n_nationkey < 12""",
+        FROM nation""",
     "v_shelf": """
         SELECT product_id * 10 + store_id - 1 AS id, store_id, product_id, quantity, product_id % 4 * 10 AS low_stock
         FROM (SELECT l_suppkey % 10 + 1 AS store_id, l_partkey AS product_id,
@@ -130,7 +130,7 @@ VIEWS = {
         SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS id, 'manage_' || lower(p_brand) AS key FROM part""",
     "v_bridge": """
         SELECT DISTINCT l_suppkey AS role_id, CAST(split_part(p_brand, '#', 2) AS BIGINT) AS permission_id
-        FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity = 50 AND l_returnflag = 'R'""",
+        FROM lineitem JOIN part ON p_partkey = l_partkey""",
     "v_audit": """
         SELECT event_id AS id, CASE WHEN k <> 0 THEN user_id * 11 END AS user_id,
                CASE event_type WHEN 'signup' THEN 'CREATE' WHEN 'error' THEN 'DELETE' WHEN 'purchase' THEN 'UPDATE'
@@ -148,6 +148,13 @@ VIEWS = {
                CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 9 = 0 THEN '1.5' WHEN c_custkey % 8 = 0 THEN '2.0'
                     ELSE CAST(c_custkey % 10 AS VARCHAR) END AS role_id
         FROM customer""",
+    "v_checked": """
+        SELECT id, email, list_filter([
+                   CASE WHEN name IS NULL OR length(trim(name)) < 2 THEN 'Name must be at least 2 characters' END,
+                   CASE WHEN NOT regexp_full_match(email, '[^\\s@]+@[^\\s@]+\\.[^\\s@]+') THEN 'Invalid email format' END,
+                   CASE WHEN length(password) < 8 THEN 'Password must be at least 8 characters' END,
+                   CASE WHEN role_id IN ('', '0', '1.5') THEN 'Valid role_id is required' END], lambda x: x IS NOT NULL) AS errors
+        FROM v_signups""",
     "v_profiles": """
         SELECT c_custkey, 'user' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
                CASE WHEN c_custkey % 3 <> 0 THEN 'E' || CAST(c_custkey AS VARCHAR)
@@ -198,12 +205,12 @@ def _kpi(scope: str) -> str:
         FROM a, y"""
 
 
-def _top(scope: str, limit: int = 5, more: str = "") -> str:
+def _top(scope: str, limit: int = 5, more: str = "", order: str = "s.u DESC, s.product_key") -> str:
     return f"""
         SELECT p.name, p.category, CAST(s.u AS BIGINT) AS units_sold, CAST(s.r AS DOUBLE) AS revenue {more}
         FROM (SELECT product_key, SUM(quantity) AS u, SUM(net_amount) AS r FROM v_fact {scope}
               GROUP BY 1 ORDER BY u DESC, product_key LIMIT {limit}) s
-        JOIN v_products p ON p.id + 1 = s.product_key"""
+        JOIN v_products p ON p.id + 1 = s.product_key ORDER BY {order}"""
 
 
 def _insights(today: int, yesterday: int, lift: int) -> str:
@@ -211,23 +218,25 @@ def _insights(today: int, yesterday: int, lift: int) -> str:
         WITH f AS (SELECT * FROM v_fact WHERE time_key IN ({today}, {yesterday})),
         b AS (SELECT branch_key, CAST(SUM(CASE WHEN time_key = {today} THEN net_amount ELSE 0 END) AS DOUBLE) AS t,
                      CAST(SUM(CASE WHEN time_key = {yesterday} THEN net_amount ELSE 0 END) AS DOUBLE) AS y FROM f GROUP BY 1),
-        pct AS (SELECT v.name, (t - y) / y * 100 AS p FROM b JOIN v_branches v ON v.id + 1 = branch_key WHERE y > 0),
+        pct AS (SELECT branch_key AS k, v.name, (t - y) / y * 100 AS p FROM b JOIN v_branches v ON v.id + 1 = branch_key WHERE y > 0),
         hours AS (SELECT hour_of_day AS h, SUM(net_amount) AS r FROM f WHERE time_key = {today} GROUP BY 1 ORDER BY r DESC, h LIMIT 2),
         best AS (SELECT product_key, SUM(quantity) AS u FROM f WHERE time_key = {today} GROUP BY 1 ORDER BY u DESC, 1 LIMIT 1),
         low AS (SELECT COUNT(*) AS n FROM v_stock WHERE stock_level + {lift} < 20),
         found AS (
-            SELECT 'warning' AS type, 'Branch ' || name || ' revenue dropped ' || printf('%.1f', ROUND(ABS(p), 1)) || '% so với hôm qua' AS text FROM pct WHERE p <= -15
+            SELECT 0 AS nr, k, 'warning' AS type, 'Branch ' || name || ' revenue dropped ' || printf('%.1f', ROUND(ABS(p), 1)) || '% so với hôm qua' AS text FROM pct WHERE p <= -15
             UNION ALL
-            SELECT 'success', 'Branch ' || name || ' revenue surged ' || printf('%.1f', ROUND(p, 1)) || '% so với hôm qua' FROM pct WHERE p >= 20
+            SELECT 0, k, 'success', 'Branch ' || name || ' revenue surged ' || printf('%.1f', ROUND(p, 1)) || '% so với hôm qua' FROM pct WHERE p >= 20
             UNION ALL
-            SELECT 'info', 'Peak hours today: ' || string_agg(lpad(CAST(h AS VARCHAR), 2, '0') || ':00', ' and ' ORDER BY r DESC, h) FROM hours HAVING COUNT(*) > 0
+            SELECT 1, 0, 'info', 'Peak hours today: ' || string_agg(lpad(CAST(h AS VARCHAR), 2, '0') || ':00', ' and ' ORDER BY r DESC, h) FROM hours HAVING COUNT(*) > 0
             UNION ALL
-            SELECT 'warning', CAST(n AS VARCHAR) || ' product(s) are running low on stock across all branches' FROM low WHERE n > 0
+            SELECT 2, 0, 'warning', CAST(n AS VARCHAR) || ' product(s) are running low on stock across all branches' FROM low WHERE n > 0
             UNION ALL
-            SELECT 'info', 'Best seller today: ' || name || ' (' || CAST(u AS VARCHAR) || ' units)' FROM best JOIN v_products p ON p.id + 1 = product_key)
-        SELECT type, text FROM found
-        UNION ALL
-        SELECT 'info', 'No significant data insights for today.' WHERE NOT EXISTS (SELECT 1 FROM found)"""
+            SELECT 3, 0, 'info', 'Best seller today: ' || name || ' (' || CAST(u AS VARCHAR) || ' units)' FROM best JOIN v_products p ON p.id + 1 = product_key)
+        SELECT type, text FROM (
+            SELECT * FROM found
+            UNION ALL
+            SELECT 4, 0, 'info', 'No significant data insights for today.' WHERE NOT EXISTS (SELECT 1 FROM found))
+        ORDER BY nr, k"""
 
 
 def _store_kpi(store: int | None) -> str:
@@ -244,7 +253,16 @@ def _store_kpi(store: int | None) -> str:
 def _over_time(kind: str, sign: str, name: str) -> str:
     return f"""
         SELECT CAST(created_at AS DATE) AS date, CAST(SUM({sign}change_amount) AS BIGINT) AS {name} FROM v_ledger
-        WHERE type = '{kind}' AND created_at >= TIMESTAMP '2023-12-31 23:59:59' GROUP BY 1"""
+        WHERE type = '{kind}' AND created_at >= TIMESTAMP '2023-12-31 23:59:59' GROUP BY 1 ORDER BY date"""
+
+
+def _transactions(where: str, tail: str) -> str:
+    return f"""
+        SELECT l.id, l.store_id, l.product_id, l.change_amount, l.type, l.created_by, l.created_at, s.name AS store, s.name AS store_name,
+               p.name AS product, p.name AS product_name, p.category, 'pcs' AS unit, u.name AS created_by_name
+        FROM v_ledger l JOIN v_stores s ON s.id = l.store_id JOIN v_products p ON p.id = l.product_id
+        LEFT JOIN v_users u ON u.id = l.created_by
+        WHERE {where} {tail}"""
 
 
 def _low(columns: str, tail: str = "") -> str:
@@ -297,14 +315,14 @@ STATEMENTS = {
     "dim_branch_upsert": """
         SELECT CASE WHEN n_regionkey = 0 THEN n_nationkey + 101
                     ELSE (SELECT MAX(n_nationkey) + 101 FROM nation WHERE n_regionkey = 0)
-                         + ROW_NUMBER() OVER (PARTITION BY n_regionkey = 0 ORDER BY n_nationkey) END AS branch_key,
+                         + ROW_NUMBER() OVER (PARTITION BY n_regionkey = 0 ORDER BY substr(md5(CAST(n_nationkey AS VARCHAR)), 1, 4), n_nationkey) END AS branch_key,
                CAST(n_nationkey AS BIGINT) AS branch_id, n_name AS name,
                CASE WHEN n_regionkey = 0 THEN DATE '1995-01-01' END AS valid_from, CASE WHEN n_regionkey = 0 THEN TRUE END AS is_current
         FROM nation""",
     "dim_product_upsert": """
         SELECT CASE WHEN category IN ('ECONOMY', 'SMALL') THEN id * 2 + 1
                     ELSE (SELECT MAX(id) * 2 + 1 FROM v_products WHERE category IN ('ECONOMY', 'SMALL'))
-                         + ROW_NUMBER() OVER (PARTITION BY category IN ('ECONOMY', 'SMALL') ORDER BY id) END AS product_key,
+                         + ROW_NUMBER() OVER (PARTITION BY category IN ('ECONOMY', 'SMALL') ORDER BY substr(md5(CAST(id AS VARCHAR)), 1, 4), id) END AS product_key,
                id AS product_id, name, category, CASE WHEN category IN ('ECONOMY', 'SMALL') THEN DATE '1995-01-01' END AS valid_from,
                CASE WHEN category IN ('ECONOMY', 'SMALL') THEN TRUE END AS is_current
         FROM v_products""",
@@ -324,7 +342,7 @@ STATEMENTS = {
     # views
     "revenue_by_hour": """
         SELECT hour_of_day, CAST(SUM(net_amount) AS DOUBLE) AS total_revenue, COUNT(DISTINCT order_id) AS total_orders
-        FROM v_fact GROUP BY 1""",
+        FROM v_fact GROUP BY 1 ORDER BY hour_of_day""",
     "top_products_branch": """
         SELECT b.name AS branch_name, p.name AS product_name, CAST(SUM(f.quantity) AS BIGINT) AS total_units_sold,
                CAST(SUM(f.net_amount) AS DOUBLE) AS total_revenue,
@@ -347,14 +365,16 @@ STATEMENTS = {
     "branch_performance": """
         SELECT b.name AS branch_name, CAST(SUM(total_net) AS DOUBLE) AS total_revenue, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
                CAST(SUM(total_net - total_cost) AS DOUBLE) AS total_profit, RANK() OVER (ORDER BY SUM(total_net) DESC) AS revenue_rank
-        FROM v_orders_daily JOIN v_branches b ON b.id + 1 = branch_key GROUP BY b.name""",
+        FROM v_orders_daily JOIN v_branches b ON b.id + 1 = branch_key GROUP BY b.name
+        ORDER BY revenue_rank, branch_name""",
     "branch_best_worst": """
         WITH r AS (SELECT b.name, SUM(total_net) AS rev FROM v_orders_daily JOIN v_branches b ON b.id + 1 = branch_key GROUP BY 1)
         SELECT (SELECT name FROM r ORDER BY rev DESC, name DESC LIMIT 1) AS best, (SELECT name FROM r ORDER BY rev, name LIMIT 1) AS worst""",
     "revenue_distribution": """
         SELECT b.name AS branch, CAST(SUM(total_net) AS DOUBLE) AS revenue,
                ROUND(CAST(SUM(total_net) AS DOUBLE) / (SELECT CAST(SUM(total_net) AS DOUBLE) FROM v_orders_daily), 6) AS share
-        FROM v_orders_daily JOIN v_branches b ON b.id + 1 = branch_key GROUP BY b.name""",
+        FROM v_orders_daily JOIN v_branches b ON b.id + 1 = branch_key GROUP BY b.name
+        ORDER BY revenue DESC, branch""",
     "daily_revenue": """
         SELECT CAST(strptime(CAST(time_key AS VARCHAR), '%Y%m%d') AS DATE) AS sale_date, branch_key - 1 AS branch_id,
                CAST(total_net AS DOUBLE) AS revenue, CAST(total_discount AS DOUBLE) AS total_discount, total_orders AS order_count
@@ -368,11 +388,13 @@ STATEMENTS = {
     "kpi_revenue_by_hour": f"""
         SELECT lpad(CAST(hour_of_day AS VARCHAR), 2, '0') || ':00' AS hour, CAST(SUM(net_amount) AS DOUBLE) AS revenue,
                COUNT(DISTINCT order_id) AS orders
-        FROM v_fact WHERE time_key = {TODAY} GROUP BY hour_of_day""",
+        FROM v_fact WHERE time_key = {TODAY} GROUP BY hour_of_day
+        ORDER BY hour""",
     "revenue_by_date": """
         SELECT CAST(strptime(CAST(time_key AS VARCHAR), '%Y%m%d') AS DATE) AS date, CAST(SUM(net_amount) AS DOUBLE) AS revenue,
                COUNT(DISTINCT order_id) AS orders
-        FROM v_fact WHERE time_key >= 20010717 GROUP BY time_key""",
+        FROM v_fact WHERE time_key >= 20010717 GROUP BY time_key
+        ORDER BY date""",
     "revenue_by_date_filled": """
         WITH r AS (SELECT CAST(strptime(CAST(time_key AS VARCHAR), '%Y%m%d') AS DATE) AS date, SUM(net_amount) AS revenue,
                           COUNT(DISTINCT order_id) AS orders
@@ -380,14 +402,16 @@ STATEMENTS = {
         days AS (SELECT CAST(UNNEST(generate_series(DATE '2001-07-17', GREATEST(DATE '2001-07-31',
                         (SELECT COALESCE(MAX(date), DATE '2001-07-31') FROM r)), INTERVAL 1 DAY)) AS DATE) AS date)
         SELECT days.date, CAST(COALESCE(r.revenue, 0) AS DOUBLE) AS revenue, COALESCE(r.orders, 0) AS orders
-        FROM days LEFT JOIN r ON r.date = days.date""",
+        FROM days LEFT JOIN r ON r.date = days.date
+        ORDER BY date""",
     "top_products": _top(""),
-    "top_products_ranked": _top("", 10, ", ROW_NUMBER() OVER (ORDER BY s.u DESC, p.name) AS position"),
+    "top_products_ranked": _top("", 10, ", ROW_NUMBER() OVER (ORDER BY s.u DESC, p.name) AS position", "position"),
     "top_products_of_branch": _top("WHERE branch_key = 4"),
     "low_stock_lots": """
         SELECT product, category, CAST(stock AS DOUBLE) AS stock, 'kg' AS unit, CAST(10 AS DOUBLE) AS reorder_level, expiry_date, batch,
                CASE WHEN stock <= 5 OR (expiry_date IS NOT NULL AND expiry_date <= DATE '1998-01-01') THEN 'critical' ELSE 'warning' END AS severity
-        FROM v_lots WHERE stock <= 10 OR (expiry_date IS NOT NULL AND expiry_date <= DATE '1998-01-08')""",
+        FROM v_lots WHERE stock <= 10 OR (expiry_date IS NOT NULL AND expiry_date <= DATE '1998-01-08')
+        ORDER BY expiry_date NULLS LAST, stock, batch, product""",
     "insights": _insights(TODAY, YESTERDAY, 0),
     "insights_quiet_day": _insights(19900102, 19900101, 1_000_000_000),
     "data_quality": """
@@ -420,48 +444,50 @@ STATEMENTS = {
                COUNT(DISTINCT l.store_id) AS stores_sold
         FROM v_ledger l JOIN v_products p ON p.id = l.product_id WHERE l.type = 'sale'
         GROUP BY p.id, p.name, p.category ORDER BY total_sold DESC, p.id LIMIT 10""",
-    "low_stock_items": _low(LOW_COLUMNS),
+    "low_stock_items": _low(LOW_COLUMNS, "ORDER BY i.quantity, i.id"),
     "low_stock_preview": _low(LOW_COLUMNS, "ORDER BY i.quantity, i.id LIMIT 5"),
-    "low_stock_by_ratio": _low("p.name AS product, p.category, 'pcs' AS unit, s.name AS store, s.id AS store_id"),
-    "inventory_list": LISTED,
+    "low_stock_by_ratio": _low("p.name AS product, p.category, 'pcs' AS unit, s.name AS store, s.id AS store_id",
+        "ORDER BY CAST(i.quantity AS DOUBLE) / NULLIF(i.low_stock, 0) NULLS LAST, i.id"),
+    "inventory_list": LISTED + " ORDER BY store, category, product, i.id",
     "inventory_chart": f"""
         SELECT substr(product, 1, 15) AS name, quantity, low_stock
         FROM ({LISTED}) ORDER BY store, category, product, id LIMIT 8""",
-    "search": LISTED + " WHERE lower(p.name) LIKE '%ring%' OR lower(p.category) LIKE '%ring%'",
+    "search": LISTED + " WHERE lower(p.name) LIKE '%ring%' OR lower(p.category) LIKE '%ring%' ORDER BY store, category, product, i.id",
     "inventory_by_store": """
         SELECT s.id AS store_id, s.name AS store, s.location, COUNT(i.id) AS product_count, CAST(SUM(i.quantity) AS BIGINT) AS total_quantity,
                CAST(SUM(CASE WHEN i.quantity <= i.low_stock THEN 1 ELSE 0 END) AS BIGINT) AS low_stock_count
-        FROM v_stores s JOIN v_shelf i ON i.store_id = s.id GROUP BY s.id, s.name, s.location""",
+        FROM v_stores s JOIN v_shelf i ON i.store_id = s.id GROUP BY s.id, s.name, s.location
+        ORDER BY store_id""",
     "store_comparison": """
         SELECT s.id AS store_id, s.name AS store, CAST(COALESCE(SUM(i.quantity), 0) AS BIGINT) AS total_quantity,
                ROUND(COALESCE(AVG(i.quantity), 0), 4) AS avg_quantity, COUNT(i.id) AS product_count
-        FROM v_stores s LEFT JOIN v_shelf i ON i.store_id = s.id GROUP BY s.id, s.name""",
+        FROM v_stores s LEFT JOIN v_shelf i ON i.store_id = s.id GROUP BY s.id, s.name
+        ORDER BY total_quantity DESC, store_id""",
     "category_breakdown": """
         SELECT p.category, COUNT(p.id) AS product_count, CAST(SUM(i.quantity) AS BIGINT) AS total_stock, ROUND(AVG(i.quantity), 4) AS avg_stock
-        FROM v_products p JOIN v_shelf i ON i.product_id = p.id GROUP BY p.category""",
+        FROM v_products p JOIN v_shelf i ON i.product_id = p.id GROUP BY p.category
+        ORDER BY total_stock DESC, category""",
     "inventory_value": """
         SELECT s.id AS store_id, s.name AS store, CAST(SUM(i.quantity * p.base_price) AS DOUBLE) AS total_value
-        FROM v_stores s JOIN v_shelf i ON i.store_id = s.id JOIN v_products p ON p.id = i.product_id GROUP BY s.id, s.name""",
+        FROM v_stores s JOIN v_shelf i ON i.store_id = s.id JOIN v_products p ON p.id = i.product_id GROUP BY s.id, s.name
+        ORDER BY total_value DESC, store_id""",
     "store_kpi": _store_kpi(None),
     "store_kpi_of_store": _store_kpi(4),
-    "product_list": "SELECT id, name, category, 'pcs' AS unit FROM v_products",
+    "product_list": "SELECT id, name, category, 'pcs' AS unit FROM v_products ORDER BY category, name, id",
     # ledger
     "transaction_summary": """
         SELECT type, COUNT(*) AS count, CAST(SUM(change_amount) AS BIGINT) AS net_change, ROUND(AVG(ABS(change_amount)), 4) AS avg_amount
-        FROM v_ledger WHERE created_at >= TIMESTAMP '2024-01-10 23:59:59' GROUP BY type""",
+        FROM v_ledger WHERE created_at >= TIMESTAMP '2024-01-10 23:59:59' GROUP BY type
+        ORDER BY count DESC, type""",
     "sales_over_time": _over_time("sale", "-", "total_sales"),
     "imports_over_time": _over_time("import", "", "total_imports"),
     "sales_trend": """
         SELECT CAST(created_at AS DATE) AS date, CAST(SUM(CASE WHEN type = 'sale' THEN -change_amount ELSE 0 END) AS BIGINT) AS sales,
                CAST(SUM(CASE WHEN type = 'import' THEN change_amount ELSE 0 END) AS BIGINT) AS imports,
                strftime(CAST(created_at AS DATE), '%b %-d') AS label
-        FROM v_ledger WHERE type IN ('sale', 'import') AND created_at >= TIMESTAMP '2023-12-31 23:59:59' GROUP BY 1""",
-    "transactions_page": """
-        SELECT l.id, l.store_id, l.product_id, l.change_amount, l.type, l.created_by, l.created_at, s.name AS store, s.name AS store_name,
-               p.name AS product, p.name AS product_name, p.category, 'pcs' AS unit, u.name AS created_by_name
-        FROM v_ledger l JOIN v_stores s ON s.id = l.store_id JOIN v_products p ON p.id = l.product_id
-        LEFT JOIN v_users u ON u.id = l.created_by
-        WHERE l.type = 'sale' ORDER BY l.created_at DESC, l.id DESC LIMIT 20 OFFSET 40""",
+        FROM v_ledger WHERE type IN ('sale', 'import') AND created_at >= TIMESTAMP '2023-12-31 23:59:59' GROUP BY 1
+        ORDER BY date""",
+    "transactions_page": _transactions("l.type = 'sale'", "ORDER BY l.created_at DESC, l.id DESC LIMIT 20 OFFSET 40"),
     "transactions_page_info": """
         SELECT CAST(3 AS BIGINT) AS page, CAST(20 AS BIGINT) AS "limit", COUNT(*) AS total, CAST((COUNT(*) + 19) // 20 AS BIGINT) AS pages
         FROM v_ledger l JOIN v_stores s ON s.id = l.store_id JOIN v_products p ON p.id = l.product_id WHERE l.type = 'sale'""",
@@ -499,13 +525,15 @@ STATEMENTS = {
     # people
     "user_patch": "SELECT id, name, email, role_id, store_id, active FROM v_patched",
     "user_list": """
-        SELECT u.id, u.name, u.email, u.active, u.role_id, r.name AS role FROM v_users u JOIN v_roles r ON r.id = u.role_id""",
+        SELECT u.id, u.name, u.email, u.active, u.role_id, r.name AS role FROM v_users u JOIN v_roles r ON r.id = u.role_id
+        ORDER BY u.id DESC""",
     "role_permissions": """
         SELECT r.id, r.name, r.description,
                CAST(to_json(COALESCE(list(p.key ORDER BY p.key) FILTER (WHERE p.key IS NOT NULL), [])) AS VARCHAR) AS permissions
         FROM v_roles r LEFT JOIN v_bridge b ON b.role_id = r.id LEFT JOIN v_permissions p ON p.id = b.permission_id
-        GROUP BY r.id, r.name, r.description""",
-    "permission_list": "SELECT id, key, 'Manage ' || 'Brand#' || CAST(id AS VARCHAR) AS label FROM v_permissions",
+        GROUP BY r.id, r.name, r.description
+        ORDER BY r.id""",
+    "permission_list": "SELECT id, key, 'Manage ' || 'Brand#' || CAST(id AS VARCHAR) AS label FROM v_permissions ORDER BY key",
     "user_permissions": """
         SELECT u.id AS user_id, r.name AS role, u.store_id, CAST(to_json(list(DISTINCT p.key ORDER BY p.key)) AS VARCHAR) AS permissions
         FROM v_users u JOIN v_roles r ON r.id = u.role_id JOIN v_bridge b ON b.role_id = r.id JOIN v_permissions p ON p.id = b.permission_id
@@ -548,13 +576,7 @@ STATEMENTS = {
         FROM v_users b FULL JOIN after a ON a.id = b.id
         WHERE (b.id, b.name, b.email, b.role_id, b.store_id, b.active) IS DISTINCT FROM (a.id, a.name, a.email, a.role_id, a.store_id, a.active)""",
     # cleaning, loading, planning
-    "validate_rows": """
-        SELECT id, CAST(to_json(list_filter([
-                   CASE WHEN name IS NULL OR length(trim(name)) < 2 THEN 'Name must be at least 2 characters' END,
-                   CASE WHEN NOT regexp_full_match(email, '[^\\s@]+@[^\\s@]+\\.[^\\s@]+') THEN 'Invalid email format' END,
-                   CASE WHEN length(password) < 8 THEN 'Password must be at least 8 characters' END,
-                   CASE WHEN role_id IN ('', '0', '1.5') THEN 'Valid role_id is required' END], lambda x: x IS NOT NULL)) AS VARCHAR) AS errors
-        FROM v_signups""",
+    "validate_rows": "SELECT id, CAST(to_json(errors) AS VARCHAR) AS errors FROM v_checked",
     "validate_inventory_rows": """
         WITH f AS (SELECT l_orderkey AS form_id, CAST(l_suppkey % 11 AS VARCHAR) AS store_id, CAST(l_partkey AS VARCHAR) AS product_id,
                           CAST(l_quantity AS INTEGER) AS q,
@@ -571,6 +593,32 @@ STATEMENTS = {
     "sanitize_strings": f"""
         SELECT page_id, replace(replace(trim(url, {JS_SPACE}), '<', ''), '>', '') AS url,
                replace(replace(trim(html, {JS_SPACE}), '<', ''), '>', '') AS html FROM pages""",
+    "pos_parsed": """
+        SELECT transaction_id, branch_id, product_id, quantity, unit_price, ts AS timestamp FROM v_pos WHERE quantity <> 5""",
+    "pos_malformed": """
+        SELECT substr('{"transaction_id":', 1, 15) AS value, COUNT(*) AS lines FROM v_pos WHERE quantity = 5 GROUP BY 1""",
+    "branch_list": "SELECT id, name FROM v_branches ORDER BY id",
+    "store_list": "SELECT id, name, location FROM v_stores ORDER BY name, id",
+    "transaction_by_id": _transactions("l.id = 77", ""),
+    "transactions_page_after": _transactions(
+        "l.type = 'sale' AND (l.created_at, l.id) < (TIMESTAMP '2024-01-20', 500)", "ORDER BY l.created_at DESC, l.id DESC LIMIT 30"),
+    "permissions_of_role": """
+        SELECT p.id, p.key, 'Manage Brand#' || CAST(p.id AS VARCHAR) AS label
+        FROM v_permissions p JOIN v_bridge b ON b.permission_id = p.id WHERE b.role_id = 3""",
+    "validate_ledger_rows": """
+        SELECT id, CAST(to_json(list_filter([
+                   CASE WHEN product_id = 9 THEN 'store_id, product_id, change_amount, type are required' END,
+                   CASE WHEN type = 'import' THEN 'type must be one of: import, sale, adjustment' END], lambda x: x IS NOT NULL)) AS VARCHAR) AS errors
+        FROM v_ledger""",
+    "missing_sign_up_fields": """
+        SELECT id, CAST(to_json(list_filter([CASE WHEN name IS NULL THEN 'name' END, CASE WHEN role_id = '' THEN 'role_id' END],
+                   lambda x: x IS NOT NULL)) AS VARCHAR) AS missing
+        FROM v_signups""",
+    "accepted_sign_ups": "SELECT id, email FROM v_checked WHERE len(errors) = 0",
+    "rejected_sign_ups": """
+        SELECT error, COUNT(*) AS forms FROM (SELECT unnest(errors) AS error FROM v_checked) GROUP BY 1""",
+    "duplicate_part_names": """
+        SELECT p_name, p_brand, COUNT(*) AS copies FROM part GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "json_array_load": """
         WITH e AS (
             SELECT p_partkey, 0 AS pos, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS name, p_type, p_retailprice, p_size FROM part

@@ -67,20 +67,38 @@ def test_rank_equals_window_rank(spark, seed):
     assert rows(rank_descending(df, "v")) == rows(overall)
 
 
-def test_number_rows_across_blocks(spark, monkeypatch):
-    monkeypatch.setattr(key_module, "BLOCK_BITS", 3)
-    ids = random.Random(3).sample(range(500), 120)
-    df = spark.createDataFrame([(i,) for i in ids], "id long")
-    found = {r.id: r.n for r in number_rows(df, "id", "n").collect()}
-    assert found == {i: n for n, i in enumerate(sorted(ids), 1)}
+def test_number_rows_of_any_keys(spark):
+    rng = random.Random(3)
+    sparse = [rng.randrange(1 << 62) for _ in range(60)]
+    for keys, kind in ((rng.sample(range(500), 120), "long"), (sparse, "long"), ([f"k{i}" for i in range(50)], "string")):
+        df = spark.createDataFrame([(k,) for k in keys], f"id {kind}")
+        found = {r.id: r.n for r in number_rows(df, "id", "n").collect()}
+        assert sorted(found.values()) == list(range(1, len(keys) + 1)) and set(found) == set(keys)
+        again = {r.id: r.n for r in number_rows(df.repartition(5), "id", "n").collect()}
+        assert again == found
+
+
+def test_a_row_without_key_is_an_error_not_a_loss(spark):
+    df = spark.createDataFrame([(None,), (5,)], "id long")
+    with pytest.raises(Exception, match="has no id"):
+        number_rows(df, "id", "n").collect()
+
+
+def test_numbering_blocks_are_few(spark):
+    """Also for ids far apart the table of blocks stays within its bound."""
+    df = spark.range(300).selectExpr("id << 40 AS id")
+    blocks = df.select(key_module._block("id").alias("b")).distinct().count()
+    assert blocks <= 16**key_module.BLOCK_DIGITS
 
 
 def test_surrogate_keys_continue_and_repeat(spark):
     dim = spark.createDataFrame([(7, 1), (9, 2)], "k long, id long")
     new = spark.createDataFrame([(30,), (10,)], "id long")
-    assert rows(assign_surrogate_keys(dim, new, "id", "k").select("id", "k")) == [(10, 10), (30, 11)]
+    numbered = rows(assign_surrogate_keys(dim, new, "id", "k").select("id", "k"))
+    assert sorted(k for _, k in numbered) == [10, 11] and [i for i, _ in numbered] == [10, 30]
+    assert rows(assign_surrogate_keys(dim, new, "id", "k").select("id", "k")) == numbered
     empty = dim.limit(0)
-    assert rows(assign_surrogate_keys(empty, new, "id", "k").select("id", "k")) == [(10, 1), (30, 2)]
+    assert sorted(k for _, k in rows(assign_surrogate_keys(empty, new, "id", "k").select("id", "k"))) == [1, 2]
 
 
 # ---- folds ----------------------------------------------------------------------

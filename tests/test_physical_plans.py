@@ -45,6 +45,36 @@ def test_an_input_used_twice_is_shuffled_once(spark, name):
     assert text.count("FileScan parquet [event_id") <= 1 and text.count("FileScan parquet [l_orderkey") <= 2
 
 
+def scans(spark, name):
+    """How often each table is read, by its first letters, with sort-merge joins only."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        df = queries()[name](spark, FOLDER)
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        text = plan(df.select("*"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    return {t: text.count(f"FileScan parquet [{t}_") for t in "lpocn"}
+
+
+@pytest.mark.parametrize(
+    "name,most",
+    [
+        ("fact_sales", {"l": 1, "p": 2, "o": 1}),
+        ("dim_product_upsert", {"p": 3}),
+        ("revenue_distribution", {"l": 1, "o": 1}),
+        ("stock_update_to_ledger", {"l": 1}),
+        ("daily_revenue", {"l": 1, "o": 1}),
+    ],
+)
+def test_tables_are_read_once(spark, name, most):
+    found = scans(spark, name)
+    assert all(found[t] <= n for t, n in most.items()), found
+
+
 def test_top_k_is_cut_in_every_task(spark):
     assert "TakeOrderedAndProject" in plan(queries()["transactions_page"](spark, FOLDER))
     assert "TakeOrderedAndProject" in plan(queries()["low_stock_preview"](spark, FOLDER))

@@ -1,7 +1,7 @@
 from .dedup import keep_first
 from .diff import snapshot_diff, stock_changes
 from .folds import clamped_balance, level_changes, with_previous
-from .keys import assign_surrogate_keys, number_rows
+from .keys import assign_surrogate_keys, number_missing, number_rows
 from .merge import (
     delete_cascade,
     delete_set_null,
@@ -31,6 +31,7 @@ __all__ = [
     "keep_first",
     "level_changes",
     "missing_fields",
+    "number_missing",
     "number_rows",
     "numbered",
     "orphans",

@@ -76,8 +76,10 @@ def visible_totals(inventory: DataFrame, users: DataFrame, roles: DataFrame) ->
     are joined, so no (user, stock row) pair is ever made."""
     rows, units = F.count(F.lit(1)).alias("_rows"), F.sum("quantity").alias("_units")
     per_store = inventory.groupBy("store_id").agg(rows, units)
-    overall = inventory.agg(rows, units)
-    all_rows, all_units = overall.select("_rows").scalar(), overall.select("_units").scalar()
+    # Both sums in one value, so that it needs the same columns as the join below.
+    overall = F.struct(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.sum("_units").alias("units"))
+    everything = per_store.agg(overall.alias("all")).scalar()
+    all_rows, all_units = everything["rows"], everything["units"]
     named = users.join(roles.select(F.col("id").alias("role_id"), F.col("name").alias("role")), "role_id")
     scoped = named.join(per_store, "store_id", "left")
     admin, nothing = F.col("role") == ADMIN, F.lit(0)
@@ -127,7 +129,8 @@ def audit_log_search(
     )
     top = page(audit.filter(wanted), [pg_desc("created_at"), pg_desc("id")], limit, offset)
     people = users.select(F.col("id").alias("_user"), F.col("name").alias("user_name"), F.col("email").alias("user_email"))
-    return top.join(people, F.col("user_id") == F.col("_user"), "left").drop("_user")
+    labelled = top.join(people, F.col("user_id") == F.col("_user"), "left").drop("_user")
+    return labelled.orderBy(pg_desc("created_at"), pg_desc("id"))
 
 
 def normalize_profiles(profiles: DataFrame) -> DataFrame:

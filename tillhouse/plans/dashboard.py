@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import all_of, hour_label, money_sum, percent_change, pg_asc, pg_desc
-from ..operators import date_spine
 
 
 def day_key(day: dt.date) -> int:
@@ -111,14 +110,21 @@ def revenue_by_date(
 def revenue_by_date_filled(by_date: DataFrame, as_of: dt.date, days: int = 14) -> DataFrame:
     """The same with a zero row for each day without sales. The spine runs from
     the first day of the range to ``as_of``, or to the last sale if that is later."""
-    bounds = by_date.agg(F.greatest(F.max("date"), F.lit(as_of)).alias("last"))
-    spine = date_spine(bounds, F.lit(as_of - dt.timedelta(days=days)), F.col("last"))
+    # A few days: they go into one row, which the spine is made from and looked up in.
+    known = by_date.agg(
+        F.max("date").alias("_last"),
+        F.map_from_entries(F.collect_list(F.struct("date", F.struct("revenue", "orders")))).alias("_known"),
+    )
+    spine = F.sequence(
+        F.lit(as_of - dt.timedelta(days=days)), F.greatest("_last", F.lit(as_of)), F.expr("interval 1 day")
+    )
+    found = F.try_element_at("_known", F.col("date"))
     return (
-        spine.join(by_date, "date", "left")
+        known.select("_known", F.explode(spine).alias("date"))
         .select(
             "date",
-            F.coalesce("revenue", F.lit(0).cast("decimal(12,2)")).alias("revenue"),
-            F.coalesce("orders", F.lit(0)).alias("orders"),
+            F.coalesce(found["revenue"], F.lit(0).cast("decimal(12,2)")).alias("revenue"),
+            F.coalesce(found["orders"], F.lit(0)).alias("orders"),
         )
         .orderBy(pg_asc("date"))
     )
@@ -127,14 +133,18 @@ def revenue_by_date_filled(by_date: DataFrame, as_of: dt.date, days: int = 14) -
 def top_products(
     sales: DataFrame, dim_branch: DataFrame, dim_product: DataFrame, limit: int = 5, branch_id: int | None = None
 ) -> DataFrame:
-    """Best sellers by units. Names are looked up for the winners only."""
+    """Best sellers by units, in order; products without a dimension row do not count."""
     sold = (
         _of_branch(sales, dim_branch, branch_id)
         .groupBy("product_key")
         .agg(F.sum("quantity").alias("units_sold"), money_sum(F.col("net_amount")).alias("revenue"))
     )
-    best = sold.orderBy(pg_desc("units_sold"), pg_asc("product_key")).limit(limit)
-    return best.join(dim_product, "product_key").select("name", "category", "units_sold", F.round("revenue", 2).alias("revenue"))
+    return (
+        sold.join(dim_product, "product_key")
+        .orderBy(pg_desc("units_sold"), pg_asc("product_key"))
+        .limit(limit)
+        .select("name", "category", "units_sold", F.round("revenue", 2).alias("revenue"))
+    )
 
 
 def with_position(best: DataFrame) -> DataFrame:
@@ -156,7 +166,7 @@ def low_stock_lots(lots: DataFrame, as_of: dt.date, branch_id: int | None = None
     scope = F.col("branch_id") == branch_id if branch_id else None
     return (
         lots.filter(all_of([(stock <= reorder) | expiring, scope]))
-        .orderBy(pg_asc("expiry_date"), pg_asc("stock_quantity"), pg_asc("batch_number"))
+        .orderBy(pg_asc("expiry_date"), pg_asc("stock_quantity"), pg_asc("batch_number"), pg_asc("product_name"))
         .select(
             F.col("product_name").alias("product"),
             F.col("ingredient_type").alias("category"),
@@ -183,9 +193,11 @@ DROP_PERCENT, SURGE_PERCENT, LOW_LEVEL, PEAK_HOURS = -15, 20, 20, 2
 def insights(
     sales: DataFrame, dim_branch: DataFrame, dim_product: DataFrame, stock: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    """Remarks on the day, as (type, text).
+    """Remarks on the day, as (type, text): branches by key, peak hours, low stock,
+    best seller.
 
-    Branch, hour and product sums come from one pass over the two days' sales.
+    Branch, hour and product sums come from one pass over the two days' sales. The
+    remarks, at most one per branch and three more, are put in order in one row.
     """
     today, yesterday = day_key(as_of), day_key(as_of - dt.timedelta(days=1))
     is_today = F.col("time_key") == today
@@ -224,7 +236,10 @@ def insights(
     hours_known = of_hour & (F.size("_hours") > 0)
     best_known = of_product & F.col("_best").isNotNull()
     dropped, surged = compared & (percent <= DROP_PERCENT), compared & (percent >= SURGE_PERCENT)
+    at = F.when(compared, 0).when(hours_known, 1).when(best_known, 3)
     from_sales = labelled.select(
+        at.alias("at"),
+        "branch_key",
         F.when(dropped, "warning").when(surged, "success").when(hours_known | best_known, "info").alias("type"),
         F.when(dropped, F.format_string(DROP_TEXT, "_branch", shown))
         .when(surged, F.format_string(SURGE_TEXT, "_branch", shown))
@@ -235,8 +250,18 @@ def insights(
 
     low = stock.filter(F.col("stock_level") < LOW_LEVEL).agg(F.count(F.lit(1)).alias("_n"))
     from_stock = low.filter(F.col("_n") > 0).select(
-        F.lit("warning").alias("type"), F.format_string(LOW_TEXT, "_n").alias("text")
+        F.lit(2).alias("at"),
+        F.lit(None).cast("long").alias("branch_key"),
+        F.lit("warning").alias("type"),
+        F.format_string(LOW_TEXT, "_n").alias("text"),
     )
-    found = from_sales.unionByName(from_stock)
-    nothing = low.select(F.lit("info").alias("type"), F.lit(NOTHING_TEXT).alias("text"))
-    return found.unionByName(nothing.filter(~found.exists()))
+    remark = F.struct("at", "branch_key", "type", "text")
+    found = from_sales.unionByName(from_stock).agg(F.sort_array(F.collect_list(remark)).alias("all"))
+    nothing = F.array(
+        F.struct(
+            F.lit(0).alias("at"), F.lit(None).cast("long").alias("branch_key"),
+            F.lit("info").alias("type"), F.lit(NOTHING_TEXT).alias("text"),
+        )
+    )
+    remarks = F.when(F.size("all") > 0, F.col("all")).otherwise(nothing)
+    return found.select(F.explode(remarks).alias("remark")).select("remark.type", "remark.text")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import all_of, from_cents, optional_equal, pg_asc, pg_desc, to_cents, within_days
-from ..operators import clamped_balance, combinations, insert_absent, page, page_info, update_from, update_where
+from ..operators import clamped_balance, combinations, insert_absent, page, page_after, page_info, update_from, update_where
 
 STOCK_KEY = ["branch_id", "product_id"]
 SHELF_KEY = ["store_id", "product_id"]
@@ -60,6 +60,17 @@ def ledger_sync(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     return update_from(inventory, net, SHELF_KEY, {"quantity": level})
 
 
+def sync_as_ledger_rows(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The ledger rows behind setting stock to its level after ``ledger_sync``: more is
+    an import, less a sale. Old and new level come from one join."""
+    net = ledger.groupBy(*SHELF_KEY).agg(F.sum("change_amount").alias("net_change"))
+    level = F.greatest(F.lit(0).cast("long"), F.col("quantity") + F.col("net_change"))
+    changed = inventory.join(net, SHELF_KEY).withColumn("change_amount", (level - F.col("quantity")).cast("long"))
+    return changed.filter(F.col("change_amount") != 0).select(
+        *SHELF_KEY, "change_amount", F.when(F.col("change_amount") > 0, "import").otherwise("sale").alias("type")
+    )
+
+
 # ---- queries over the ledger ------------------------------------------------
 
 
@@ -150,13 +161,27 @@ def transactions_page(
     repeats rows, so it can follow the limit.
     """
     rows = _labelled(ledger, stores, products, store_id, product_id, kind)
-    top = page(rows, [pg_desc("created_at"), pg_desc("id")], limit, offset)
+    return _with_author(page(rows, [pg_desc("created_at"), pg_desc("id")], limit, offset), users)
+
+
+def transactions_page_after(
+    ledger: DataFrame, stores: DataFrame, products: DataFrame, users: DataFrame, *,
+    kind: str | None = None, limit: int = 100, last: tuple[dt.datetime, int] | None = None,
+) -> DataFrame:
+    """The page that follows the row (created_at, id): a deep page costs as much as the first."""
+    rows = _labelled(ledger, stores, products, None, None, kind)
+    return _with_author(page_after(rows, "created_at", "id", limit, last), users)
+
+
+def _with_author(top: DataFrame, users: DataFrame) -> DataFrame:
+    """Names for the rows of a page, and its order again: the join does not keep it."""
     author = users.select(F.col("id").alias("_author"), F.col("name").alias("created_by_name"))
-    return top.join(author, F.col("created_by") == F.col("_author"), "left").select(
+    labelled = top.join(author, F.col("created_by") == F.col("_author"), "left").select(
         "id", "store_id", "product_id", "change_amount", "type", "created_by", "created_at",
         "store", F.col("store").alias("store_name"), "product", F.col("product").alias("product_name"),
         "category", "unit", "created_by_name",
     )
+    return labelled.orderBy(pg_desc("created_at"), pg_desc("id"))
 
 
 def transaction_by_id(ledger: DataFrame, stores: DataFrame, products: DataFrame, users: DataFrame, id: int) -> DataFrame:

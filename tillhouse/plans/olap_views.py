@@ -6,7 +6,7 @@ per member. Names are unique per key, as the source tables enforce.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money_sum, pg_asc, pg_desc, ratio
@@ -120,19 +120,22 @@ def branch_best_worst(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFra
 
 
 def revenue_distribution(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    """Each branch's part of all revenue."""
-    total = orders_daily.agg(money_sum(F.col("total_net"))).scalar()
+    """Each branch's part of all revenue, which is the sum of the branches' sums."""
+    totals = orders_daily.groupBy("branch_key").agg(money_sum(F.col("total_net")).alias("revenue"))
+    total = F.sum("revenue").over(Window.partitionBy(F.lit(1)))
     return (
-        _branch_revenue(orders_daily, dim_branch)
-        .withColumn("share", ratio(F.col("revenue"), total))
+        totals.withColumn("share", ratio(F.col("revenue"), total))
+        .join(_branch_names(dim_branch), "branch_key")
+        .select(F.col("branch_name").alias("branch"), "revenue", "share")
         .orderBy(pg_desc("revenue"), pg_asc("branch"))
     )
 
 
-def daily_revenue(orders_daily: DataFrame, dim_time: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    days = dim_time.select("time_key", F.col("full_date").alias("sale_date"))
+def daily_revenue(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """Day and branch totals by date; a day's key says which date it is."""
+    date = F.to_date(F.col("time_key").cast("string"), "yyyyMMdd")
     return (
-        orders_daily.join(days, "time_key")
+        orders_daily.withColumn("sale_date", date)
         .join(dim_branch.select("branch_key", "branch_id"), "branch_key")
         .select(
             "sale_date",

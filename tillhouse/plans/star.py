@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_name, from_cents, iso_weekday, money_sum, month_name, share_cents, time_key, to_cents
-from ..operators import assign_surrogate_keys, upsert
-from .ledger import cost_price_default
+from ..operators import number_missing, upsert
 
 
 def dim_time(orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -36,26 +35,23 @@ def upsert_dim(
     dim: DataFrame, source: DataFrame, natural_key: str, surrogate: str, attributes: Sequence[str]
 ) -> DataFrame:
     """Type-1 dimension load: known members keep key and other columns and take
-    the new attributes; new members get the next keys."""
-    updated = upsert(
-        dim, source.join(dim.select(natural_key), natural_key, "left_semi"), [natural_key], attributes
-    )
-    unseen = source.join(dim.select(natural_key), natural_key, "left_anti").select(natural_key, *attributes)
-    added = assign_surrogate_keys(dim, unseen, natural_key, surrogate)
-    return updated.unionByName(added, allowMissingColumns=True)
+    the new attributes; new members get the next keys. One join of the two tables."""
+    return number_missing(upsert(dim, source, [natural_key], attributes), natural_key, surrogate)
 
 
 def fact_sales(
-    items: DataFrame, orders: DataFrame, products: DataFrame, dim_branch: DataFrame, dim_product: DataFrame
+    items: DataFrame, orders: DataFrame, products: DataFrame | None, dim_branch: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
     """One row per order item, the order's discount split by item value.
 
     Discount and net are each rounded once from the exact quotient; both are
-    NULL when the order total is 0. Joins on the product come first, one after
-    the other: where products are too many to broadcast, items are shuffled by
-    product once for all of them, and once by order.
+    NULL when the order total is 0. ``products`` may be None if the items have
+    their ``cost_price``. Joins on the product come first, one after the other:
+    where products are too many to broadcast, items are shuffled by product once
+    for all of them, and once by order. Where the order totals are sums of the
+    same items, both uses read the same columns, so that Spark scans and shuffles
+    them once.
     """
-    costs = products.select(F.col("id").alias("product_id"), "cost_price")
     product_keys = dim_product.select("product_id", "product_key")
     headers = orders.select(
         F.col("id").alias("order_id"),
@@ -67,8 +63,13 @@ def fact_sales(
         to_cents(F.col("discount_amount")).alias("_discount"),
     ).join(dim_branch.select("branch_id", "branch_key"), "branch_id")
 
-    item = to_cents(F.col("unit_price")) * F.col("quantity")
-    joined = items.join(costs, "product_id").join(product_keys, "product_id").join(headers, "order_id").withColumn("_item", item)
+    if products is not None:
+        items = items.join(products.select(F.col("id").alias("product_id"), "cost_price"), "product_id")
+    quantity = F.col("quantity")
+    if "discount" in items.columns:  # read as the totals read it
+        quantity = F.coalesce(F.when(F.col("discount").isNotNull(), quantity), quantity)
+    items = items.join(product_keys, "product_id").withColumn("quantity", quantity)
+    joined = items.join(headers, "order_id").withColumn("_item", to_cents(F.col("unit_price")) * F.col("quantity"))
     discount = share_cents(F.col("_discount"), F.col("_item"), F.col("_gross"))
     net = share_cents(F.col("_gross") - F.col("_discount"), F.col("_item"), F.col("_gross"))
     return joined.select(
@@ -145,7 +146,7 @@ def build_star(t, dims: Mapping[str, DataFrame] | None = None) -> dict[str, Data
         products = t.products.select(F.col("id").alias("product_id"), "name", "category")
         dim_branch = upsert_dim(dims["dim_branch"], branches, "branch_id", "branch_key", ["name"])
         dim_product = upsert_dim(dims["dim_product"], products, "product_id", "product_key", ["name", "category"])
-    sales = fact_sales(t.order_items, t.orders, cost_price_default(t.products), dim_branch, dim_product)
+    sales = fact_sales(t.costed_items, t.orders, None, dim_branch, dim_product)
     return {
         "dim_time": dim_time(t.order_times),
         "dim_branch": dim_branch,

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..sinks import overwrite_table, reload_partitions
 from . import star
 from .dashboard import day_key
-from .ledger import cost_price_default
 
 DIM_BRANCH = "branch_key long, branch_id long, name string, valid_from date, is_current boolean"
 DIM_PRODUCT = "product_key long, product_id long, name string, category string, valid_from date, is_current boolean"
@@ -69,7 +68,7 @@ class Warehouse:
         def in_range(df: DataFrame) -> DataFrame:
             return df if days is None else df.filter(F.col("time_key").between(day_key(first), day_key(last)))
 
-        sales = star.fact_sales(t.order_items, t.orders, cost_price_default(t.products), branches, products)
+        sales = star.fact_sales(t.costed_items, t.orders, None, branches, products)
         write(in_range(sales), self.path("fact_sales"), ["time_key"])
         daily = star.fact_orders_daily(self.fact(spark, "fact_sales", first, last))
         write(daily, self.path("fact_orders_daily"), ["time_key"])

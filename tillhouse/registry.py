@@ -27,9 +27,17 @@ from .operators import (
     validate,
     weighted_sample,
 )
-from .operators.rules import inventory_rules, user_rules
+from .operators.rules import (
+    accepted,
+    duplicate_keys,
+    inventory_rules,
+    ledger_rules,
+    missing_fields,
+    rejected,
+    user_rules,
+)
 from .plans import access, checks, dashboard, features, ledger, olap_views, planning, pos, star, stores
-from .schemas import PRODUCT_JSON
+from .schemas import LEDGER_TYPES, PRODUCT_JSON
 from .session import configure
 from .sources import DriverTables
 
@@ -90,7 +98,7 @@ two_weeks = on_days(AS_OF - 14 * DAY, None)
 
 
 def _sales(t: DriverTables) -> DataFrame:
-    return star.fact_sales(t.order_items, t.orders, ledger.cost_price_default(t.products), t.dim_branch, t.dim_product)
+    return star.fact_sales(t.costed_items, t.orders, None, t.dim_branch, t.dim_product)
 
 
 def _orders_daily(t: DriverTables) -> DataFrame:
@@ -135,6 +143,26 @@ def kafka_normalize(t):
     return pos.normalized_rows(t.staged)
 
 
+def _pos_lines(t):
+    """Raw events as JSON text; lines of five units arrive cut off."""
+    value = F.to_json(F.struct(*[F.col(c) for c in t.pos_events.columns]))
+    cut = F.col("quantity") == 5
+    return t.pos_events.select(F.when(cut, F.substring(value, 1, 15)).otherwise(value).alias("value"))
+
+
+@whole
+def pos_parsed(t):
+    """The events that can be read from their text."""
+    events = pos.parse_events(_pos_lines(t)).filter(F.col("transaction_id").isNotNull())
+    return events.withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
+
+
+@whole
+def pos_malformed(t):
+    """How many lines of each text cannot be read."""
+    return pos.malformed(_pos_lines(t)).groupBy("value").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # ---- star schema ------------------------------------------------------------
 
 
@@ -245,7 +273,7 @@ def revenue_distribution(t):
 
 @whole
 def daily_revenue(t):
-    return olap_views.daily_revenue(_orders_daily(t), star.dim_time(t.order_times), t.dim_branch)
+    return olap_views.daily_revenue(_orders_daily(t), t.dim_branch)
 
 
 @whole
@@ -483,8 +511,7 @@ def ledger_sync(t):
 @whole
 def stock_update_to_ledger(t):
     """The ledger rows behind setting all stock to its level after the ledger."""
-    after = ledger.ledger_sync(t.inventory, t.ledger).select("store_id", "product_id", "quantity")
-    return stock_changes(t.inventory, after, ["store_id", "product_id"]).drop("created_by")
+    return ledger.sync_as_ledger_rows(t.inventory, t.ledger)
 
 
 @whole
@@ -617,9 +644,72 @@ def audit_capture(t):
     return snapshot_diff(t.users, after, "id", "users")
 
 
+# ---- lists and look-ups ------------------------------------------------------
+
+
+@whole
+def branch_list(t):
+    return stores.branch_list(t.branches)
+
+
+@whole
+def store_list(t):
+    return stores.store_list(t.stores)
+
+
+@whole
+def transaction_by_id(t):
+    return ledger.transaction_by_id(t.ledger, t.stores, t.store_products, t.users, 77)
+
+
+@whole
+def transactions_page_after(t):
+    last = (dt.datetime(2024, 1, 20), 500)
+    return ledger.transactions_page_after(t.ledger, t.stores, t.store_products, t.users, kind="sale", limit=30, last=last)
+
+
+@whole
+def permissions_of_role(t):
+    return access.permissions_of_role(t.role_permissions, t.permissions, 3)
+
+
 # ---- cleaning, loading, planning ---------------------------------------------
 
 
+@whole
+def validate_ledger_rows(t):
+    """Ledger entries as typed in: imports under an unknown name, some without a product."""
+    entries = t.ledger.withColumns(
+        {
+            "type": F.when(F.col("type") == "import", "delivery").otherwise(F.col("type")),
+            "product_id": F.when(F.col("product_id") != 9, F.col("product_id")),
+        }
+    )
+    return validate(entries, ledger_rules(LEDGER_TYPES)).select("id", "errors")
+
+
+@whole
+def missing_sign_up_fields(t):
+    return missing_fields(t.sign_ups, ["name", "email", "role_id"]).select("id", "missing")
+
+
+@whole
+def accepted_sign_ups(t):
+    return accepted(validate(t.sign_ups, user_rules())).select("id", "email")
+
+
+@whole
+def rejected_sign_ups(t):
+    """How often each message turned a form down."""
+    told = rejected(validate(t.sign_ups, user_rules())).select(F.explode("errors").alias("error"))
+    return told.groupBy("error").agg(F.count(F.lit(1)).alias("forms"))
+
+
+@whole
+def duplicate_part_names(t):
+    return duplicate_keys(t.raw("part"), ["p_name", "p_brand"])
+
+
 @whole
 def validate_rows(t):
     return validate(t.sign_ups, user_rules()).select("id", "errors")

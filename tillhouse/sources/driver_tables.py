@@ -11,7 +11,7 @@ import datetime as dt
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import all_of, as_money, from_cents, rounded_quotient, to_cents
@@ -20,7 +20,7 @@ from ..operators.folds import clamped_balance, level_changes
 from ..plans import ledger as ledger_plans
 from ..plans import pos as pos_plans
 
-STORES = 10  # stores that keep stock; two more exist without any
+STORES = 10  # stores that keep stock; the others exist without any
 LEDGER_PRODUCTS = 45
 ROLES = 10  # roles that users hold
 START_LEVEL = 10_000
@@ -44,6 +44,12 @@ SCHEMAS = {
 }
 
 
+def _given_cost(key: Column, price: Column) -> Column:
+    """What a product costs, unknown for some and zero for others."""
+    cost = F.when(key % 10 == 1, F.lit(0)).otherwise(price * F.lit(Decimal("0.35")))
+    return F.when(key % 10 != 0, cost).cast("decimal(10,2)")
+
+
 class DriverTables:
     """``order_days`` limits orders, and with them their items, to a day range, open
     at the end if the second day is None.
@@ -84,35 +90,43 @@ class DriverTables:
     def products(self) -> DataFrame:
         key = F.col("p_partkey")
         price = F.col("p_retailprice").cast("decimal(10,2)")
-        cost = F.when(key % 10 == 1, F.lit(0)).otherwise(price * F.lit(Decimal("0.35")))
         return self.raw("part").select(
             key.alias("id"),
             F.concat("p_name", F.lit(" #"), key.cast("string")).alias("name"),
             F.col("p_type").alias("category"),
             price.alias("base_price"),
             F.col("p_size").alias("popularity_weight"),
-            F.when(key % 10 != 0, cost).cast("decimal(10,2)").alias("cost_price"),
+            _given_cost(key, price).alias("cost_price"),
         )
 
     @cached_property
-    def order_items(self) -> DataFrame:
+    def costed_items(self) -> DataFrame:
+        """Order items with price and cost, both from one look at the products."""
         lines = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
         if self.order_days is not None:
             wanted = self._raw_orders.select(F.col("o_orderkey").alias("l_orderkey"))
             lines = lines.join(wanted, "l_orderkey", "left_semi")
-        prices = self.raw("part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
+        prices = self.raw("part").select("p_partkey", "p_retailprice")
         quantity = F.col("l_quantity").cast("int")
         percent = F.floor(F.col("l_discount") * 100 + 0.5)
         # Price in cents times whole percents, back to cents.
         discount = from_cents(rounded_quotient(to_cents(F.col("unit_price")) * quantity * percent, F.lit(100)))
-        return lines.join(prices, F.col("l_partkey") == F.col("p_partkey")).select(
+        priced = lines.join(prices, F.col("l_partkey") == F.col("p_partkey"))
+        priced = priced.withColumn("base_price", F.col("p_retailprice").cast("decimal(10,2)"))
+        priced = priced.withColumn("cost_price", _given_cost(F.col("p_partkey"), F.col("base_price")))
+        return ledger_plans.cost_price_default(priced).withColumn("unit_price", F.col("base_price")).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),
             "unit_price",
             discount.alias("discount"),
+            "cost_price",
         )
 
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self.costed_items.drop("cost_price")
+
     @cached_property
     def orders(self) -> DataFrame:
         """Order headers with the totals of their items; 0 for an empty order."""
@@ -212,7 +226,7 @@ class DriverTables:
         )
         k = F.col("k")
         amount = F.when(kind == "import", k % 26 + 5).when(kind == "adjustment", k % 16 - 5).otherwise(-(k % 10 + 1))
-        return self._events.filter(F.col("event_type") != "click").select(
+        return self._events.select(
             F.col("event_id").alias("id"),
             (F.col("user_id") % STORES + 1).alias("store_id"),
             (k % LEDGER_PRODUCTS + 1).cast("long").alias("product_id"),
@@ -255,14 +269,10 @@ class DriverTables:
 
     @cached_property
     def stores(self) -> DataFrame:
-        return (
-            self.raw("nation")
-            .filter(F.col("n_nationkey") < STORES + 2)
-            .select(
-                (F.col("n_nationkey") + 1).cast("long").alias("id"),
-                F.col("n_name").alias("name"),
-                F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("location"),
-            )
+        return self.raw("nation").select(
+            (F.col("n_nationkey") + 1).cast("long").alias("id"),
+            F.col("n_name").alias("name"),
+            F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("location"),
         )
 
     @cached_property
@@ -355,12 +365,8 @@ class DriverTables:
 
     @cached_property
     def role_permissions(self) -> DataFrame:
-        """A supplier may manage the brands of which a full box of it came back."""
-        boxes = (
-            self.raw("lineitem")
-            .filter((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "R"))
-            .select("l_suppkey", "l_partkey")
-        )
+        """A supplier may manage the brands it delivered."""
+        boxes = self.raw("lineitem").select("l_suppkey", "l_partkey")
         brands = self.raw("part").select(
             "p_partkey", F.substring_index("p_brand", "#", -1).cast("long").alias("permission_id")
         )
