@@ -124,6 +124,27 @@ def test_clamped_balance_equals_sequential_fold(spark, data):
     assert {r.id: r.quantity for r in found.collect()} == _fold(events, {1: 5})
 
 
+def test_events_without_key_are_a_key_of_their_own(spark):
+    data = [(None, 0, 1, 5), (None, 90, 2, -7), (1, 5, 3, 4)]
+    df = spark.createDataFrame(data, "k long, minute int, id long, change long")
+    df = df.withColumn("at", F.timestamp_seconds(F.col("minute") * 60))
+    found = clamped_balance(df, ["k"], "change", ["at", "id"], before="was").collect()
+    assert {r.id: (r.quantity, r.was) for r in found} == {1: (5, None), 2: (0, 5), 3: (4, None)}
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(0, 40), st.integers(-9, 6)), min_size=1, max_size=40))
+def test_level_before_equals_the_lag(spark, data):
+    events = [(k, minutes * 17, i, c) for i, (k, minutes, c) in enumerate(data)]
+    df = spark.createDataFrame(events, "k long, minute int, id long, change long").withColumn(
+        "at", F.timestamp_seconds(F.col("minute") * 60)
+    )
+    opening = spark.createDataFrame([(1, 5)], "k long, quantity long")
+    found = clamped_balance(df, ["k"], "change", ["at", "id"], opening, before="was")
+    lag = with_previous(found, ["k"], "quantity", ["at", "id"], "lag").collect()
+    assert all(r.was == r["lag"] for r in lag)
+
+
 def test_previous_and_changes_across_chunks(spark):
     minutes = [0, 1, 59, 60, 61, 300, 301, 302]
     levels = [5, 5, 3, 3, 8, 8, 9, 0]

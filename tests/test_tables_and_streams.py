@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse import sinks, sources
 from tillhouse.plans import pos
 from tillhouse.sources import DriverTables, json_file_stream
-from tillhouse.streaming import Ingest, current_stock, running_totals, spike_stream, start_ingest, stock_log_stream
+from tillhouse.streaming import Ingest, current_stock, running_totals, spike_stream, start_ingest, stock_log_stream, unmatched_moves
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -35,6 +35,13 @@ def test_overwrite_reload_and_append(spark, folder):
     assert rows(spark.read.parquet(path).select("day", "v")) == rows(df)
 
 
+def test_range_reload_empties_days_without_rows(spark, folder):
+    path = folder + "/fact"
+    sinks.overwrite_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "day int, v string"), path, ["day"])
+    sinks.reload_range(spark.createDataFrame([(1, "z"), (9, "out of range")], "day int, v string"), path, "day", 1, 2)
+    assert rows(spark.read.parquet(path).select("day", "v")) == [(1, "z"), (3, "c")]
+
+
 def test_half_year_partitions_are_pruned(spark, folder):
     orders = DriverTables(spark, FOLDER).order_headers
     sinks.overwrite_table(sinks.with_half_year(orders, "created_at"), folder + "/orders", ["year", "half"])
@@ -83,10 +90,10 @@ def _drop(folder, name, lines):
     os.utime(path, (written, written))
 
 
-def _run(spark, folder, **options):
+def _run(spark, folder, checkpoint="checkpoint", **options):
     target = Ingest(folder + "/out", **options)
     lines = json_file_stream(spark, folder + "/in", files_per_trigger=1)
-    query = start_ingest(lines, target, f"{folder}/checkpoint-{target.run}", interval=None)
+    query = start_ingest(lines, target, f"{folder}/{checkpoint}", interval=None)
     query.awaitTermination()
     return target
 
@@ -110,14 +117,34 @@ def test_ingest_is_idempotent_across_batches_restarts_and_runs(spark, folder):
     opening = spark.createDataFrame([(1, 1, 20), (1, 2, 20), (3, 3, 5)], "branch_id int, product_id int, stock_level long")
     assert rows(current_stock(opening, target.read(spark, "stock_moves"))) == [(1, 1, -1), (1, 2, 19), (3, 3, 5)]
 
-    again = _run(spark, folder, run="second")  # a new checkpoint reads every file again
+    again = _run(spark, folder, "new-checkpoint")  # reads every file again, under the same run name
     assert again.read(spark, "staged").count() == 4
+    assert again.read(spark, "orders").count() == 4
+    assert rows(unmatched_moves(opening, again.read(spark, "stock_moves"))) == [(2, 1, 3)]
     # a batch that is processed a second time replaces itself
     lines = spark.createDataFrame([(x,) for x in first], "value string")
     target.process(lines, 0)
     assert target.read(spark, "staged").count() == 4
 
 
+def test_ingest_reads_only_days_in_reach_and_sets_late_events_apart(spark, folder):
+    target = Ingest(folder + "/out", lateness_days=2)
+    target.prepare(spark)
+
+    def put(epoch, events):
+        target.process(spark.createDataFrame([(e,) for e in events], "value string"), epoch)
+
+    for day in range(1, 21):
+        put(day, [_event(100 + day, at=f"2026-01-{day:02}T08:00:00")])
+    days = [dt.date(2026, 1, d) for d in (18, 19, 20)]
+    assert len(target.staged_of(spark, days).inputFiles()) == 3
+    put(21, [_event(121, at="2026-01-20T09:00:00"), _event(119, at="2026-01-19T08:00:00"), _event(101, at="2026-01-01T08:00:00")])
+    assert target.read(spark, "staged").count() == 21
+    assert [json.loads(r.value)["transaction_id"] for r in target.read(spark, "late").collect()] == ["t101"]
+    put(22, [])
+    assert not Path(target.batch("rejects", 22)).exists() and not Path(target.batch("orders", 22)).exists()
+
+
 def test_failed_write_ends_the_stream(spark, folder, monkeypatch):
     _drop(folder, "1.json", [_event(1)])
 
@@ -134,8 +161,8 @@ def test_failed_write_ends_the_stream(spark, folder, monkeypatch):
 def test_stream_equals_batch(spark, folder):
     events = DriverTables(spark, FOLDER).pos_events
     events.select(F.to_json(F.struct("*")).alias("value")).repartition(3).write.text(folder + "/in")
-    target = _run(spark, folder)
-    staged = target.read(spark, "staged").drop("run", "epoch_id")
+    target = _run(spark, folder, lateness_days=400)
+    staged = target.read(spark, "staged").drop("run", "epoch_id", "event_day")
     expected = pos.stage(events).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
     assert rows(staged.select(*expected.columns)) == rows(expected)
 

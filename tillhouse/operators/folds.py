@@ -27,17 +27,22 @@ def clamped_balance(
     opening: DataFrame | None = None,
     opening_column: str = "quantity",
     chunk: str = "hour",
+    before: str | None = None,
 ) -> DataFrame:
     """Balance after each event, where every step is max(0, balance + change).
 
-    Keys must not be NULL. With S the running sum from the opening level, the balance equals
+    With S the running sum from the opening level, the balance equals
     S - min(0, lowest S so far). ``order[0]`` is the event time; ``order`` as a
-    whole must be unique per key. Adds ``quantity``.
+    whole must be unique per key. Events with a NULL key are a key of their own.
+    Adds ``quantity`` and, if named, ``before``: the balance after the key's event
+    before, from the same sums; NULL on the first.
     """
     keys = list(keys)
     chunked = events.withColumn("_chunk", _chunk_of(order[0], chunk))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = chunked.withColumn("_sum", F.sum(change).over(within)).withColumn("_low", F.min("_sum").over(within))
+    local = chunked.withColumn("_sum", F.sum(change).over(within))
+    low_before = F.min("_sum").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    local = local.withColumns({"_low": F.min("_sum").over(within), "_low_before": low_before})
 
     totals = local.groupBy(*keys, "_chunk").agg(F.sum(change).alias("_net"), F.min("_low").alias("_dip"))
     if opening is None:
@@ -48,12 +53,25 @@ def clamped_balance(
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.withColumn("_base", F.col("_open") + F.coalesce(F.sum("_net").over(earlier), F.lit(0)))
     carried = carried.withColumn("_lowest", F.min(F.col("_base") + F.col("_dip")).over(earlier))
-    carried = carried.select(*keys, "_chunk", "_base", F.coalesce("_lowest", F.lit(0)).alias("_lowest"))
+    carried = carried.withColumn("_opens", F.count(F.lit(1)).over(earlier) == 0)
+    carried = carried.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_chunk").alias("_k_chunk"), "_base", "_opens", F.coalesce("_lowest", F.lit(0)).alias("_lowest"),
+    )
 
     running = F.col("_base") + F.col("_sum")
     lowest = F.least(F.lit(0), F.col("_lowest"), F.col("_base") + F.col("_low"))
-    joined = local.join(carried, [*keys, "_chunk"])
-    return joined.select(*events.columns, (running - lowest).cast("long").alias("quantity"))
+    same = F.col("_chunk") == F.col("_k_chunk")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    result = [*events.columns, (running - lowest).cast("long").alias("quantity")]
+    if before is not None:
+        # NULL among the lowest: nothing precedes the event in its chunk.
+        lowest_before = F.least(F.lit(0), F.col("_lowest"), F.col("_base") + F.col("_low_before"))
+        level = (running - F.col(change) - lowest_before).cast("long")
+        opens_key = F.col("_opens") & F.col("_low_before").isNull()
+        result.append(F.when(~opens_key, level).alias(before))
+    return local.join(carried, same).select(*result)
 
 
 def with_previous(
@@ -80,14 +98,17 @@ def with_previous(
 
 
 def level_changes(
-    levels: DataFrame, keys: Sequence[str], level: str, order: Sequence[str], chunk: str = "hour"
+    levels: DataFrame, keys: Sequence[str], level: str, order: Sequence[str], chunk: str = "hour", before: str | None = None
 ) -> DataFrame:
     """Change log of a level history: rows where the level moved, the amount and
-    why. The first level of a key has nothing to compare with and is no change."""
-    moved = with_previous(levels, keys, level, order, "_before", chunk)
-    delta = F.col(level) - F.col("_before")
+    why. The first level of a key has nothing to compare with and is no change.
+    ``before`` names the level before, if the rows have it."""
+    if before is None:
+        before = "_before"
+        levels = with_previous(levels, keys, level, order, before, chunk)
+    delta = F.col(level) - F.col(before)
     reason: Column = F.when(delta > 0, F.lit("RESTOCK")).otherwise(F.lit("CONSUMPTION"))
-    return moved.filter(delta != 0).select(
+    return levels.filter(delta != 0).select(
         *keys,
         *order,
         delta.cast("long").alias("change_amount"),

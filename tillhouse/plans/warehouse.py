@@ -13,13 +13,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import overwrite_table, reload_partitions
+from ..sinks import overwrite_table, reload_range
 from . import star
 from .dashboard import day_key
 
 DIM_BRANCH = "branch_key long, branch_id long, name string, valid_from date, is_current boolean"
 DIM_PRODUCT = "product_key long, product_id long, name string, category string, valid_from date, is_current boolean"
-FACTS = ["fact_sales", "fact_orders_daily", "fact_inventory"]
+DIM_TIME = (
+    "time_key int, full_date date, day_of_week int, day_name string, month int, month_name string, quarter int, "
+    "year int, is_weekend boolean"
+)
+DIMENSIONS = {"dim_branch": DIM_BRANCH, "dim_product": DIM_PRODUCT, "dim_time": DIM_TIME}
+FACTS = {
+    "fact_sales": "time_key int, branch_key long, product_key long, order_id long, quantity int, gross_amount decimal(12,2), "
+    "discount_amount decimal(12,2), net_amount decimal(12,2), cost_amount decimal(12,2), hour_of_day int, day_of_week int",
+    "fact_orders_daily": "time_key int, branch_key long, total_orders long, total_gross decimal(18,2), "
+    "total_discount decimal(18,2), total_net decimal(18,2), total_cost decimal(18,2)",
+    "fact_inventory": "time_key int, branch_key long, product_key long, total_restocked long, total_consumed long, "
+    "closing_stock long",
+}
 
 
 @dataclass(frozen=True)
@@ -30,11 +42,11 @@ class Warehouse:
         return f"{self.folder}/{name}"
 
     def dimension(self, spark: SparkSession, name: str, load: int) -> DataFrame:
-        return spark.read.parquet(f"{self.path(name)}/load={load}")
+        return spark.read.schema(DIMENSIONS[name]).parquet(f"{self.path(name)}/load={load}")
 
     def fact(self, spark: SparkSession, name: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
         """A stored fact; the day range becomes a partition filter."""
-        df = spark.read.parquet(self.path(name))
+        df = spark.read.schema(FACTS[name]).parquet(self.path(name))
         if first is not None:
             df = df.filter(F.col("time_key") >= day_key(first))
         return df if last is None else df.filter(F.col("time_key") <= day_key(last))
@@ -55,7 +67,8 @@ class Warehouse:
         overwrite_table(star.dim_time(t.order_times), f"{self.path('dim_time')}/load={load}")
 
     def load_facts(self, t, load: int, days: tuple[dt.date, dt.date] | None = None) -> None:
-        """Reload the facts, all of them or only those of a range of days.
+        """Reload the facts, all of them or only those of a range of days; a day of the
+        range that has no rows any more is emptied.
 
         For a range, ``t`` should read only that range. The daily totals are
         taken from the sales as just written, not worked out again.
@@ -63,14 +76,16 @@ class Warehouse:
         spark = t.spark
         branches, products = self.dimension(spark, "dim_branch", load), self.dimension(spark, "dim_product", load)
         first, last = days or (None, None)
-        write = overwrite_table if days is None else reload_partitions
 
-        def in_range(df: DataFrame) -> DataFrame:
-            return df if days is None else df.filter(F.col("time_key").between(day_key(first), day_key(last)))
+        def write(df: DataFrame, name: str) -> None:
+            if days is None:
+                overwrite_table(df, self.path(name), ["time_key"])
+            else:
+                reload_range(df, self.path(name), "time_key", day_key(first), day_key(last))
 
         sales = star.fact_sales(t.costed_items, t.orders, None, branches, products)
-        write(in_range(sales), self.path("fact_sales"), ["time_key"])
+        write(sales, "fact_sales")
         daily = star.fact_orders_daily(self.fact(spark, "fact_sales", first, last))
-        write(daily, self.path("fact_orders_daily"), ["time_key"])
+        write(daily, "fact_orders_daily")
         stock = star.fact_inventory(t.inventory_logs, branches, products)
-        write(in_range(stock), self.path("fact_inventory"), ["time_key"])
+        write(stock, "fact_inventory")

@@ -32,6 +32,24 @@ def reload_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def reload_range(df: DataFrame, path: str, column: str, first: int, last: int) -> None:
+    """Replace the partitions ``column`` = first … last, whole numbers, by those of
+    ``df``; one that has no rows any more is removed. All others stay. ``df`` must
+    not read from ``path``."""
+    reload_partitions(df.filter(F.col(column).between(first, last)), path, [column])
+    # As many values as the range has partitions.
+    spark = df.sparkSession
+    filled = {r[0] for r in df.filter(F.col(column).between(first, last)).select(column).distinct().collect()}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    for status in files.listStatus(folder):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and value.isdigit() and first <= int(value) <= last and int(value) not in filled:
+            files.delete(status.getPath(), True)
+
+
 def with_half_year(df: DataFrame, time: str) -> DataFrame:
     """Add the ``year`` and ``half`` that order tables are partitioned by."""
     return df.withColumns({"year": F.year(time), "half": F.when(F.month(time) <= 6, 1).otherwise(2)})

@@ -239,10 +239,9 @@ class DriverTables:
     @cached_property
     def inventory_logs(self) -> DataFrame:
         """Stock movements of the ledger, as the change log would record them."""
-        levels = clamped_balance(
-            self.ledger, ["store_id", "product_id"], "change_amount", ["created_at", "id"], self.inventory
-        )
-        changes = level_changes(levels, ["store_id", "product_id"], "quantity", ["created_at", "id"])
+        key, order = ["store_id", "product_id"], ["created_at", "id"]
+        levels = clamped_balance(self.ledger, key, "change_amount", order, self.inventory, before="before")
+        changes = level_changes(levels, key, "quantity", order, before="before")
         return changes.withColumnRenamed("store_id", "branch_id")
 
     @cached_property

@@ -1,4 +1,12 @@
-from .ingest import Ingest, current_stock, start_ingest
+from .ingest import Ingest, current_stock, start_ingest, unmatched_moves
 from .live import running_totals, spike_stream, stock_log_stream
 
-__all__ = ["Ingest", "current_stock", "running_totals", "spike_stream", "start_ingest", "stock_log_stream"]
+__all__ = [
+    "Ingest",
+    "current_stock",
+    "running_totals",
+    "spike_stream",
+    "start_ingest",
+    "stock_log_stream",
+    "unmatched_moves",
+]

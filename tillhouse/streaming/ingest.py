@@ -1,13 +1,18 @@
 """Micro-batch ingest of POS events.
 
-Every batch writes its rows under its own ``run`` and ``epoch_id`` folder, so a
-batch that runs again after a failure replaces what it wrote and nothing doubles.
-Write errors end the stream; the checkpoint never moves past lost rows.
+Every batch writes its rows under its own ``run`` and ``epoch_id``, so a batch that
+runs again after a failure replaces what it wrote and nothing doubles. A run is one
+checkpoint: its name has the id of the stream that the checkpoint belongs to, so a
+stream that starts over never replaces the batches of another. Staged rows are stored
+by event day, and a batch is compared with the days it may share ids with, not with
+all of history. Write errors end the stream; the checkpoint never moves past lost rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+import json
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
@@ -35,22 +40,28 @@ def _acceptable() -> Column:
 
 
 STAGED_BY_EPOCH = T.StructType(
-    [*POS_STAGED.fields, T.StructField("run", T.StringType()), T.StructField("epoch_id", T.LongType())]
+    [
+        *POS_STAGED.fields,
+        T.StructField("event_day", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("epoch_id", T.LongType()),
+    ]
 )
 
 
 @dataclass(frozen=True)
 class Ingest:
     """Where the tables live: ``staged``, ``orders``, ``order_items``,
-    ``stock_moves``, ``spikes`` and ``rejects`` below one folder.
+    ``stock_moves``, ``spikes``, ``rejects`` and ``late`` below one folder.
 
-    Batches are numbered per checkpoint. A stream that starts over with a new
-    checkpoint needs a new ``run`` name, or it would replace the old batches.
+    Events more than ``lateness_days`` older than the newest of their batch go to
+    ``late``, unchanged, and are not staged: ids that old are not looked up any more.
     """
 
     folder: str
     run: str = "main"
     spike_units: int = SPIKE_UNITS
+    lateness_days: int = 30
 
     def table(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -58,22 +69,46 @@ class Ingest:
     def batch(self, name: str, epoch: int) -> str:
         return f"{self.table(name)}/run={self.run}/epoch_id={epoch}"
 
+    def of_stream(self, spark: SparkSession, checkpoint: str) -> Ingest:
+        """The same tables for the stream that a checkpoint belongs to."""
+        text = spark.read.text(f"{checkpoint}/metadata").first()[0]
+        return replace(self, run=f"{self.run}-{json.loads(text)['id']}")
+
     def _write(self, df: DataFrame, name: str, epoch: int) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.batch(name, epoch))
 
+    def _write_staged(self, df: DataFrame, epoch: int) -> None:
+        """By event day; days a batch wrote before and writes again are replaced."""
+        placed = df.withColumns(
+            {"event_day": F.to_date("event_ts"), "run": F.lit(self.run), "epoch_id": F.lit(epoch).cast("long")}
+        )
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("event_day", "run", "epoch_id").parquet(self.table("staged"))
+
     def prepare(self, spark: SparkSession) -> None:
-        """An empty first batch, so that the staged ids can be read from the start."""
-        empty = spark.createDataFrame([], POS_STAGED)
-        empty.write.mode("overwrite").parquet(f"{self.table('staged')}/run=none/epoch_id=-1")
+        """Make the folder of the staged rows."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.table("staged"))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        if name == "staged":
+            return spark.read.schema(STAGED_BY_EPOCH).parquet(self.table(name))
         return spark.read.parquet(self.table(name))
 
-    def staged_before(self, spark: SparkSession, epoch: int) -> DataFrame:
-        """Ids staged by earlier batches and runs; the batch's own folder does not count."""
-        staged = spark.read.schema(STAGED_BY_EPOCH).parquet(self.table("staged"))
+    def staged_of(self, spark: SparkSession, days: list[dt.date]) -> DataFrame:
+        """Rows staged with these event days. Only folders of these days are listed."""
+        paths = [f"{self.table('staged')}/event_day={d.isoformat()}" for d in days]
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        conf = spark._jsc.hadoopConfiguration()
+        there = [p for p in paths if hadoop.Path(p).getFileSystem(conf).exists(hadoop.Path(p))]
+        if not there:
+            return spark.createDataFrame([], STAGED_BY_EPOCH)
+        return spark.read.schema(STAGED_BY_EPOCH).option("basePath", self.table("staged")).parquet(*there)
+
+    def staged_before(self, spark: SparkSession, epoch: int, days: list[dt.date]) -> DataFrame:
+        """Ids staged by earlier batches and runs; the batch's own rows do not count."""
         earlier = (F.col("run") != self.run) | (F.col("epoch_id") < epoch)
-        return staged.filter(earlier).select("transaction_id")
+        return self.staged_of(spark, days).filter(earlier).select("transaction_id")
 
     def process(self, lines: DataFrame, epoch: int) -> None:
         """One micro-batch of JSON text."""
@@ -83,13 +118,24 @@ class Ingest:
             StorageLevel.MEMORY_AND_DISK
         )
         try:
+            newest = typed.filter(_acceptable()).agg(F.max(F.to_date("event_ts")), F.count(F.lit(1))).first()
+            if newest[1] == 0 and typed.isEmpty():
+                return
             self._write(typed.filter(~_acceptable()).select("value"), "rejects", epoch)
+            if newest[1] == 0:
+                return
 
+            oldest = newest[0] - dt.timedelta(days=self.lateness_days)
             good = typed.filter(_acceptable())
-            fresh = self._unseen(spark, good, epoch)
-            self._write(fresh, "staged", epoch)
-
-            staged = spark.read.schema(POS_STAGED).parquet(self.batch("staged", epoch))
+            in_time = F.to_date("event_ts") >= F.lit(oldest)
+            self._write(good.filter(~in_time).select("value"), "late", epoch)
+            good = good.filter(in_time)
+            days = [oldest + dt.timedelta(days=k) for k in range(self.lateness_days + 1)]
+            fresh = self._unseen(spark, good, epoch, days)
+            self._write_staged(fresh, epoch)
+
+            own = (F.col("run") == self.run) & (F.col("epoch_id") == epoch)
+            staged = self.staged_of(spark, days).filter(own).select(*POS_STAGED.fieldNames())
             tables = pos.normalize(staged)
             self._write(tables["orders"], "orders", epoch)
             self._write(tables["order_items"], "order_items", epoch)
@@ -100,16 +146,16 @@ class Ingest:
         finally:
             typed.unpersist()
 
-    def _unseen(self, spark: SparkSession, events: DataFrame, epoch: int) -> DataFrame:
-        """One row per transaction id that no earlier batch has staged.
+    def _unseen(self, spark: SparkSession, events: DataFrame, epoch: int, days: list[dt.date]) -> DataFrame:
+        """One row per transaction id that no earlier batch has staged for one of the days.
 
         The staged ids are first reduced to those in this batch. The batch is
-        the small side of that join, so the growing table is scanned for one
+        the small side of that join, so the days' rows are scanned for one
         column but not shuffled.
         """
         unique = pos.stage(events.drop("value", "event_ts"))
         unique = unique.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-        known = self.staged_before(spark, epoch).join(unique.select("transaction_id"), "transaction_id", "left_semi")
+        known = self.staged_before(spark, epoch, days).join(unique.select("transaction_id"), "transaction_id", "left_semi")
         return unique.join(known, "transaction_id", "left_anti")
 
 
@@ -118,14 +164,29 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run the ingest; ``interval=None`` works off what is there and stops."""
     target.prepare(lines.sparkSession)
-    writer = lines.writeStream.outputMode("append").foreachBatch(target.process).option("checkpointLocation", checkpoint)
+    known: list[Ingest] = []
+
+    def process(batch: DataFrame, epoch: int) -> None:
+        if not known:
+            known.append(target.of_stream(batch.sparkSession, checkpoint))
+        known[0].process(batch, epoch)
+
+    writer = lines.writeStream.outputMode("append").foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
 def current_stock(opening: DataFrame, moves: DataFrame) -> DataFrame:
-    """Opening stock less everything the stream has taken."""
+    """Opening stock less everything the stream has taken. Moves of keys without an
+    opening row change nothing, as in an UPDATE; ``unmatched_moves`` lists them."""
     keys = ["branch_id", "product_id"]
     taken = moves.groupBy(*keys).agg(F.sum("total_qty").alias("total_qty"))
     left = (F.col("stock_level") - F.col("total_qty")).cast("long")
     return update_from(opening, taken, keys, {"stock_level": left})
+
+
+def unmatched_moves(opening: DataFrame, moves: DataFrame) -> DataFrame:
+    """What the stream took of keys that have no opening row."""
+    keys = ["branch_id", "product_id"]
+    taken = moves.groupBy(*keys).agg(F.sum("total_qty").alias("total_qty"))
+    return taken.join(opening.select(*keys), keys, "left_anti")
