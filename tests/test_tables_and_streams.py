@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from tillhouse import sinks, sources
 from tillhouse.plans import pos
 from tillhouse.sources import DriverTables, json_file_stream
-from tillhouse.streaming import Ingest, current_stock, running_totals, spike_stream, start_ingest, stock_log_stream, unmatched_moves
+from tillhouse.streaming import (
+    Ingest,
+    StockLog,
+    current_stock,
+    running_totals,
+    spike_stream,
+    start_ingest,
+    start_stock_log,
+    unmatched_moves,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -210,5 +219,12 @@ def test_stock_log_stream_equals_batch_log(spark, folder):
         df.write.mode("append").json(f"{folder}/in/part={part}")
     stream = spark.readStream.schema(schema + ", part int").option("maxFilesPerTrigger", 1).json(folder + "/in")
     stream = stream.withColumn("created_at", F.to_timestamp("created_at"))
-    found = sorted(r[1:7] for r in _stream_rows(stock_log_stream(stream), folder, "append"))
-    assert found == [(1, 1, 2, -3, 7, "CONSUMPTION"), (1, 1, 3, 2, 9, "RESTOCK"), (1, 1, 5, -7, 2, "CONSUMPTION")]
+    target = StockLog(folder + "/stock")
+    start_stock_log(stream.drop("part"), target, folder + "/cp", interval=None).awaitTermination()
+    columns = ["branch_id", "product_id", "id", "change_amount", "new_stock_level", "reason"]
+    expected = [(1, 1, 2, -3, 7, "CONSUMPTION"), (1, 1, 3, 2, 9, "RESTOCK"), (1, 1, 5, -7, 2, "CONSUMPTION")]
+    assert rows(target.read(spark).select(*columns)) == expected
+    # a batch that runs again replaces itself
+    again = spark.read.schema(schema).json(folder + "/in/part=1").withColumn("created_at", F.to_timestamp("created_at"))
+    target.process(again, 1)
+    assert rows(target.read(spark).select(*columns)) == expected

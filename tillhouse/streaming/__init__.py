@@ -1,12 +1,13 @@
 from .ingest import Ingest, current_stock, start_ingest, unmatched_moves
-from .live import running_totals, spike_stream, stock_log_stream
+from .live import StockLog, running_totals, spike_stream, start_stock_log
 
 __all__ = [
     "Ingest",
+    "StockLog",
     "current_stock",
     "running_totals",
     "spike_stream",
     "start_ingest",
-    "stock_log_stream",
+    "start_stock_log",
     "unmatched_moves",
 ]

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import as_money
+from ..operators.folds import level_changes, with_previous
 from ..plans import pos
 
-STOCK_LOG = (
-    "branch_id long, product_id long, id long, change_amount long, new_stock_level long, reason string, created_at timestamp"
-)
-
-
 def spike_stream(events: DataFrame, window: str = "5 seconds", threshold: int = 20, lateness: str = "1 minute") -> DataFrame:
     """Spike alerts by event time: the result does not depend on how the stream is
     cut into batches. A window is final ``lateness`` after its end."""
@@ -33,36 +28,60 @@ def running_totals(events: DataFrame) -> DataFrame:
     )
 
 
-def _log_of_key(
-    key: tuple[int, int], chunks: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Level changes of one (branch, product) within a batch; the state is its last level."""
-    levels = pd.concat(list(chunks)).sort_values(["created_at", "id"])
-    before = levels["stock_level"].shift(1).astype("Float64")
-    if state.exists:
-        before.iloc[0] = state.get[0]
-    state.update((int(levels["stock_level"].iloc[-1]),))
-    change = levels["stock_level"] - before
-    moved = change.notna() & (change != 0)
-    log = levels[moved].assign(change_amount=change[moved].astype("int64"))
-    yield pd.DataFrame(
-        {
-            "branch_id": log["branch_id"],
-            "product_id": log["product_id"],
-            "id": log["id"],
-            "change_amount": log["change_amount"],
-            "new_stock_level": log["stock_level"],
-            "reason": log["change_amount"].gt(0).map({True: "RESTOCK", False: "CONSUMPTION"}),
-            "created_at": log["created_at"],
-        }
-    )
+LEVEL_KEY = ["branch_id", "product_id"]
+STATE = "branch_id long, product_id long, stock_level long"
 
 
-def stock_log_stream(levels: DataFrame) -> DataFrame:
-    """Change log of a stream of stock levels (branch_id, product_id, id,
-    stock_level, created_at). Levels of a key must arrive in time order from
-    batch to batch; within a batch they are sorted. The trigger's size limit
-    bounds what one key can bring at a time."""
-    return levels.groupBy("branch_id", "product_id").applyInPandasWithState(
-        _log_of_key, STOCK_LOG, "last long", "append", GroupStateTimeout.NoTimeout
-    )
+@dataclass(frozen=True)
+class StockLog:
+    """Change log of a stream of stock levels (branch_id, product_id, id, stock_level,
+    created_at), batch by batch below ``folder``, which executors share.
+
+    Within a batch, levels are compared with the one before of their key; the first
+    of a key with the last of earlier batches, kept in a table of one row per key.
+    Levels of a key must arrive in time order from batch to batch. A batch that runs
+    again replaces what it wrote. A stream that starts over needs a new folder.
+    """
+
+    folder: str
+
+    def _batch(self, name: str, epoch: int) -> str:
+        return f"{self.folder}/{name}/epoch_id={epoch}"
+
+    def _last_levels(self, spark: SparkSession, epoch: int) -> DataFrame:
+        """The newest state before a batch; batches without rows leave none."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.listStatus(path) if files.exists(path) else []
+        known = [int(s.getPath().getName().partition("=")[2]) for s in found]
+        earlier = [e for e in known if e < epoch]
+        for old in sorted(earlier)[:-2]:  # the last two are enough to run a batch again
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(self._batch("state", old)), True)
+        if not earlier:
+            return spark.createDataFrame([], STATE)
+        return spark.read.schema(STATE).parquet(self._batch("state", max(earlier)))
+
+    def process(self, levels: DataFrame, epoch: int) -> None:
+        if levels.isEmpty():
+            return
+        last = self._last_levels(levels.sparkSession, epoch)
+        rows = with_previous(levels, LEVEL_KEY, "stock_level", ["created_at", "id"], "_within")
+        rows = rows.join(last.withColumnRenamed("stock_level", "_earlier"), LEVEL_KEY, "left")
+        rows = rows.withColumn("_before", F.coalesce("_within", "_earlier"))
+        log = level_changes(rows, LEVEL_KEY, "stock_level", ["created_at", "id"], before="_before")
+        log.write.mode("overwrite").parquet(self._batch("log", epoch))
+        newest = levels.groupBy(*LEVEL_KEY).agg(F.max_by("stock_level", F.struct("created_at", "id")).alias("stock_level"))
+        state = last.join(newest, LEVEL_KEY, "left_anti").unionByName(newest)
+        state.write.mode("overwrite").parquet(self._batch("state", epoch))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/log")
+
+
+def start_stock_log(
+    levels: DataFrame, target: StockLog, checkpoint: str, interval: str | None = "5 seconds"
+) -> StreamingQuery:
+    """Run the log; ``interval=None`` works off what is there and stops."""
+    writer = levels.writeStream.outputMode("append").foreachBatch(target.process).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
