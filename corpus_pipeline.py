@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import mixing, packing, quality, secrets, simhash
+from tillhouse.llm import mixing, packing, quality, secrets, similar
 from tillhouse.llm.shared import stored
 
 
@@ -21,8 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the least doc_id."""
-    return simhash.first_of_each(docs)
+    """One document of each group of near copies stays, that with the least doc_id; near
+    copies have a Jaccard similarity of 0.8 or more in five-word shingles."""
+    return similar.first_of_each_class(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

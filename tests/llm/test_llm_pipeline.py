@@ -3,7 +3,7 @@ from pathlib import Path
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tillhouse.llm import quality, queries, simhash
+from tillhouse.llm import quality, queries, similar
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -19,7 +19,7 @@ def test_stage_by_stage(spark, messy):
         if k == 0:
             assert docs.count() == quality.quality_report(before).filter("kept").count()
         if k == 1:
-            assert docs.count() == simhash.simhash_components(before).select("component_id").distinct().count()
+            assert docs.count() == similar.near_copy_classes(before).select("class_id").distinct().count()
         if k == 2:
             assert docs.count() == before.count()
             assert docs.filter("text rlike 'AKIA[A-Z0-9]{12}' or text rlike '[0-9a-f]{32}'").isEmpty()
