@@ -12,7 +12,7 @@ from .merge import (
     update_where,
     upsert,
 )
-from .paging import page, page_after, page_info
+from .paging import newest_first, page, page_after, page_info
 from .ranking import rank_descending
 from .rules import accepted, duplicate_keys, missing_fields, orphans, rejected, sanitize, validate
 from .sampling import weighted_sample
@@ -31,6 +31,7 @@ __all__ = [
     "keep_first",
     "level_changes",
     "missing_fields",
+    "newest_first",
     "number_missing",
     "number_rows",
     "numbered",

@@ -24,6 +24,14 @@ def page_after(df: DataFrame, time: str, key: str, limit: int, last: tuple[objec
     return df.orderBy(F.col(time).desc_nulls_last(), F.col(key).desc_nulls_last()).limit(limit)
 
 
+def newest_first(rows: DataFrame, time: str, key: str) -> DataFrame:
+    """The few rows of a page in order, after joins that do not keep it. They are sorted
+    in one row: a sort over joins of a limited frame does not survive adaptive planning."""
+    row = F.struct(F.col(time).isNull(), F.col(time), F.col(key), F.struct(*rows.columns).alias("row"))
+    listed = rows.agg(F.sort_array(F.collect_list(row), asc=False).alias("rows"))
+    return listed.select(F.explode("rows").alias("r")).select("r.row.*")
+
+
 def page_info(df: DataFrame, number: int, size: int) -> DataFrame:
     """page, limit, total, pages — one row."""
     return df.agg(F.count(F.lit(1)).alias("total")).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import all_of, field, optional_equal, pg_asc, pg_desc
-from ..operators import page
+from ..operators import newest_first, page
 
 ADMIN = "admin"
 
@@ -130,7 +130,7 @@ def audit_log_search(
     top = page(audit.filter(wanted), [pg_desc("created_at"), pg_desc("id")], limit, offset)
     people = users.select(F.col("id").alias("_user"), F.col("name").alias("user_name"), F.col("email").alias("user_email"))
     labelled = top.join(people, F.col("user_id") == F.col("_user"), "left").drop("_user")
-    return labelled.orderBy(pg_desc("created_at"), pg_desc("id"))
+    return newest_first(labelled, "created_at", "id")
 
 
 def normalize_profiles(profiles: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import all_of, from_cents, optional_equal, pg_asc, pg_desc, to_cents, within_days
-from ..operators import clamped_balance, combinations, insert_absent, page, page_after, page_info, update_from, update_where
+from ..operators import clamped_balance, combinations, insert_absent, newest_first, page, page_after, page_info, update_from, update_where
 
 STOCK_KEY = ["branch_id", "product_id"]
 SHELF_KEY = ["store_id", "product_id"]
@@ -181,7 +181,7 @@ def _with_author(top: DataFrame, users: DataFrame) -> DataFrame:
         "store", F.col("store").alias("store_name"), "product", F.col("product").alias("product_name"),
         "category", "unit", "created_by_name",
     )
-    return labelled.orderBy(pg_desc("created_at"), pg_desc("id"))
+    return newest_first(labelled, "created_at", "id")
 
 
 def transaction_by_id(ledger: DataFrame, stores: DataFrame, products: DataFrame, users: DataFrame, id: int) -> DataFrame:
