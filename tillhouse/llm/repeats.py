@@ -11,9 +11,10 @@ anchor form a segment. Three steps:
    anything is shuffled, so a passage that is everywhere travels once per task.
 2. An anchor with one class is done. The first segments of the other classes get their
    bytes, and go by anchor into lots.
-3. In a lot, shards of segments get a Burrows-Wheeler transform each. The transforms
-   are merged by refining their interleaving one character at a time; the blocks of
-   suffixes that still agree after LENGTH rounds are the repeated strings.
+3. In a lot, segments none of whose windows has the hash of another are left out.
+   Shards of the others get a Burrows-Wheeler transform each. The transforms are merged
+   by refining their interleaving a few characters at a time; the blocks of suffixes
+   that still agree after LENGTH characters are the repeated strings.
 """
 
 from __future__ import annotations
@@ -202,6 +203,33 @@ def _settle(table: pa.Table) -> pa.Table:
 # ---- transforms ------------------------------------------------------------------------
 
 
+def with_shared_windows(strings: list[bytes], length: int = LENGTH) -> np.ndarray:
+    """Whether any window of a string has the hash of another window. A string of which
+    none has repeats nothing and is repeated by nothing."""
+    lengths = np.array([len(s) for s in strings], dtype=np.int64)
+    raw = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    if len(raw) < length:
+        return np.zeros(len(strings), dtype=bool)
+    h, n, done = _letters[raw], 1, 0
+    whole = np.zeros(len(raw) - length + 1, dtype=np.uint64)
+    while n <= length:
+        if length & n:
+            whole = whole * _B + h[done : done + len(whole)]
+            whole ^= whole >> np.uint64(29)
+            done += n
+        if 2 * n <= length:
+            h = h[:-n] * _A + h[n:] * _B
+            h ^= h >> np.uint64(31)
+        n *= 2
+    ends = np.cumsum(lengths)
+    string = np.repeat(np.arange(len(strings)), lengths)[: len(whole)]
+    inside = np.arange(len(whole)) + length <= ends[string]
+    _, inverse, counts = np.unique(whole[inside], return_inverse=True, return_counts=True)
+    found = np.zeros(len(strings), dtype=bool)
+    found[string[inside][counts[inverse] > 1]] = True
+    return found
+
+
 def _layout(strings: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of strings laid one after the other, each followed by `pad` ends, and the
     first place and the end of each. Symbols are bytes of UTF-8 (never 255) plus one; 0
@@ -330,8 +358,9 @@ def _merge_lot(table: pa.Table) -> pa.Table:
     for c in (start, text_hash, doc, unknown):
         new[1:] |= c[order][1:] != c[order][:-1]
     order = order[new]
+    order = order[with_shared_windows([data[k] for k in order])]
     rows: list[tuple] = []
-    for k, again in zip(order, repeated_windows([data[k] for k in order]), strict=True):
+    for k, again in zip(order, repeated_windows([data[k] for k in order]) if len(order) else [], strict=True):
         edges = np.flatnonzero(np.diff(np.r_[0, again.astype(np.int8), 0]))
         for a, b in edges.reshape(-1, 2):
             rows.append((None if unknown[k] else int(doc[k]), int(text_hash[k]), int(start[k] + a), int(b - a)))
