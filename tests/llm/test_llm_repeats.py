@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -39,6 +40,21 @@ def test_empty_table(spark, empty):
     assert queries()[NAME](spark, empty).count() == 0
 
 
+def test_a_common_passage_in_many_texts(spark, monkeypatch):
+    """Its edges have a different segment in every text; cut into windows or not, the
+    result is the same."""
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = draw(300)
+    rows = [(k, draw(rng.randint(0, 250)) + passage + draw(rng.randint(0, 250))) for k in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(by_hand([(k, t.encode()) for k, t in rows]))
+    for many in (8, 10**6):
+        monkeypatch.setattr(repeats, "MANY", many)
+        assert (len(repeats._crowded_anchors(repeats._keyed(df, "doc_id", "text"), 80)) > 0) == (many == 8)
+        assert sorted(map(tuple, repeats.without_repeats(df).collect())) == expected
+
+
 def test_kept_text_and_one_of_repeated_rows(spark):
     rng = random.Random(8)
     text = "".join(rng.choices("abcdefgh", k=150))
@@ -52,7 +68,7 @@ def test_windows_against_a_set(seed):
     rng = random.Random(seed)
     for _ in range(40):
         strings = [bytes(rng.choices(b"ab", k=rng.randint(0, 30))) for _ in range(rng.randint(1, 20))]
-        length = rng.randint(1, 8)
+        length = rng.choice([1, 2, 3, 5, 8, 10])
         seen, expected = set(), []
         for s in strings:
             expected.append([])
@@ -63,11 +79,24 @@ def test_windows_against_a_set(seed):
         assert [list(map(bool, x)) for x in got] == expected
 
 
-def test_merged_order_is_the_sorted_order():
+def test_windows_left_out_are_not_shared():
+    rng = random.Random(7)
+    for _ in range(60):
+        strings = [bytes(rng.choices(b"abc", k=rng.randint(0, 14))) for _ in range(rng.randint(1, 15))]
+        length = rng.randint(1, 9)
+        windows = [[s[k : k + length] for k in range(len(s) - length + 1)] for s in strings]
+        often = Counter(w for own in windows for w in own)
+        for own, first, last in zip(windows, *repeats.shared_windows(strings, length), strict=True):
+            shared = [k for k, w in enumerate(own) if often[w] > 1]
+            assert (first, last) == (shared[0], shared[-1]) if shared else last < first
+
+
+@pytest.mark.parametrize("depth,step", [(50, 10), (45, 5), (44, 4), (42, 2), (41, 1)])
+def test_merged_order_is_the_sorted_order(depth, step):
     rng = random.Random(9)
     strings = [bytes(rng.choices(b"abc", k=rng.randint(1, 40))) for _ in range(30)]
-    order, _, left = repeats.merge(strings, [range(0, 7), range(7, 8), range(8, 30)], 44)
-    text, _, _ = repeats._layout(strings, 4)
+    order, _, left = repeats.merge(strings, [range(0, 7), range(7, 8), range(8, 30)], depth)
+    text, _, _ = repeats._layout(strings, step)
     suffixes = [bytes(text[p : p + left[p]]) for p in order if left[p] > 0]
     assert suffixes == sorted(suffixes)
 
@@ -105,7 +134,7 @@ def test_small_pieces_and_flushes_change_nothing(spark, messy, rows, monkeypatch
         batch = pa.RecordBatch.from_arrays(
             [pa.array(ids), pa.array([hash(d) for d in data]), pa.array(data, pa.binary())], names=["a", "b", "c"]
         )
-        return windows(repeats._emit([batch]))
+        return windows(repeats._emit([batch], np.zeros(0, dtype=np.int64)))
 
     whole = run()
     monkeypatch.setattr(repeats, "PIECE", 500)

@@ -9,11 +9,14 @@ anchor form a segment. Three steps:
 1. Segments of equal bytes (128 bits of hashes) are one class; all but the first in
    document order are repeats. Map tasks settle this among their own segments before
    anything is shuffled, so a passage that is everywhere travels once per task.
+   Anchors that many different segments have (found in a bounded sample of the texts,
+   which decides nothing but the way taken) would meet in one task; their segments are
+   cut into single windows here, which spread by their own hashes.
 2. An anchor with one class is done. The first segments of the other classes get their
    bytes, and go by anchor into lots.
-3. In a lot, segments none of whose windows has the hash of another are left out.
-   Shards of the others get a Burrows-Wheeler transform each. The transforms are merged
-   by refining their interleaving a few characters at a time; the blocks of suffixes
+3. In a lot, windows that have the hash of no other are cut off segments at either end.
+   Shards of what is left get a Burrows-Wheeler transform each. The transforms are merged
+   by refining their interleaving ten characters at a time; the blocks of suffixes
    that still agree after LENGTH characters are the repeated strings.
 """
 
@@ -37,6 +40,9 @@ ANCHOR = 32
 PIECE = 1 << 20
 #: Segments that a map task compares among themselves.
 FLUSH = 400_000
+#: About so many texts are looked at for anchors with MANY different segments.
+SAMPLE_TEXTS = 20_000
+MANY = 32
 #: Bytes of text for a bucket of step 1, bytes of segments for a lot and a shard of step 3.
 BUCKET_BYTES = 8 << 20
 LOT_BYTES = 2 << 20
@@ -145,10 +151,16 @@ def _pieces(batches) -> Iterator[tuple[list, list[bytes]]]:
         yield names, parts
 
 
-def _all_segments(names: list, parts: list[bytes]) -> dict[str, np.ndarray]:
+def _all_segments(names: list, parts: list[bytes], crowded: np.ndarray) -> dict[str, np.ndarray]:
     ends = np.cumsum([len(p) for p in parts])
     data = b"".join(parts)
     starts, windows, anchors = segments(np.frombuffer(data, dtype=np.uint8), ends)
+    cut = np.isin(anchors, crowded)
+    if cut.any():  # windows of these are named by a hash of their own instead of the anchor
+        lone = np.concatenate([np.arange(a, a + n) for a, n in zip(starts[cut], windows[cut], strict=True)])
+        own = np.array([xxhash.xxh3_64_intdigest(data[a : a + LENGTH], 1) for a in lone.tolist()], dtype=np.uint64)
+        starts, windows = np.r_[starts[~cut], lone], np.r_[windows[~cut], np.ones(len(lone), dtype=np.int64)]
+        anchors = np.r_[anchors[~cut], own.view(np.int64)]
     text = np.searchsorted(ends, starts, side="right")
     tails = (starts + windows + (LENGTH - 1)).tolist()
     digest = xxhash.xxh3_64_intdigest
@@ -161,7 +173,7 @@ def _all_segments(names: list, parts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
-def _emit(batches) -> Iterator[pa.RecordBatch]:
+def _emit(batches, crowded: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Step 1 among the texts of a task."""
     held: list[dict[str, np.ndarray]] = []
 
@@ -173,7 +185,7 @@ def _emit(batches) -> Iterator[pa.RecordBatch]:
         yield _batch(t, SETTLED, rest)
 
     for names, parts in _pieces(batches):
-        held.append(_all_segments(names, parts))
+        held.append(_all_segments(names, parts, crowded))
         if sum(len(h["start"]) for h in held) >= FLUSH:
             yield from flush()
     if held:
@@ -203,13 +215,14 @@ def _settle(table: pa.Table) -> pa.Table:
 # ---- transforms ------------------------------------------------------------------------
 
 
-def with_shared_windows(strings: list[bytes], length: int = LENGTH) -> np.ndarray:
-    """Whether any window of a string has the hash of another window. A string of which
-    none has repeats nothing and is repeated by nothing."""
+def shared_windows(strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each string that have the hash of another window, last
+    before first if none has. What is outside repeats nothing and is not repeated."""
     lengths = np.array([len(s) for s in strings], dtype=np.int64)
     raw = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    first, last = lengths.copy(), np.full(len(strings), -1, dtype=np.int64)
     if len(raw) < length:
-        return np.zeros(len(strings), dtype=bool)
+        return first, last
     h, n, done = _letters[raw], 1, 0
     whole = np.zeros(len(raw) - length + 1, dtype=np.uint64)
     while n <= length:
@@ -225,9 +238,11 @@ def with_shared_windows(strings: list[bytes], length: int = LENGTH) -> np.ndarra
     string = np.repeat(np.arange(len(strings)), lengths)[: len(whole)]
     inside = np.arange(len(whole)) + length <= ends[string]
     _, inverse, counts = np.unique(whole[inside], return_inverse=True, return_counts=True)
-    found = np.zeros(len(strings), dtype=bool)
-    found[string[inside][counts[inverse] > 1]] = True
-    return found
+    hit = np.flatnonzero(inside)[counts[inverse] > 1]
+    place = hit - (ends - lengths)[string[hit]]
+    np.minimum.at(first, string[hit], place)
+    np.maximum.at(last, string[hit], place)
+    return first, last
 
 
 def _layout(strings: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -272,6 +287,28 @@ def suffix_order(strings: list[bytes]) -> np.ndarray:
     return order[left[order] > 0]
 
 
+def _codes(text: np.ndarray, step: int) -> np.ndarray:
+    """Small numbers in the order of the `step` symbols from each place on."""
+    n, half = len(text), 5 if step == 10 else step
+    codes = np.zeros(n, dtype=np.int64)
+    for k in range(half):
+        codes <<= 8
+        codes[: max(0, n - k)] |= text[k:]
+    codes = np.unique(codes, return_inverse=True)[1]
+    if step == 10:
+        codes = codes * n
+        codes[: max(0, n - half)] += codes[half:] // n
+        codes = np.unique(codes, return_inverse=True)[1]
+    return codes.astype(np.int32)
+
+
+def _stable_order(numbers: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2^31, by 16 bits at a time, which numpy sorts by radix."""
+    order = np.argsort((numbers & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (numbers >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
 def merge(strings: list[bytes], shards: list[range], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All suffixes of the strings by their first `depth` symbols: places (in a layout
     with ends), blocks of those that agree so far, and how much is left of each string.
@@ -282,20 +319,14 @@ def merge(strings: list[bytes], shards: list[range], depth: int) -> tuple[np.nda
     more. Neighbours stay in one block if these symbols and the blocks they come from
     are equal. Ends differ from each other and stay in front.
     """
-    step = next(w for w in (4, 2, 1) if depth % w == 0)
+    step = next(w for w in (10, 5, 4, 2, 1) if depth % w == 0)
     text, starts, stops = _layout(strings, step)
     n = len(text)
     place = np.arange(n, dtype=np.int32)
     before = place - np.int32(step)
     first = np.repeat(starts, stops - starts + step)
     before[before < first] = -1
-    codes = np.zeros(n, dtype=np.int64)
-    for k in range(step):
-        codes <<= 8
-        codes[: max(0, n - k)] |= text[k:]
-    # As small numbers in the same order, which a radix sort takes.
-    known, codes = np.unique(codes, return_inverse=True)
-    codes = codes.astype(np.uint16 if len(known) <= 1 << 16 else np.int32)
+    codes = _codes(text, step)
     ends = place[text == 0]
     m = len(ends)
     order = [ends]
@@ -310,7 +341,7 @@ def merge(strings: list[bytes], shards: list[range], depth: int) -> tuple[np.nda
         inner = np.flatnonzero(suffixes >= 0)
         suffixes = suffixes[inner]
         read = codes[suffixes]
-        by_read = np.argsort(read, kind="stable")
+        by_read = _stable_order(read)
         suffixes, read, came = suffixes[by_read], read[by_read], block[inner[by_read]]
         fresh = np.ones(n - m, dtype=bool)
         fresh[1:] = (read[1:] != read[:-1]) | (came[1:] != came[:-1])
@@ -358,12 +389,15 @@ def _merge_lot(table: pa.Table) -> pa.Table:
     for c in (start, text_hash, doc, unknown):
         new[1:] |= c[order][1:] != c[order][:-1]
     order = order[new]
-    order = order[with_shared_windows([data[k] for k in order])]
+    first, last = shared_windows([data[k] for k in order])
+    kept = last >= first
+    order, first, last = order[kept], first[kept], last[kept]
+    strings = [data[k][a : b + LENGTH] for k, a, b in zip(order, first, last, strict=True)]
     rows: list[tuple] = []
-    for k, again in zip(order, repeated_windows([data[k] for k in order]) if len(order) else [], strict=True):
+    for k, skipped, again in zip(order, first, repeated_windows(strings) if strings else [], strict=True):
         edges = np.flatnonzero(np.diff(np.r_[0, again.astype(np.int8), 0]))
         for a, b in edges.reshape(-1, 2):
-            rows.append((None if unknown[k] else int(doc[k]), int(text_hash[k]), int(start[k] + a), int(b - a)))
+            rows.append((None if unknown[k] else int(doc[k]), int(text_hash[k]), int(start[k] + skipped + a), int(b - a)))
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
     columns = list(zip(*rows, strict=True)) or [()] * 4
     return pa.Table.from_arrays(
@@ -381,13 +415,24 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _crowded_anchors(keyed: DataFrame, texts: int) -> np.ndarray:
+    """Anchors with MANY segments or more in a sample; as many as it has, by MANY, at most."""
+    share, none = 1 << 24, np.zeros(0, dtype=np.int64)
+    least = share if texts <= SAMPLE_TEXTS else max(1, share * SAMPLE_TEXTS // texts)
+    sample = keyed.filter(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(share)) < least)
+    found = sample.mapInArrow(lambda batches: _emit(batches, none), SEGMENTS).filter(F.col("kind") == FOUND)
+    anchors = found.groupBy("anchor").agg(F.countDistinct("bytes_hash").alias("n")).filter(F.col("n") >= MANY)
+    return np.array(sorted(r["anchor"] for r in anchors.select("anchor").collect()), dtype=np.int64)
+
+
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, ranges: start, end of repeated windows in bytes), unsorted,
     overlapping; a row for each text that has any."""
     keyed = _keyed(docs, id_col, text_col)
-    total = keyed.agg(F.sum(F.length("data"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    found = keyed.mapInArrow(_emit, SEGMENTS)
+    size = keyed.agg(F.sum(F.length("data")).alias("bytes"), F.count(F.lit(1)).alias("texts")).first()
+    buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
+    crowded = _crowded_anchors(keyed, size["texts"])
+    found = keyed.mapInArrow(lambda batches: _emit(batches, crowded), SEGMENTS)
     # What is settled already only passes through, dealt evenly.
     key = F.when(F.col("kind") == FOUND, F.col("anchor")).otherwise(F.xxhash64("text_hash", "start"))
     found = found.withColumn("bucket", F.pmod(key, F.lit(buckets)))
