@@ -42,13 +42,18 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _own_folders[application]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
