@@ -42,7 +42,7 @@ def edited(rng, words, share):
     return [rng.choice("abcdefgh") * 4 if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("crowd", [3, 64])
+@pytest.mark.parametrize("crowd", [3, 8, 64])
 def test_near_copies_are_found_and_others_left_alone(spark, crowd):
     rng = random.Random(6)
     rows, k = [], 0

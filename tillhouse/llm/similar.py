@@ -6,9 +6,10 @@ one bit at most, and then both share a variant of it in which one bit is wiped o
 one-wildcard variants of every distinct fingerprint are joined by equality; pairs whose
 whole fingerprints are too far apart go, and the shingles of the others decide.
 
-Where more than CROWD fingerprints share a variant, each is compared with one of them,
-another for each variant, instead of all pairs; what these links do not connect is
-compared pair by pair afterwards, so nothing is left out.
+Where more than CROWD fingerprints share a variant, each is compared with the least and
+the greatest of them instead of all pairs, so that links grow with the fingerprints and
+not with their square; what these links do not connect is compared pair by pair
+afterwards, so nothing is left out.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ SEGMENTS = 12
 WIDTH = 24
 #: Differing bits beyond which no shingles are compared; near copies have about 35 of 288.
 FAR = 72
-CROWD = 64
+CROWD = 8
 AT_ONCE = 1 << 15
 
 _feature = partial(xxhash.xxh64_intdigest, seed=42)
@@ -169,18 +170,16 @@ def _classes(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, cro
     nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
     nodes = stored(nodes.withColumn("node", F.xxhash64("fp")), "fingerprints")
     index = nodes.select("node", F.explode(_variants(F.col("fp"))).alias("variant")).repartition("variant")
-    hub = F.min_by("node", F.xxhash64("variant", "node"))
-    sizes = index.groupBy("variant").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("v"), F.max("node").alias("u"), hub.alias("hub")
-    )
+    sizes = index.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("v"), F.max("node").alias("u"))
     sizes = stored(sizes.filter("n > 1"), "variants")
-    more = stored(index.join(sizes.filter("n > 2").select("variant", "n", "hub"), "variant"), "shared-variants")
+    more = stored(index.join(sizes.filter("n > 2"), "variant"), "shared-variants")
     few = more.filter(F.col("n") <= crowd).groupBy("variant").agg(F.collect_list("node").alias("members"))
     crowds = more.filter(F.col("n") > crowd)
     pairs = (
         sizes.filter("n = 2").select("u", "v")
         .unionByName(few.select(F.explode(_all_pairs(F.col("members"))).alias("p")).select("p.*"))
-        .unionByName(crowds.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).filter("u <> v"))
+        .unionByName(crowds.select(F.col("node").alias("u"), "v").filter("u <> v"))
+        .unionByName(crowds.select("u", F.col("node").alias("v")).filter("u <> v"))
     )
     links = stored(_similar(_close(pairs, nodes), nodes, docs, id_col, text_col), "links")
     roots = least_reachable(links)
