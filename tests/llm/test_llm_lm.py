@@ -54,3 +54,20 @@ def test_scores_of_messy_documents(spark, messy, rows, order, monkeypatch):
 def test_query_and_empty_table(spark, messy, empty):
     assert queries()["op5_lm_scores"](spark, messy).count() == spark.read.parquet(f"{messy}/documents.parquet").count()
     assert queries()["op5_lm_scores"](spark, empty).count() == 0
+
+
+def test_query_counts_trigrams(spark, tmp_path):
+    texts = ["red cat sat down here", "the red cat sat up", "cat sat red cat", "sat red red cat"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries()["op5_lm_scores"](spark, str(tmp_path)).collect()}
+    for k, (n, backed, value) in enumerate(by_hand(texts, 3)):
+        assert (got[k]["n_words"], got[k]["n_backed_off"]) == (n, backed)
+        assert got[k]["log_score"] == pytest.approx(value, rel=1e-9)
+
+
+def test_integers_survive_packing():
+    for kind in ("<u4", "<u8"):
+        values = lm.np.array([0, 1, 255, 256, lm.np.iinfo(kind).max], dtype=kind)
+        assert lm._unpacked(lm._packed(values), kind).tolist() == values.tolist()
+    hashes = lm.np.array([3, 2**63, 2**64 - 1], dtype="<u8")
+    assert lm.np.cumsum(lm._steps(hashes), dtype=lm.np.uint64).tolist() == hashes.tolist()

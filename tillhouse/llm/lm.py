@@ -5,6 +5,7 @@ n-grams, hashed and sorted, in slices by hash; a slice's count table sums what a
 batches have and is joined back to each; the batch then scores its documents and sums
 their logarithms. An n-gram that is everywhere travels once per batch, so there is no
 hot key, and no task sees more than a slice of the counts or a batch of the texts.
+Texts, hashes (as steps from one to the next) and counts travel compressed.
 
 Every document is scored by the counts of all others: its own are taken off first.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from pyspark.sql import types as T
 
 from tillhouse.llm.shared import WORD, text_or_empty
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BATCH_BYTES = 8 << 20
 #: Words of the corpus for a slice of the counts of one order.
@@ -48,6 +50,12 @@ def _words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), lengths
 
 
+def _texts(table: pa.Table) -> list[bytes]:
+    """The texts of a batch as they were before `small`."""
+    pairs = zip(table.column("data").to_pylist(), table.column("n_bytes").to_pylist(), strict=True)
+    return [pa.decompress(x, decompressed_size=n, codec="zstd", asbytes=True) if n else b"" for x, n in pairs]
+
+
 def _ngrams(words: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the n-gram that ends at each place, and whether there is one in its text."""
     h = words.copy()
@@ -60,14 +68,28 @@ def _ngrams(words: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray,
     return h, place >= n - 1
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of integers, the lowest of all first: shuffles compress sorted ones well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """How many integers, the sizes of their planes, then all lowest bytes, all second ones ...
+    Each plane is compressed by itself, as those above the random ones cost next to nothing."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    parts = [pa.compress(np.ascontiguousarray(x), codec="zstd", asbytes=True) for x in planes]
+    return b"".join([np.array([len(values), *map(len, parts)], dtype="<u4").tobytes(), *parts])
 
 
-def _from_planes(data: bytes, kind: str) -> np.ndarray:
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+    number, *lengths = np.frombuffer(data, dtype="<u4", count=size + 1).tolist()
+    out, at = np.empty((number, size), dtype=np.uint8), 4 * (size + 1)
+    for k, n in enumerate(lengths):
+        plane = pa.decompress(data[at : at + n], decompressed_size=number, codec="zstd")
+        out[:, k] = np.frombuffer(plane, dtype=np.uint8)
+        at += n
+    return out.view(kind).ravel()
+
+
+def _steps(hashes: np.ndarray) -> np.ndarray:
+    """Sorted hashes as the first of them and what each is above the one before."""
+    return np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
 
 
 def _slice_of(hashes: np.ndarray, slices: int) -> np.ndarray:
@@ -126,8 +148,21 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     slices = max(1, -(-corpus_words // SLICE_WORDS))
     keyed = keyed.withColumn("batch", F.pmod(F.xxhash64("doc_id", "data"), F.lit(batches)).cast("int"))
 
+    def small(parts):
+        for part in parts:
+            data = [pa.compress(x, codec="zstd", asbytes=True) if x else b"" for x in part.column("data").to_pylist()]
+            n_bytes = pc.binary_length(part.column("data")).cast(pa.int64())
+            columns = [part.column("doc_id"), pa.array(data, pa.binary()), n_bytes, part.column("batch")]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "data", "n_bytes", "batch"])
+
+    sent = T.StructType(
+        [keyed.schema["doc_id"], T.StructField("data", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
+         T.StructField("batch", T.IntegerType())]
+    )
+    keyed = keyed.mapInArrow(small, sent)
+
     def ask(table: pa.Table) -> pa.Table:
-        words, lengths = _words(table.column("data").to_pylist())
+        words, lengths = _words(_texts(table))
         rows = []
         for n in range(1, order + 1):
             h, there = _ngrams(words, lengths, n)
@@ -136,7 +171,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
             ends = np.searchsorted(_slice_of(hashes, slices), np.arange(slices), side="right")
             for k, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
                 if b > a:
-                    rows.append((k, n, _planes(hashes[a:b]), _planes(counts[a:b])))
+                    rows.append((k, n, _packed(_steps(hashes[a:b])), _packed(counts[a:b])))
         columns = list(zip(*rows, strict=True)) or [()] * 4
         batch = [table.column("batch")[0].as_py()] * len(rows)
         types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -144,12 +179,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
         return pa.Table.from_arrays(arrays, names=["batch", "slice", "n", "hashes", "counts"])
 
     def answer(table: pa.Table) -> pa.Table:
-        hashes = [_from_planes(x, "<u8") for x in table.column("hashes").to_pylist()]
-        counts = np.concatenate([_from_planes(x, "<u4") for x in table.column("counts").to_pylist()])
+        hashes = [np.cumsum(_unpacked(x, "<u8"), dtype=np.uint64) for x in table.column("hashes").to_pylist()]
+        counts = np.concatenate([_unpacked(x, "<u4") for x in table.column("counts").to_pylist()])
         ends = np.cumsum([len(x) for x in hashes])
         _, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
         totals = np.bincount(inverse, counts)[inverse].astype("<u8")
-        own = [_planes(x) for x in np.split(totals, ends[:-1])]
+        own = [_packed(x) for x in np.split(totals, ends[:-1])]
         return table.select(["batch", "slice", "n"]).append_column("totals", pa.array(own, pa.binary()))
 
     schema = T.StructType(
@@ -158,12 +193,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     )
 
     def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        words, lengths = _words(texts.column("data").to_pylist())
+        words, lengths = _words(_texts(texts))
         given = sorted(answers.select(["n", "slice", "totals"]).to_pylist(), key=lambda r: (r["n"], r["slice"]))
         totals = []
         for n in range(1, order + 1):
             h, there = _ngrams(words, lengths, n)
-            parts = [_from_planes(r["totals"], "<u8") for r in given if r["n"] == n]
+            parts = [_unpacked(r["totals"], "<u8") for r in given if r["n"] == n]
             totals.append({"hashes": np.unique(h[there]), "counts": np.concatenate([np.zeros(0, "<u8"), *parts]).astype(float)})
         found = score(words, lengths, totals, corpus_words)
         mean = pa.array(found["log_score"] / np.maximum(lengths, 1), mask=lengths == 0)
