@@ -92,3 +92,31 @@ def test_long_texts_are_counted_in_parts(monkeypatch):
     whole = similar.segments(text)
     monkeypatch.setattr(similar, "AT_ONCE", 10)
     assert similar.segments(text) == whole
+
+
+def test_pairs_just_similar_enough_and_repeated_sentences_are_found(spark):
+    rng = random.Random(11)
+    word = lambda: f"{rng.randrange(3000)}w"
+    texts = []
+    for k in range(120):  # scattered edits down to a similarity of 0.80 to 0.82
+        words = [word() for _ in range(300)]
+        other, places = list(words), rng.sample(range(300), 300)
+        one = frozenset(similar._grams([w.encode() for w in words], 5))
+        for at in places:
+            other[at] = f"x{k}"
+            two = frozenset(similar._grams([w.encode() for w in other], 5))
+            if len(one & two) / len(one | two) <= 0.82:
+                break
+        if len(one & two) / len(one | two) >= 0.8:
+            texts += [" ".join(words), " ".join(other)]
+    assert len(texts) >= 160
+    for k in range(40):  # one sentence that the copy has many times over
+        words = [word() for _ in range(1000)]
+        again = " ".join(word() for _ in range(10))
+        texts += [" ".join(words), " ".join(words + [again] * (10 + 10 * (k % 2)))]
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in similar.near_copy_classes(df).collect()}
+    expected = {k: k - k % 2 for k in found}
+    assert all(expected[found[k]] == expected[k] for k in found)  # no wrong documents
+    assert sum(found[k] != expected[k] for k in found) <= 1
