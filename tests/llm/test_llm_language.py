@@ -63,3 +63,13 @@ def test_foreign_texts_are_rejected(spark):
     assert all(r["rejected"] for r in got)
     own = language.classify(docs, model).selectExpr("avg(cast(rejected as double)) x").first()["x"]
     assert own < 0.05
+
+
+def test_copies_and_rows_without_letters_take_no_place_in_the_sample(spark):
+    rows = [("aa", "the one text that there is so often")] * 5000 + [("aa", f"another text {k}") for k in range(40)]
+    rows += [("bb", f"ein Text {k}") for k in range(500)] + [("bb", "123")] * 5000 + [("cc", "9")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    found = [tuple(r) for r in language.sample_of(df, per_language=100).collect()]
+    assert len(set(found)) == len(found) and set(found) <= set(rows)
+    number = {lang: sum(r[0] == lang for r in found) for lang in ("aa", "bb", "cc")}
+    assert number == {"aa": 41, "bb": 100, "cc": 0}

@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tillhouse.llm.shared import stored
 
 SIZE = 4096
-#: Bound on the labelled texts of a language that the model is fitted on, about.
+#: Bound on the distinct labelled texts of a language that the model is fitted on.
 PER_LANGUAGE = 1000
 CLUSTERS = 4
 ROUNDS = 12
@@ -32,6 +33,8 @@ REJECTED_SHARE = 0.002
 UNKNOWN = "und"
 
 _letter = re.compile(r"[^\W\d_]")
+#: The same for Spark.
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
 _fold = np.full(256, 32, dtype=np.uint8)
 _fold[[*range(97, 123), *range(128, 256)]] = [*range(97, 123), *range(128, 256)]
 _AT_ONCE = 1 << 20
@@ -99,20 +102,37 @@ def clusters(v: np.ndarray, number: int = CLUSTERS, rounds: int = ROUNDS) -> tup
     return centroids, (v @ centroids.T).argmax(axis=1)
 
 
+def sample_of(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame | None:
+    """(lang, text): the `per_language` distinct texts of each language with the least hashes,
+    all where it has no more; None without any. Rows without a language or a letter do not count."""
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
+    rows = rows.withColumn("place", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    known = stored(rows.select("lang", "place").distinct(), "language-texts")
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
+    if not sizes:
+        return None
+
+    def of(values: dict[str, int]):
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("lang")]
+
+    # Surely enough of the least hashes, then the last of those wanted: no task ranks a whole language.
+    top, enough = (1 << 63) - 1, per_language + 10 * int(per_language**0.5) + 10
+    least = known.filter(F.col("place") <= of({lang: top if n <= enough else top * enough // n for lang, n in sizes.items()}))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    last = least.withColumn("rank", rank).filter(F.col("rank") <= per_language).groupBy("lang").agg(F.max("place").alias("last"))
+    last = {r["lang"]: r["last"] for r in last.collect()}
+    return rows.filter(F.col("place") <= of(last)).groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Centroids:
-    """Centroids from about `per_language` texts of each language, chosen by hash.
+    """Centroids from `per_language` distinct texts of each language, chosen by hash.
 
     Rows without a language or a letter do not count.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
-    )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
-    if not sizes:
+    sample = sample_of(labelled, text_col, lang_col, per_language)
+    if sample is None:
         return Centroids([], np.zeros((0, SIZE), np.float32), np.zeros(0), np.ones(SIZE, np.float32))
-    share = 1 << 24
-    least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(share, share * per_language // n + 1))])
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(share)) < least[F.col("lang")])
 
     def vectors(batches):
         for batch in batches:
