@@ -81,3 +81,13 @@ def test_empty_table_nulls_and_clashes(spark, empty, weights):
     assert sorted(map(tuple, got), key=str) == sorted(
         [(1, None, "", 0), (None, "u", "", 0), (2, "u", "a b", 3), (2, "u", "a b", 3)], key=str
     )
+
+
+def test_elements_that_close_themselves_or_never_leave_the_text_after_them():
+    none = html_text.Weights()
+    for tag in ('<svg class="icon"/>', "<math />", "<svg>", "<noscript>", "<iframe src=x>"):
+        page = f"<p>First {WORDS}</p><p>Second {tag} {WORDS}</p><p>Third {WORDS}</p>"
+        assert html_text.main_text(page, none) == f"First {WORDS}\nSecond {WORDS}\nThird {WORDS}"
+    for tag in ("<svg><text>no</text></svg>", "<svg class=a/><text>no</text></svg>", "<math><mi>no</mi></math>"):
+        assert html_text.main_text(f"<p>One {tag} {WORDS}</p>", none) == f"One {WORDS}"
+    assert html_text.main_text(f"<p>One {WORDS}</p><script>{WORDS}", none) == f"One {WORDS}"

@@ -30,6 +30,10 @@ LIMIT = 8.0
 
 # Element names of the HTML standard.
 RAW = "script style textarea title noscript template iframe xmp svg math".split()
+#: Of those, what a page that does not close them has no more text after.
+ENDLESS = "script style textarea title".split()
+#: Of those, what can close itself.
+FOREIGN = "svg math".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 BLOCKS = (
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
@@ -47,6 +51,7 @@ _never_word = re.compile(
 _token = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
 _attribute = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _raw_end = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+_open_value = re.compile(r"=\s*[^\s\"'=<>`]*/$")  # a slash that belongs to a value without quotes
 _raw, _void, _blocks, _never = set(RAW), set(VOID), set(BLOCKS), set(NEVER)
 
 
@@ -83,6 +88,7 @@ def tokens(page: str | None) -> Iterator[Token]:
     """Tokens of a page; malformed markup is read as far as it goes, never fails."""
     page = page or ""
     at, stack = 0, [_Open("", "", False, False)]
+    unclosed: set[str] = set()  # raw elements without an end tag from here on
 
     def text(piece: str) -> Iterator[Token]:
         if piece:
@@ -101,8 +107,15 @@ def tokens(page: str | None) -> Iterator[Token]:
             continue
         name = m[2].lower()
         if name in _raw and not m[1]:
+            if name in unclosed or (name in FOREIGN and m[3].endswith("/") and not _open_value.search(m[3])):
+                continue
             end = _raw_end[name].search(page, at)
-            at = end.end() if end else len(page)
+            if end:
+                at = end.end()
+            elif name in ENDLESS:
+                at = len(page)
+            else:
+                unclosed.add(name)
             continue
         label, skip = stack[-1].label, stack[-1].skip
         if m[1]:
