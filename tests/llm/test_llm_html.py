@@ -91,3 +91,17 @@ def test_elements_that_close_themselves_or_never_leave_the_text_after_them():
     for tag in ("<svg><text>no</text></svg>", "<svg class=a/><text>no</text></svg>", "<math><mi>no</mi></math>"):
         assert html_text.main_text(f"<p>One {tag} {WORDS}</p>", none) == f"One {WORDS}"
     assert html_text.main_text(f"<p>One {WORDS}</p><script>{WORDS}", none) == f"One {WORDS}"
+
+
+def test_names_of_headings_and_sections_do_not_drop_them():
+    none = html_text.Weights()
+    for tag in ('h2 id="related-work"', 'h2 id="search"', 'p class="notice"', 'section id="legal-history"', 'div data-id="legal"',
+                'section id="comments-on-the-theory"', 'div title="see id=legal now"'):
+        name = tag.split()[0]
+        page = f"<p>First {WORDS}</p><{tag}>Second {WORDS}</{name}><p>Third {WORDS}</p>"
+        assert html_text.main_text(page, none) == f"First {WORDS}\nSecond {WORDS}\nThird {WORDS}", tag
+    inside = f'<article><p>First {WORDS}</p><section id="search">Second {WORDS}</section></article>'
+    assert html_text.main_text(inside, none) == f"First {WORDS}\nSecond {WORDS}"
+    for tag in ('div class="big cookie-notice"', 'section id="comments"', 'ul class="social"', "div role=navigation"):
+        page = f"<p>First {WORDS}</p><{tag}>Second {WORDS}</{tag.split()[0]}><p>Third {WORDS}</p>"
+        assert html_text.main_text(page, none) == f"First {WORDS}\nThird {WORDS}", tag

@@ -42,17 +42,18 @@ BLOCKS = (
 ).split()
 LABELS = ("article", "main")
 NEVER = "nav aside footer header form button select menu dialog head".split()
-# Words in class, id or role that mark blocks which are not the article.
+CONTAINERS = "div section ul ol dl table".split()
+# Classes, roles and ids that mark containers which are not the article: all their parts are of these words.
 _never_word = re.compile(
-    r"(?i)(^|[\s_-])(ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|legal|login|"
-    r"masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|recommended|related|replies|"
-    r"search|share|sharing|sidebar|signup|social|sponsor(ed)?|subscribe|toolbar|widget)($|[\s_-])"
+    r"(?i)(?:^|(?<=\s))(?:(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|legal|"
+    r"login|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|recommended|related|replies|"
+    r"search|share|sharing|sidebar|signup|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:[_-](?=[^\s_-])|(?=\s|$)))+(?=\s|$)"
 )
 _token = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
-_attribute = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_attribute = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _raw_end = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _open_value = re.compile(r"=\s*[^\s\"'=<>`]*/$")  # a slash that belongs to a value without quotes
-_raw, _void, _blocks, _never = set(RAW), set(VOID), set(BLOCKS), set(NEVER)
+_raw, _void, _blocks, _never, _containers = set(RAW), set(VOID), set(BLOCKS), set(NEVER), set(CONTAINERS)
 
 
 @dataclass
@@ -76,11 +77,17 @@ class _Open:
     skip: bool
 
 
-def _mark(name: str, attributes: str) -> tuple[str, bool]:
-    """Name with class, id and role; whether they say that it is never article."""
-    found = [m[2] or m[3] or m[4] or "" for m in _attribute.finditer(attributes)] if attributes else []
-    words = " ".join(found)
-    never = name in _never or bool(words and name not in ("body", "html", *LABELS) and _never_word.search(words))
+def _mark(name: str, attributes: str, label: bool) -> tuple[str, bool]:
+    """Name with class, id and role; whether they say that it is never article. Inside
+    a labelled article ids say nothing: there they name what a section is about."""
+    found = []
+    if attributes:
+        pairs = ((m[1].lower(), m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes))
+        found = [(key, value) for key, value in pairs if key in ("class", "id", "role")]
+    never = name in _never or (
+        name in _containers and any(_never_word.search(value) for key, value in found if key != "id" or not label)
+    )
+    words = " ".join(value for _, value in found)
     return f"{name}.{words}" if words else name, never
 
 
@@ -129,7 +136,7 @@ def tokens(page: str | None) -> Iterator[Token]:
                     del stack[depth:]
             label, feature = stack[-1].label, f"/{mark}"
         else:
-            mark, never = _mark(name, m[3])
+            mark, never = _mark(name, m[3], stack[-1].label)
             if name in _blocks:  # a new block ends an open paragraph
                 p = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name in _blocks), 0)
                 if p and stack[p].name in ("p", "li") and (name == stack[p].name or stack[p].name == "p"):
