@@ -150,7 +150,7 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample_docs: int =
 
 
 def model_spans(text: Column, base: Column, models: MarkovModels, threshold: float = THRESHOLD) -> Column:
-    """Spans of tokens that score at least `threshold` and touch no base span."""
+    """Spans of tokens that score at least `threshold` and that no base span covers wholly."""
     tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
     random = F.transform(
         tokens,
@@ -158,7 +158,7 @@ def model_spans(text: Column, base: Column, models: MarkovModels, threshold: flo
     )
     return F.filter(
         _placed(text, TOKEN, 3, random),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
     )
 
 
