@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ann, html_text, language, lm, mixing, packing, quality, repeats, secrets, simhash
+from tillhouse.llm import ann, html_text, language, lm, mixing, packing, quality, repeats, secrets, simhash, variants
 from tillhouse.llm.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op10_language_id(spark, folder):
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@_query
+def op11_spelling_variants(spark, folder):
+    return variants.spelling_variants(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
