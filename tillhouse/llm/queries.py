@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ann, html_text, language, lm, mixing, packing, quality, repeats, secrets, simhash, variants
+from tillhouse.llm import (
+    ann,
+    html_text,
+    language,
+    lm,
+    mixing,
+    near_vectors,
+    packing,
+    prefixes,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+    variants,
+)
 from tillhouse.llm.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +102,17 @@ def op11_spelling_variants(spark, folder):
     return variants.spelling_variants(_table(spark, folder, "documents"))
 
 
+@_query
+def op12_embedding_near_dedup(spark, folder):
+    return near_vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
+@_query
+def op13_conversation_prefix_trie(spark, folder):
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return prefixes.prefix_trie(_table(spark, folder, "conversations")).select(*columns)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
