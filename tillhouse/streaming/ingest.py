@@ -1,17 +1,21 @@
 """Micro-batch ingest of POS events.
 
-Every batch writes its rows under its own ``run`` and ``epoch_id``, so a batch that
-runs again after a failure replaces what it wrote and nothing doubles. A run is one
+A batch writes its rows to all tables under a number and an attempt of its own and then
+a commit record, which makes them visible together. A batch that runs again after its
+commit does nothing; one that broke before leaves rows that nobody reads. A run is one
 checkpoint: its name has the id of the stream that the checkpoint belongs to, so a
-stream that starts over never replaces the batches of another. Staged rows are stored
-by event day, and a batch is compared with the days it may share ids with, not with
-all of history. Write errors end the stream; the checkpoint never moves past lost rows.
+stream that starts over never takes the batches of another for its own.
+
+Ids of all history are looked up in an index of buckets with Bloom filters, so an event
+of any age is staged once and only buckets that may hold an id are read. Stock moves are
+folded into segments, so that the stock of today takes few files. Write errors end the
+stream; the checkpoint never moves past lost rows.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
@@ -25,6 +29,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import update_from
 from ..plans import pos
 from ..schemas import POS_EVENT, POS_STAGED
+from ..sinks import storage
+from .commits import Commit, CommitLog
+from .id_index import IdIndex
+from .segments import Segment, Segments
 
 REQUIRED = ["transaction_id", "branch_id", "product_id", "quantity", "unit_price", "event_ts"]
 SPIKE_UNITS = 20
@@ -39,125 +47,175 @@ def _acceptable() -> Column:
     return F.coalesce(present & (F.col("quantity") > 0) & (F.col("unit_price") >= 0) & fits, F.lit(False))
 
 
-STAGED_BY_EPOCH = T.StructType(
-    [
-        *POS_STAGED.fields,
-        T.StructField("event_day", T.DateType()),
-        T.StructField("run", T.StringType()),
-        T.StructField("epoch_id", T.LongType()),
-    ]
-)
+MOVES = "branch_id int, product_id int, total_qty long"
+TABLES = {
+    "staged": POS_STAGED,
+    "orders": "order_id string, branch_id int, gross_amount decimal(10,2), discount_amount decimal(10,2), created_at timestamp",
+    "order_items": "order_id string, branch_id int, product_id int, quantity int, unit_price decimal(10,2)",
+    "stock_moves": MOVES,
+    "spikes": "branch_id int, units long",
+    "rejects": "value string",
+    "quarantine": "value string",
+    "batches": "lines long, accepted long, staged long, units long, passed boolean",
+}
+
+
+@dataclass(frozen=True)
+class Gate:
+    """When a batch as a whole is not to be trusted: of at least ``lines`` lines, more
+    than ``rejected`` are unreadable or break a rule."""
+
+    lines: int = 100
+    rejected: float = 0.5
 
 
 @dataclass(frozen=True)
 class Ingest:
-    """Where the tables live: ``staged``, ``orders``, ``order_items``,
-    ``stock_moves``, ``spikes``, ``rejects`` and ``late`` below one folder.
+    """Where the tables live: ``TABLES`` below one folder, beside commits, id index and
+    folded stock moves.
 
-    Events more than ``lateness_days`` older than the newest of their batch go to
-    ``late``, unchanged, and are not staged: ids that old are not looked up any more.
+    With a ``gate``, the lines of a batch that does not pass go to ``quarantine`` and to
+    no other table. ``fan`` says how many batches or segments are folded into one.
     """
 
     folder: str
     run: str = "main"
     spike_units: int = SPIKE_UNITS
-    lateness_days: int = 30
+    fan: int = 16
+    gate: Gate | None = None
 
     def table(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def batch(self, name: str, epoch: int) -> str:
-        return f"{self.table(name)}/run={self.run}/epoch_id={epoch}"
-
     def of_stream(self, spark: SparkSession, checkpoint: str) -> Ingest:
         """The same tables for the stream that a checkpoint belongs to."""
         text = spark.read.text(f"{checkpoint}/metadata").first()[0]
         return replace(self, run=f"{self.run}-{json.loads(text)['id']}")
 
-    def _write(self, df: DataFrame, name: str, epoch: int) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.batch(name, epoch))
+    def prepare(self, spark: SparkSession) -> None:
+        """Make the folders of the tables."""
+        for name in TABLES:
+            storage.make_folder(spark, self.table(name))
 
-    def _write_staged(self, df: DataFrame, epoch: int) -> None:
-        """By event day; days a batch wrote before and writes again are replaced."""
-        placed = df.withColumns(
-            {"event_day": F.to_date("event_ts"), "run": F.lit(self.run), "epoch_id": F.lit(epoch).cast("long")}
-        )
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("event_day", "run", "epoch_id").parquet(self.table("staged"))
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.table("commits"), self.fan)
 
-    def prepare(self, spark: SparkSession) -> None:
-        """Make the folder of the staged rows."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.table("staged"))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        if name == "staged":
-            return spark.read.schema(STAGED_BY_EPOCH).parquet(self.table(name))
-        return spark.read.parquet(self.table(name))
-
-    def staged_of(self, spark: SparkSession, days: list[dt.date]) -> DataFrame:
-        """Rows staged with these event days. Only folders of these days are listed."""
-        paths = [f"{self.table('staged')}/event_day={d.isoformat()}" for d in days]
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        conf = spark._jsc.hadoopConfiguration()
-        there = [p for p in paths if hadoop.Path(p).getFileSystem(conf).exists(hadoop.Path(p))]
-        if not there:
-            return spark.createDataFrame([], STAGED_BY_EPOCH)
-        return spark.read.schema(STAGED_BY_EPOCH).option("basePath", self.table("staged")).parquet(*there)
-
-    def staged_before(self, spark: SparkSession, epoch: int, days: list[dt.date]) -> DataFrame:
-        """Ids staged by earlier batches and runs; the batch's own rows do not count."""
-        earlier = (F.col("run") != self.run) | (F.col("epoch_id") < epoch)
-        return self.staged_of(spark, days).filter(earlier).select("transaction_id")
+    # ---- reading ----
+
+    def read(self, spark: SparkSession, name: str, head: int | None = None) -> DataFrame:
+        """What committed batches wrote to a table, with ``seq``, ``run`` and ``epoch_id``.
+        Several tables read with one ``head`` (see ``CommitLog.head``) fit together."""
+        schema = T._parse_datatype_string(TABLES[name]) if isinstance(TABLES[name], str) else TABLES[name]
+        keys = [T.StructField("seq", T.LongType()), T.StructField("attempt", T.StringType())]
+        rows = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(self.table(name))
+        return rows.join(self.log.records(spark, head), ["seq", "attempt"]).select(*schema.fieldNames(), "seq", "run", "epoch_id")
+
+    def _of_batches(self, spark: SparkSession, name: str, schema: str, first: int, last: int) -> DataFrame:
+        """The same for a short range of batches. Only their folders are listed."""
+        paths = [self._place(name, c) for c in self.log.some(spark, list(range(first, last + 1)))]
+        there = [p for p in paths if storage.exists(spark, p)]
+        return spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)
+
+    def moves(self, spark: SparkSession) -> DataFrame:
+        """All stock moves, most of them already added up: fewer than ``fan`` segments of
+        each level, and fewer than ``fan`` batches, are read."""
+        folded = self._folded_moves(spark)
+        segments, single = folded.live(self.log.head(spark))
+        rows = folded.batches(single[0], single[-1]) if single else spark.createDataFrame([], MOVES)
+        for s in segments:
+            rows = rows.unionByName(folded.read(s, folded.path(s)))
+        return rows
+
+    def _folded_moves(self, spark: SparkSession) -> Segments:
+        def write(rows: DataFrame, _: Segment, path: str) -> None:
+            added = rows.groupBy("branch_id", "product_id").agg(F.sum("total_qty").alias("total_qty"))
+            added.write.mode("overwrite").parquet(path)
+
+        def read(_: Segment, path: str) -> DataFrame:
+            return spark.read.schema(MOVES).parquet(path)
+
+        def batches(first: int, last: int) -> DataFrame:
+            return self._of_batches(spark, "stock_moves", MOVES, first, last)
+
+        return Segments(spark, self.table("folded_moves"), self.fan, batches, write, read)
+
+    def ids(self, spark: SparkSession) -> IdIndex:
+        def staged(first: int, last: int) -> DataFrame:
+            return self._of_batches(spark, "staged", "transaction_id string", first, last)
+
+        return IdIndex(spark, self.table("ids"), self.fan, staged)
+
+    # ---- writing ----
+
+    def _place(self, name: str, commit: Commit) -> str:
+        return f"{self.table(name)}/seq={commit.seq}/attempt={commit.attempt}"
+
+    def _write(self, df: DataFrame, name: str, commit: Commit) -> None:
+        df.write.mode("overwrite").parquet(self._place(name, commit))
 
     def process(self, lines: DataFrame, epoch: int) -> None:
         """One micro-batch of JSON text."""
-        spark = lines.sparkSession
+        spark, log = lines.sparkSession, self.log
+        if epoch <= log.last_epoch(spark, self.run):
+            self.fold(spark)  # may be what broke off
+            return
+        commit = Commit(log.head(spark) + 1, self.run, epoch, uuid.uuid4().hex)
         typed = lines.select("value", F.from_json("value", POS_EVENT).alias("_e")).select("value", "_e.*")
-        typed = typed.withColumn("event_ts", F.col("timestamp").try_cast("timestamp")).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        typed = typed.withColumn("event_ts", F.col("timestamp").try_cast("timestamp"))
+        typed = typed.withColumn("_good", _acceptable()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            newest = typed.filter(_acceptable()).agg(F.max(F.to_date("event_ts")), F.count(F.lit(1))).first()
-            if newest[1] == 0 and typed.isEmpty():
-                return
-            self._write(typed.filter(~_acceptable()).select("value"), "rejects", epoch)
-            if newest[1] == 0:
-                return
-
-            oldest = newest[0] - dt.timedelta(days=self.lateness_days)
-            good = typed.filter(_acceptable())
-            in_time = F.to_date("event_ts") >= F.lit(oldest)
-            self._write(good.filter(~in_time).select("value"), "late", epoch)
-            good = good.filter(in_time)
-            days = [oldest + dt.timedelta(days=k) for k in range(self.lateness_days + 1)]
-            fresh = self._unseen(spark, good, epoch, days)
-            self._write_staged(fresh, epoch)
-
-            own = (F.col("run") == self.run) & (F.col("epoch_id") == epoch)
-            staged = self.staged_of(spark, days).filter(own).select(*POS_STAGED.fieldNames())
-            tables = pos.normalize(staged)
-            self._write(tables["orders"], "orders", epoch)
-            self._write(tables["order_items"], "order_items", epoch)
-            self._write(pos.consumption(tables["order_items"]), "stock_moves", epoch)
-
-            spikes = good.groupBy("branch_id").agg(F.sum("quantity").alias("units"))
-            self._write(spikes.filter(F.col("units") >= self.spike_units), "spikes", epoch)
+            if self._write_batch(typed, commit):
+                log.append(spark, commit)
         finally:
             typed.unpersist()
+        self.fold(spark)
+
+    def _write_batch(self, typed: DataFrame, commit: Commit) -> bool:
+        """Write all tables of a batch; whether there was anything to write."""
+        spark, good = typed.sparkSession, typed.filter("_good")
+        units = F.sum(F.when(F.col("_good"), F.col("quantity")))
+        lines, accepted, sold = typed.agg(F.count(F.lit(1)), F.count_if("_good"), F.coalesce(units, F.lit(0))).first()
+        if lines == 0:
+            return False
+        if self.gate and lines >= self.gate.lines and lines - accepted > self.gate.rejected * lines:
+            self._write(typed.select("value"), "quarantine", commit)
+            self._measure(spark, commit, lines, accepted, 0, sold, False)
+            return True
+        if accepted < lines:
+            self._write(typed.filter("NOT _good").select("value"), "rejects", commit)
+        staged = 0
+        if accepted:
+            self._write(self._unseen(spark, good, commit), "staged", commit)
+            rows = spark.read.schema(POS_STAGED).parquet(self._place("staged", commit))
+            tables = pos.normalize(rows)
+            self._write(tables["orders"], "orders", commit)
+            self._write(tables["order_items"], "order_items", commit)
+            self._write(pos.consumption(tables["order_items"]), "stock_moves", commit)
+            spikes = good.groupBy("branch_id").agg(F.sum("quantity").alias("units"))
+            self._write(spikes.filter(F.col("units") >= self.spike_units), "spikes", commit)
+            staged = rows.count()
+        self._measure(spark, commit, lines, accepted, staged, sold, True)
+        return True
 
-    def _unseen(self, spark: SparkSession, events: DataFrame, epoch: int, days: list[dt.date]) -> DataFrame:
-        """One row per transaction id that no earlier batch has staged for one of the days.
+    def _measure(self, spark: SparkSession, commit: Commit, *measures: object) -> None:
+        self._write(spark.createDataFrame([measures], TABLES["batches"]).coalesce(1), "batches", commit)
 
-        The staged ids are first reduced to those in this batch. The batch is
-        the small side of that join, so the days' rows are scanned for one
-        column but not shuffled.
-        """
-        unique = pos.stage(events.drop("value", "event_ts"))
+    def _unseen(self, spark: SparkSession, events: DataFrame, commit: Commit) -> DataFrame:
+        """One row per transaction id that no batch before has staged."""
+        unique = pos.stage(events.drop("value", "event_ts", "_good"))
         unique = unique.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-        known = self.staged_before(spark, epoch, days).join(unique.select("transaction_id"), "transaction_id", "left_semi")
+        known = self.ids(spark).known(unique.select("transaction_id"), commit.seq - 1)
         return unique.join(known, "transaction_id", "left_anti")
 
+    def fold(self, spark: SparkSession) -> None:
+        """Fold what is due of the id index, the stock moves and the commit records."""
+        head = self.log.head(spark)
+        if head >= self.fan:
+            self.ids(spark).fold(head)
+            self._folded_moves(spark).fold(head)
+            self.log.fold(spark)
+
 
 def start_ingest(
     lines: DataFrame, target: Ingest, checkpoint: str, interval: str | None = "5 seconds"
