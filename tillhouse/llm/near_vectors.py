@@ -202,6 +202,13 @@ def meet(a: Shard, b: Shard, options: Search) -> pd.DataFrame:
 
 # ---- on Spark -------------------------------------------------------------------------
 
+
+def _spread(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """`groups` groups, few rows and much work each, over tasks of their own: adaptive
+    planning would put them together by their size."""
+    return df.repartition(max(1, min(4 * groups, 20_000)), *keys)
+
+
 SHARD = "dim int, shard int, ids binary, hashes binary, copies binary, vectors binary, layers array<struct<points:binary,links:binary>>"
 
 
@@ -211,6 +218,7 @@ def build_shards(points: DataFrame, options: Search = Search()) -> DataFrame:
     most = F.least(F.lit(options.shard_points), F.greatest(F.lit(1), F.lit(options.shard_bytes) / (8 * F.col("dim"))))
     shards = F.greatest(F.ceil(n / most), F.when(n < options.few, 1).otherwise(options.shards))
     sizes = points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).select("dim", shards.cast("int").alias("shards"))
+    number = sizes.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
     dealt = points.join(sizes, "dim").withColumn("shard", F.pmod("h", F.col("shards")).cast("int"))
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -221,7 +229,8 @@ def build_shards(points: DataFrame, options: Search = Search()) -> DataFrame:
         )
         return pd.DataFrame([shard.row(int(pdf["dim"].iloc[0]), int(pdf["shard"].iloc[0]))])
 
-    return dealt.select("dim", "shard", "h", "v", "first", "copies").groupBy("dim", "shard").applyInPandas(make, SHARD)
+    dealt = _spread(dealt.select("dim", "shard", "h", "v", "first", "copies"), number, "dim", "shard")
+    return dealt.groupBy("dim", "shard").applyInPandas(make, SHARD)
 
 
 def shard_links(shards: DataFrame, options: Search = Search()) -> DataFrame:
@@ -230,6 +239,8 @@ def shard_links(shards: DataFrame, options: Search = Search()) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("most")))
     sent = shards.join(others, "dim").withColumn("other", other).drop("most")
     sent = sent.withColumns({"lo": F.least("shard", "other"), "hi": F.greatest("shard", "other")})
+    meetings = others.agg(F.coalesce(F.sum((F.col("most") + 1) * (F.col("most") + 2) / 2), F.lit(0))).first()[0]
+    sent = _spread(sent, int(meetings), "dim", "lo", "hi")
 
     def look(pdf: pd.DataFrame) -> pd.DataFrame:
         read = [Shard.read(row) for _, row in pdf.sort_values("shard").iterrows()]
