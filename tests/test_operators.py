@@ -40,7 +40,9 @@ from tillhouse.operators import (
     with_previous,
 )
 from tillhouse.operators import keys as key_module
+from tillhouse.operators import ranking
 from tillhouse.operators.keys import assign_surrogate_keys
+from tillhouse.operators.pieces import with_pieces
 from tillhouse.operators.rules import inventory_rules, ledger_rules, user_rules
 from tillhouse.schemas import LEDGER_TYPES
 
@@ -63,8 +65,20 @@ def test_rank_equals_window_rank(spark, seed):
         "SELECT g, v, id, rank() OVER (PARTITION BY g ORDER BY v DESC NULLS FIRST) AS rank FROM ranked_input"
     )
     assert rows(rank_descending(df, "v", by=["g"])) == rows(by_group)
+    assert rows(rank_descending(df, "v", by=["g"], values=10)) == rows(by_group)
     overall = spark.sql("SELECT g, v, id, rank() OVER (ORDER BY v DESC NULLS FIRST) AS rank FROM ranked_input")
     assert rows(rank_descending(df, "v")) == rows(overall)
+    assert rows(rank_descending(df, "v", values=10)) == rows(overall)
+
+
+def test_a_group_of_close_values_is_ranked_in_pieces(spark):
+    """All values within a thousandth of each other; pieces are about equal, ranks right."""
+    df = spark.range(20_000).selectExpr("'g' AS g", "1000000 + (id * 7919 % 20000) / 20000 AS v")
+    counts = df.groupBy("g", F.col("v").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = [r["count"] for r in ranking._with_piece(counts, ["g"], 1000).groupBy("_piece").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 3 * 20_000 / 64
+    ranked = rank_descending(df, "v", by=["g"], values=1000)
+    assert ranked.filter("rank <> 1 + round((1000001 - v) * 20000 - 1)").count() == 0
 
 
 def test_number_rows_of_any_keys(spark):
@@ -120,16 +134,18 @@ def test_clamped_balance_equals_sequential_fold(spark, data):
         "at", F.timestamp_seconds(F.col("minute") * 60)
     )
     opening = spark.createDataFrame([(1, 5)], "k long, quantity long")
-    found = clamped_balance(df, ["k"], "change", ["at", "id"], opening)
-    assert {r.id: r.quantity for r in found.collect()} == _fold(events, {1: 5})
+    for size in (1 << 20, 4):
+        found = clamped_balance(df, ["k"], "change", ["at", "id"], opening, rows=size)
+        assert {r.id: r.quantity for r in found.collect()} == _fold(events, {1: 5})
 
 
 def test_events_without_key_are_a_key_of_their_own(spark):
     data = [(None, 0, 1, 5), (None, 90, 2, -7), (1, 5, 3, 4)]
     df = spark.createDataFrame(data, "k long, minute int, id long, change long")
     df = df.withColumn("at", F.timestamp_seconds(F.col("minute") * 60))
-    found = clamped_balance(df, ["k"], "change", ["at", "id"], before="was").collect()
-    assert {r.id: (r.quantity, r.was) for r in found} == {1: (5, None), 2: (0, 5), 3: (4, None)}
+    for size in (1 << 20, 1):
+        found = clamped_balance(df, ["k"], "change", ["at", "id"], before="was", rows=size).collect()
+        assert {r.id: (r.quantity, r.was) for r in found} == {1: (5, None), 2: (0, 5), 3: (4, None)}
 
 
 @settings(max_examples=6, deadline=None)
@@ -140,19 +156,48 @@ def test_level_before_equals_the_lag(spark, data):
         "at", F.timestamp_seconds(F.col("minute") * 60)
     )
     opening = spark.createDataFrame([(1, 5)], "k long, quantity long")
-    found = clamped_balance(df, ["k"], "change", ["at", "id"], opening, before="was")
+    found = clamped_balance(df, ["k"], "change", ["at", "id"], opening, before="was", rows=5)
     lag = with_previous(found, ["k"], "quantity", ["at", "id"], "lag").collect()
     assert all(r.was == r["lag"] for r in lag)
 
 
-def test_previous_and_changes_across_chunks(spark):
+def test_a_burst_of_one_second_spreads_over_pieces(spark):
+    """A key with 30,000 events in one second, some without a time, beside small keys."""
+    df = spark.range(30_000).selectExpr("1 AS k", "CASE WHEN id > 50 THEN timestamp_seconds(1000) END AS at", "id * 7919 % 30000 AS id")
+    small = spark.range(300).selectExpr("2 + id % 100 AS k", "timestamp_seconds(id) AS at", "id")
+    cut = with_pieces(df.unionByName(small), ["k"], ["at", "id"], "piece", rows=1000)
+    assert cut.filter("k > 1 AND piece > 0").count() == 0
+    ends = cut.filter("k = 1").groupBy("piece").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("at", "id")).alias("first"), F.max(F.struct("at", "id")).alias("last")
+    )
+    found = sorted(ends.collect(), key=lambda r: r.piece)
+    assert 25 <= len(found) <= 30 and max(r.n for r in found) < 3000
+    placed = [(r.first.at is not None, r.first.id, r.last.at is not None, r.last.id) for r in found]
+    assert all(a[2:] < b[:2] for a, b in zip(placed, placed[1:], strict=False))
+    events = df.withColumn("change", F.when(F.col("id") % 3 == 0, -5).otherwise(2).cast("long"))
+    folded = clamped_balance(events, ["k"], "change", ["at", "id"], rows=1000)
+    level, expected = 0, {}
+    for e in sorted(events.collect(), key=lambda r: (r.at is not None, r.id)):
+        level = max(0, level + e.change)
+        expected[e.id] = level
+    assert {r.id: r.quantity for r in folded.collect()} == expected
+
+
+def test_equal_rows_share_a_piece(spark):
+    df = spark.range(5000).selectExpr("NULL AS k", "id % 3 AS at").withColumn("k", F.col("k").cast("long"))
+    cut = with_pieces(df, ["k"], ["at"], "piece", rows=100)
+    assert cut.select("at", "piece").distinct().count() == 3 and cut.count() == 5000
+
+
+@pytest.mark.parametrize("rows_a_piece", [1 << 20, 2])
+def test_previous_and_changes_across_pieces(spark, rows_a_piece):
     minutes = [0, 1, 59, 60, 61, 300, 301, 302]
     levels = [5, 5, 3, 3, 8, 8, 9, 0]
     df = spark.createDataFrame([(1, m, i, v) for i, (m, v) in enumerate(zip(minutes, levels))], "k long, m int, id long, level long")
     df = df.withColumn("at", F.timestamp_seconds(F.col("m") * 60))
-    found = {r.id: r.p for r in with_previous(df, ["k"], "level", ["at", "id"], "p").collect()}
+    found = {r.id: r.p for r in with_previous(df, ["k"], "level", ["at", "id"], "p", rows_a_piece).collect()}
     assert [found[i] for i in range(8)] == [None, *levels[:-1]]
-    log = {r.id: (r.change_amount, r.new_stock_level, r.reason) for r in level_changes(df, ["k"], "level", ["at", "id"]).collect()}
+    log = {r.id: (r.change_amount, r.new_stock_level, r.reason) for r in level_changes(df, ["k"], "level", ["at", "id"], rows_a_piece).collect()}
     assert log == {2: (-2, 3, "CONSUMPTION"), 4: (5, 8, "RESTOCK"), 6: (1, 9, "RESTOCK"), 7: (-9, 0, "CONSUMPTION")}
 
 

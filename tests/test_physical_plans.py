@@ -32,8 +32,16 @@ def test_only_needed_columns_are_read(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_retailprice:double>" in text
 
 
-@pytest.mark.parametrize("name", ["ml_features", "top_products_branch", "branch_performance", "ledger_balance"])
-def test_an_input_used_twice_is_shuffled_once(spark, name):
+@pytest.mark.parametrize(
+    "name,event_scans",
+    [
+        ("ml_features", 1),
+        ("top_products_branch", 1),
+        ("branch_performance", 1),
+        ("ledger_balance", 2),  # one of them for the sample that hot keys are cut by
+    ],
+)
+def test_an_input_used_twice_is_shuffled_once(spark, name, event_scans):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse shows in the plan before it runs
     try:
         df = queries()[name](spark, FOLDER)
@@ -42,7 +50,7 @@ def test_an_input_used_twice_is_shuffled_once(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in text
-    assert text.count("FileScan parquet [event_id") <= 1 and text.count("FileScan parquet [l_orderkey") <= 2
+    assert text.count("FileScan parquet [event_id") <= event_scans and text.count("FileScan parquet [l_orderkey") <= 2
 
 
 def scans(spark, name):

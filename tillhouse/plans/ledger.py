@@ -46,9 +46,9 @@ def deplete(stock: DataFrame, taken: DataFrame) -> DataFrame:
     return update_from(stock, taken, STOCK_KEY, {"stock_level": left})
 
 
-def ledger_balance(ledger: DataFrame, opening: DataFrame | None = None, chunk: str = "hour") -> DataFrame:
+def ledger_balance(ledger: DataFrame, opening: DataFrame | None = None) -> DataFrame:
     """Stock after every ledger row, never below zero."""
-    folded = clamped_balance(ledger, SHELF_KEY, "change_amount", ["created_at", "id"], opening, chunk=chunk)
+    folded = clamped_balance(ledger, SHELF_KEY, "change_amount", ["created_at", "id"], opening)
     return folded.select(*SHELF_KEY, "id", "created_at", "quantity")
 
 

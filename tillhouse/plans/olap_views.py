@@ -98,7 +98,9 @@ def branch_performance(orders_daily: DataFrame, dim_branch: DataFrame) -> DataFr
         F.sum("total_orders").alias("total_orders"),
         money_sum(F.col("total_net") - F.col("total_cost")).alias("total_profit"),
     )
-    ranked = rank_descending(totals.filter(F.col("branch_key").isNotNull()), "total_revenue", name="revenue_rank")
+    # A row per branch: a plain window over the whole frame is small.
+    best_first = Window.partitionBy(F.lit(1)).orderBy(F.col("total_revenue").desc_nulls_first())
+    ranked = totals.filter(F.col("branch_key").isNotNull()).withColumn("revenue_rank", F.rank().over(best_first).cast("long"))
     return (
         ranked.join(_branch_names(dim_branch), "branch_key")
         .select("branch_name", "total_revenue", "total_orders", "total_profit", "revenue_rank")
