@@ -319,6 +319,23 @@ STATEMENTS = {
                CAST(n_nationkey AS BIGINT) AS branch_id, n_name AS name,
                CASE WHEN n_regionkey = 0 THEN DATE '1995-01-01' END AS valid_from, CASE WHEN n_regionkey = 0 THEN TRUE END AS is_current
         FROM nation""",
+    "dim_branch_inferred": """
+            SELECT CASE WHEN n_regionkey = 0 THEN n_nationkey + 101
+                        ELSE (SELECT MAX(n_nationkey) + 101 FROM nation WHERE n_regionkey = 0)
+                             + ROW_NUMBER() OVER (PARTITION BY n_regionkey = 0 ORDER BY substr(md5(CAST(n_nationkey AS VARCHAR)), 1, 4), n_nationkey) END AS branch_key,
+                   CAST(n_nationkey AS BIGINT) AS branch_id, CASE WHEN n_regionkey = 0 THEN 'old ' || n_name END AS name,
+                   CASE WHEN n_regionkey = 0 THEN DATE '1995-01-01' END AS valid_from, CASE WHEN n_regionkey = 0 THEN TRUE END AS is_current
+            FROM nation WHERE n_regionkey = 0 OR n_nationkey IN (SELECT c_nationkey FROM customer JOIN orders ON o_custkey = c_custkey)""",
+    "orders_of_inferred_branches": """
+        WITH dim AS (
+            SELECT CASE WHEN n_regionkey = 0 THEN n_nationkey + 101
+                        ELSE (SELECT MAX(n_nationkey) + 101 FROM nation WHERE n_regionkey = 0)
+                             + ROW_NUMBER() OVER (PARTITION BY n_regionkey = 0 ORDER BY substr(md5(CAST(n_nationkey AS VARCHAR)), 1, 4), n_nationkey) END AS branch_key,
+                   CAST(n_nationkey AS BIGINT) AS branch_id, CASE WHEN n_regionkey = 0 THEN 'old ' || n_name END AS name,
+                   CASE WHEN n_regionkey = 0 THEN DATE '1995-01-01' END AS valid_from, CASE WHEN n_regionkey = 0 THEN TRUE END AS is_current
+            FROM nation WHERE n_regionkey = 0 OR n_nationkey IN (SELECT c_nationkey FROM customer JOIN orders ON o_custkey = c_custkey)),
+        sold AS (SELECT c_nationkey AS branch_id, COUNT(*) AS orders FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1)
+        SELECT branch_key, name, orders FROM sold JOIN dim USING (branch_id)""",
     "dim_product_upsert": """
         SELECT CASE WHEN category IN ('ECONOMY', 'SMALL') THEN id * 2 + 1
                     ELSE (SELECT MAX(id) * 2 + 1 FROM v_products WHERE category IN ('ECONOMY', 'SMALL'))
@@ -336,6 +353,11 @@ STATEMENTS = {
                CAST(total_discount AS DOUBLE) AS total_discount, CAST(total_net AS DOUBLE) AS total_net,
                CAST(total_cost AS DOUBLE) AS total_cost
         FROM v_orders_daily""",
+    "fact_orders_daily_incremental": """
+        SELECT time_key, branch_key, total_orders, CAST(total_gross AS DOUBLE) AS total_gross,
+               CAST(total_discount AS DOUBLE) AS total_discount, CAST(total_net AS DOUBLE) AS total_net,
+               CAST(total_cost AS DOUBLE) AS total_cost
+        FROM v_orders_daily""",
     "fact_inventory": "SELECT time_key, branch_key, product_key, total_restocked, total_consumed, closing_stock FROM v_stock_days",
     "fact_inventory_last": """
         SELECT time_key, branch_key, product_key, total_restocked, total_consumed, last_stock AS closing_stock FROM v_stock_days""",

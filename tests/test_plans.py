@@ -2,7 +2,9 @@
 
 import datetime as dt
 import math
+import random
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -288,6 +290,101 @@ def test_warehouse_loads_and_partial_reload(spark, folder):
     assert daily == sales.agg(F.sum("net_amount"), F.countDistinct("order_id")).first()
 
 
+def test_unknown_members_get_placeholders_that_keep_their_keys(spark, folder):
+    from tillhouse.plans.warehouse import Warehouse
+
+    store, t = Warehouse(folder), DriverTables(spark, FOLDER)
+    store.load_dimensions(t, 1, dt.date(2026, 1, 1))
+    known = {r.branch_id: r.branch_key for r in store.dimension(spark, "dim_branch", 1).collect()}
+    events = spark.createDataFrame([(3, 1), (900, 1), (900, 7000), (None, 5), (901, None)], "branch_id int, product_id int")
+    assert store.infer_members(spark, 1, events.limit(1)) == 1
+    load = store.infer_members(spark, 1, events)
+    assert load == 2 and store.infer_members(spark, 2, events) == 2
+    branches, products = store.dimension(spark, "dim_branch", 2), store.dimension(spark, "dim_product", 2)
+    placeholders = {r.branch_id: r.branch_key for r in branches.filter("name IS NULL").collect()}
+    assert set(placeholders) == {900, 901} and set(placeholders.values()) == {max(known.values()) + k for k in (1, 2)}
+    facts = events.dropna().join(branches, "branch_id").join(products, "product_id")
+    assert facts.count() == 3 and products.filter("product_id = 7000 AND name IS NULL").count() == 1
+
+    later = spark.createDataFrame([(900, "New Town", 1)], "id long, name string, traffic_weight int")
+    more = SimpleNamespace(spark=spark, branches=t.branches.unionByName(later, allowMissingColumns=True), products=t.products, order_times=t.order_times)
+    store.load_dimensions(more, 3, dt.date(2026, 3, 3))
+    dim = {r.branch_id: r for r in store.dimension(spark, "dim_branch", 3).collect()}
+    assert {i: dim[i].branch_key for i in known} == known
+    assert (dim[900].branch_key, dim[900].name, dim[900].valid_from) == (placeholders[900], "New Town", dt.date(2026, 3, 3))
+    assert (dim[901].branch_key, dim[901].name) == (placeholders[901], None)
+
+
+class _Shop:
+    """Orders and items of a small shop, as lists that a test may change."""
+
+    def __init__(self, spark):
+        self.spark, self.headers, self.lines = spark, {}, {}
+
+    @property
+    def orders(self):
+        data = [(i, b, Decimal(sum(q * p for _, q, p in self.lines.get(i, []))), Decimal(d), at) for i, (b, d, at) in self.headers.items()]
+        return self.spark.createDataFrame(data, "id long, branch_id long, gross_amount decimal(12,2), discount_amount decimal(12,2), created_at timestamp_ntz")
+
+    @property
+    def costed_items(self):
+        data = [(i, pr, q, Decimal(p), Decimal(1)) for i in self.headers for pr, q, p in self.lines.get(i, [])]
+        return self.spark.createDataFrame(data, "order_id long, product_id long, quantity int, unit_price decimal(10,2), cost_price decimal(10,2)")
+
+    @property
+    def inventory_logs(self):
+        return self.spark.createDataFrame([], "branch_id long, product_id long, id long, change_amount long, new_stock_level long, reason string, created_at timestamp_ntz")
+
+    def put(self, rng, i):
+        """An order, new or in place of another; some of nothing but free items."""
+        self.headers[i] = (rng.randint(1, 3), rng.choice([0, 1]), dt.datetime(2026, 1, rng.randint(1, 4), rng.randrange(24)))
+        free = rng.random() < 0.3
+        self.lines[i] = [(rng.randint(1, 4), rng.randint(1, 5), 0 if free else rng.randint(2, 9)) for _ in range(rng.randint(0, 3))]
+
+
+def test_changes_of_orders_equal_a_full_reload(spark, folder):
+    rng, shop = random.Random(8), _Shop(spark)
+    from tillhouse.plans.warehouse import Warehouse
+
+    def warehouse(name):
+        store = Warehouse(f"{folder}/{name}")
+        for dim, data in (("dim_branch", "id branch_id, name"), ("dim_product", "id product_id, name, 'c' AS category")):
+            key = dim.replace("dim", "").strip("_") + "_key"
+            rows_ = spark.range(1, 5).selectExpr("id", "concat('n', id) AS name").selectExpr(f"id + 10 AS {key}", *data.split(", "), "DATE'2026-01-01' AS valid_from", "true AS is_current")
+            rows_.write.parquet(store.path(dim) + "/load=1")
+        return store
+
+    for i in range(12):
+        shop.put(rng, i)
+    kept = warehouse("kept")
+    kept.load_facts(shop, 1)
+    for step in range(4):
+        touched = rng.sample(range(12 + 3 * step), 5)
+        for i in touched:
+            if rng.random() < 0.4:
+                shop.headers.pop(i, None)
+            else:
+                shop.put(rng, i)
+        for i in range(12 + 3 * step, 15 + 3 * step):
+            shop.put(rng, i)
+            touched.append(i)
+        if step == 2:  # a day without orders
+            for i in [i for i, h in shop.headers.items() if h[2].day == 2]:
+                del shop.headers[i]
+                touched.append(i)
+        days = None if step % 2 else (dt.date(2026, 1, 1), dt.date(2026, 1, 4))
+        kept.apply_order_changes(shop, 1, spark.createDataFrame([(i,) for i in touched], "order_id long"), days)
+        full = warehouse(f"full{step}")
+        full.load_facts(shop, 1)
+        for name in ("fact_sales", "fact_orders_daily"):
+            assert rows(kept.fact(spark, name)) == rows(full.fact(spark, name)), (step, name)
+            assert sorted(p.name for p in Path(kept.path(name)).glob("time_key=*")) == sorted(
+                p.name for p in Path(full.path(name)).glob("time_key=*")
+            )
+    assert any(r.total_net is None for r in kept.fact(spark, "fact_orders_daily").collect())
+    assert not list(Path(kept.folder).glob("_changes*"))
+
+
 def queries_sales(t):
     return star.fact_sales(t.costed_items, t.orders, None, t.dim_branch, t.dim_product)
 

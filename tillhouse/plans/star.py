@@ -39,6 +39,15 @@ def upsert_dim(
     return number_missing(upsert(dim, source, [natural_key], attributes), natural_key, surrogate)
 
 
+def infer_members(dim: DataFrame, keys: DataFrame, natural_key: str, surrogate: str) -> DataFrame:
+    """``dim`` and a placeholder for each natural key of ``keys`` that it lacks: the next
+    surrogate keys, other columns NULL. Facts need not wait for the member, and the next
+    ``upsert_dim`` that knows it fills the placeholder in under the same key."""
+    wanted = keys.select(F.col(natural_key).cast(dim.schema[natural_key].dataType)).filter(F.col(natural_key).isNotNull())
+    unknown = wanted.distinct().join(dim.select(natural_key), natural_key, "left_anti")
+    return number_missing(dim.unionByName(unknown, allowMissingColumns=True), natural_key, surrogate)
+
+
 def fact_sales(
     items: DataFrame, orders: DataFrame, products: DataFrame | None, dim_branch: DataFrame, dim_product: DataFrame
 ) -> DataFrame:

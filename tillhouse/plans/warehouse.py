@@ -8,13 +8,15 @@ day, and a re-run replaces only the days it touches.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import overwrite_table, reload_range
-from . import star
+from ..sinks import overwrite_table, reload_range, reload_values
+from ..sinks.storage import delete
+from . import deltas, star
 from .dashboard import day_key
 
 DIM_BRANCH = "branch_key long, branch_id long, name string, valid_from date, is_current boolean"
@@ -66,6 +68,21 @@ class Warehouse:
             overwrite_table(dim, f"{self.path(name)}/load={load}")
         overwrite_table(star.dim_time(t.order_times), f"{self.path('dim_time')}/load={load}")
 
+    def infer_members(self, spark: SparkSession, load: int, sold: DataFrame) -> int:
+        """Give every branch_id and product_id of ``sold`` (events or items, say) a row in
+        the dimensions: load number ``load``, if they all have one there, or the next,
+        with placeholders. A later ``load_dimensions`` fills these in."""
+        sides = {"dim_branch": ("branch_id", "branch_key"), "dim_product": ("product_id", "product_key")}
+        dims = {name: self.dimension(spark, name, load) for name in sides}
+        unknown = [sold.join(dims[n], sold[k].cast("long") == dims[n][k], "left_anti").filter(sold[k].isNotNull()) for n, (k, _) in sides.items()]
+        if all(df.isEmpty() for df in unknown):
+            return load
+        for name, (natural, surrogate) in sides.items():
+            dim = star.infer_members(dims[name], sold, natural, surrogate)
+            overwrite_table(dim, f"{self.path(name)}/load={load + 1}")
+        overwrite_table(self.dimension(spark, "dim_time", load), f"{self.path('dim_time')}/load={load + 1}")
+        return load + 1
+
     def load_facts(self, t, load: int, days: tuple[dt.date, dt.date] | None = None) -> None:
         """Reload the facts, all of them or only those of a range of days; a day of the
         range that has no rows any more is emptied.
@@ -85,7 +102,43 @@ class Warehouse:
 
         sales = star.fact_sales(t.costed_items, t.orders, None, branches, products)
         write(sales, "fact_sales")
-        daily = star.fact_orders_daily(self.fact(spark, "fact_sales", first, last))
+        daily = deltas.state_of(self.fact(spark, "fact_sales", first, last))
         write(daily, "fact_orders_daily")
         stock = star.fact_inventory(t.inventory_logs, branches, products)
         write(stock, "fact_inventory")
+
+    def apply_order_changes(
+        self, t, load: int, changed: DataFrame, days: tuple[dt.date, dt.date] | None = None
+    ) -> None:
+        """Bring ``fact_sales`` and ``fact_orders_daily`` up to date after some orders, by
+        ``order_id`` in ``changed``, were inserted, changed or deleted.
+
+        ``t`` has the orders as they are now. ``days`` bounds the days on which the changed
+        orders were before; without it their old lines are looked for on all days. Only
+        days that an old or a new line is on are written again, and the daily totals of
+        these take back the old lines and add the new ones.
+        """
+        spark, first_last = changed.sparkSession, days or (None, None)
+        ids = changed.select(F.col("order_id").cast("long").alias("order_id")).distinct()
+        branches, products = self.dimension(spark, "dim_branch", load), self.dimension(spark, "dim_product", load)
+        work = f"{self.folder}/_changes-{uuid.uuid4().hex}"
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{work}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+        ids = kept(ids, "ids")
+        stored = self.fact(spark, "fact_sales", *first_last)
+        old = kept(stored.join(ids, "order_id", "left_semi"), "old")
+        items = t.costed_items.join(ids, "order_id", "left_semi")
+        orders = t.orders.join(ids.withColumnRenamed("order_id", "id"), "id", "left_semi")
+        new = kept(star.fact_sales(items, orders, None, branches, products).select(*old.columns), "new")
+        touched = sorted(r[0] for r in old.select("time_key").union(new.select("time_key")).distinct().collect())
+        on_days = F.col("time_key").isin(touched)
+        others = self.fact(spark, "fact_sales").filter(on_days).join(ids, "order_id", "left_anti")
+        sales = kept(others.select(*old.columns).unionByName(new), "sales")
+        before = spark.read.parquet(self.path("fact_orders_daily")).filter(on_days)
+        daily = kept(deltas.added_up(before.unionByName(deltas.change_of(old, new))), "daily")
+        reload_values(sales, self.path("fact_sales"), "time_key", touched)
+        reload_values(daily, self.path("fact_orders_daily"), "time_key", touched)
+        delete(spark, work)

@@ -1,4 +1,4 @@
-from .files import append_table, overwrite_table, reload_partitions, reload_range, with_half_year
+from .files import append_table, overwrite_table, reload_partitions, reload_range, reload_values, with_half_year
 from .jdbc import write_jdbc
 from .runs import logged_write
 
@@ -8,6 +8,7 @@ __all__ = [
     "overwrite_table",
     "reload_partitions",
     "reload_range",
+    "reload_values",
     "with_half_year",
     "write_jdbc",
 ]

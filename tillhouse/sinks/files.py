@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import delete, names
+
 
 def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together, for few files per partition. AQE splits
@@ -32,22 +34,30 @@ def reload_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def _drop_emptied(df: DataFrame, path: str, column: str, wanted: Callable[[int], bool]) -> None:
+    """Remove the partitions that were to be replaced and have no rows in ``df``."""
+    spark = df.sparkSession
+    filled = {r[0] for r in df.select(column).distinct().collect()}  # as many as partitions replaced
+    for name in names(spark, path):
+        key, _, value = name.partition("=")
+        if key == column and value.isdigit() and wanted(int(value)) and int(value) not in filled:
+            delete(spark, f"{path}/{name}")
+
+
 def reload_range(df: DataFrame, path: str, column: str, first: int, last: int) -> None:
     """Replace the partitions ``column`` = first … last, whole numbers, by those of
     ``df``; one that has no rows any more is removed. All others stay. ``df`` must
     not read from ``path``."""
-    reload_partitions(df.filter(F.col(column).between(first, last)), path, [column])
-    # As many values as the range has partitions.
-    spark = df.sparkSession
-    filled = {r[0] for r in df.filter(F.col(column).between(first, last)).select(column).distinct().collect()}
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return
-    for status in files.listStatus(folder):
-        name, _, value = status.getPath().getName().partition("=")
-        if name == column and value.isdigit() and first <= int(value) <= last and int(value) not in filled:
-            files.delete(status.getPath(), True)
+    own = df.filter(F.col(column).between(first, last))
+    reload_partitions(own, path, [column])
+    _drop_emptied(own, path, column, lambda v: first <= v <= last)
+
+
+def reload_values(df: DataFrame, path: str, column: str, values: Collection[int]) -> None:
+    """The same for the partitions ``column`` = one of ``values``."""
+    own = df.filter(F.col(column).isin(list(values)))
+    reload_partitions(own, path, [column])
+    _drop_emptied(own, path, column, set(values).__contains__)
 
 
 def with_half_year(df: DataFrame, time: str) -> DataFrame:
