@@ -60,6 +60,11 @@ TABLES = {
 }
 
 
+def _schema(name: str) -> T.StructType:
+    kind = TABLES[name]
+    return kind if isinstance(kind, T.StructType) else T.StructType.fromDDL(kind)
+
+
 @dataclass(frozen=True)
 class Gate:
     """When a batch as a whole is not to be trusted: of at least ``lines`` lines, more
@@ -106,7 +111,7 @@ class Ingest:
     def read(self, spark: SparkSession, name: str, head: int | None = None) -> DataFrame:
         """What committed batches wrote to a table, with ``seq``, ``run`` and ``epoch_id``.
         Several tables read with one ``head`` (see ``CommitLog.head``) fit together."""
-        schema = T._parse_datatype_string(TABLES[name]) if isinstance(TABLES[name], str) else TABLES[name]
+        schema = _schema(name)
         keys = [T.StructField("seq", T.LongType()), T.StructField("attempt", T.StringType())]
         rows = spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(self.table(name))
         return rows.join(self.log.records(spark, head), ["seq", "attempt"]).select(*schema.fieldNames(), "seq", "run", "epoch_id")
@@ -199,7 +204,8 @@ class Ingest:
         return True
 
     def _measure(self, spark: SparkSession, commit: Commit, *measures: object) -> None:
-        self._write(spark.createDataFrame([measures], TABLES["batches"]).coalesce(1), "batches", commit)
+        columns = [F.lit(m).cast(f.dataType).alias(f.name) for m, f in zip(measures, _schema("batches").fields, strict=True)]
+        self._write(spark.range(1, numPartitions=1).select(*columns), "batches", commit)
 
     def _unseen(self, spark: SparkSession, events: DataFrame, commit: Commit) -> DataFrame:
         """One row per transaction id that no batch before has staged."""

@@ -116,7 +116,7 @@ class StockLog:
         if levels.isEmpty() or epoch <= log.last_epoch(spark, ""):
             return
         commit = Commit(log.head(spark) + 1, "", epoch, uuid.uuid4().hex)
-        columns = [f"CAST({f.name} AS {f.dataType.simpleString()}) {f.name}" for f in T._parse_datatype_string(LEVEL)]
+        columns = [f"CAST({f.name} AS {f.dataType.simpleString()}) {f.name}" for f in T.StructType.fromDDL(LEVEL)]
         rows = levels.selectExpr(*columns).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             complete = reduce(and_, [F.col(c).isNotNull() for c in [*LEVEL_KEY, *LEVEL_ORDER]])
