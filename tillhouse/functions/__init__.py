@@ -2,7 +2,7 @@ from .dates import day_name, iso_weekday, month_name, time_key
 from .json_text import explode_json_array, field, unreadable
 from .money import as_money, from_cents, money_sum, percent_change, ratio, rounded_quotient, share_cents, to_cents
 from .ordering import pg_asc, pg_desc
-from .predicates import all_of, optional_equal, within_days
+from .predicates import all_of, half_years, optional_equal, within_days
 from .text import as_number, contains_any, hour_label, is_email, is_not_negative, is_whole_number, js_trim, strip_angle_brackets
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "explode_json_array",
     "field",
     "from_cents",
+    "half_years",
     "hour_label",
     "is_email",
     "is_not_negative",

@@ -32,3 +32,17 @@ def within_days(column: str, as_of: dt.datetime | dt.date, days: int) -> Column:
     A date gives the day grain, a datetime the instant grain.
     """
     return F.col(column) >= F.lit(as_of - dt.timedelta(days=days))
+
+
+def _half(day: dt.date) -> int:
+    return day.year * 2 + (0 if day.month <= 6 else 1)
+
+
+def half_years(first: dt.date | None, last: dt.date | None, year: str = "year", half: str = "half") -> Column | None:
+    """The half-years, as partition columns, that a range of days lies in: what a bound on
+    the day says about the partition, which Spark does not work out by itself."""
+    number = F.col(year) * 2 + F.col(half) - 1
+    if first is None and last is None:
+        return None
+    after = None if first is None else number >= _half(first)
+    return all_of([after, None if last is None else number <= _half(last)])
