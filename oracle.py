@@ -75,6 +75,13 @@ VIEWS = {
                CASE event_type WHEN 'signup' THEN 'import' WHEN 'error' THEN 'adjustment' ELSE 'sale' END AS type,
                user_id AS created_by, ts AS created_at
         FROM v_events""",
+    "v_edits": """
+        SELECT e.*, CASE WHEN product_id = 0 OR quantity IS NULL THEN 'invalid'
+                         WHEN u.active AND (r.name = 'admin' OR u.store_id = e.store_id) THEN 'accepted' ELSE 'refused' END AS outcome
+        FROM (SELECT id, created_by AS user_id, store_id, product_id % 8 AS product_id,
+                     CASE WHEN id % 50 <> 0 THEN id % 37 END AS quantity, CASE WHEN id % 3 = 0 THEN id % 9 END AS low_stock, created_at
+              FROM v_ledger) e
+        LEFT JOIN v_users u ON u.id = e.user_id LEFT JOIN v_roles r ON r.id = u.role_id""",
     "v_stores": """
         SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS name, 'Region ' || CAST(n_regionkey AS VARCHAR) AS location
         FROM nation""",
@@ -456,6 +463,10 @@ STATEMENTS = {
     "stock_matrix_init": """
         SELECT b.id AS branch_id, p.id AS product_id, CAST(10000 AS BIGINT) AS stock_level FROM v_branches b CROSS JOIN v_products p
         WHERE NOT EXISTS (SELECT 1 FROM v_consumption c WHERE c.branch_id = b.id AND c.product_id = p.id)""",
+    "stock_of_assortment": """
+        SELECT branch_id, product_id, CAST(10000 AS BIGINT) AS stock_level FROM v_consumption c
+        WHERE total_qty >= 50 AND NOT EXISTS (SELECT 1 FROM v_stock s WHERE s.branch_id = c.branch_id
+                                              AND s.product_id = c.product_id AND s.stock_level > 0)""",
     "stock_after_consumption": """
         SELECT b.id AS branch_id, p.id AS product_id, CAST(10000 - COALESCE(c.total_qty, 0) AS BIGINT) AS stock_level
         FROM v_branches b CROSS JOIN v_products p LEFT JOIN v_consumption c ON c.branch_id = b.id AND c.product_id = p.id""",
@@ -532,6 +543,22 @@ STATEMENTS = {
                    GROUP BY i.store_id, i.product_id, i.quantity)
         SELECT store_id, product_id, change_amount, CASE WHEN change_amount > 0 THEN 'import' ELSE 'sale' END AS type
         FROM d WHERE change_amount <> 0""",
+    "stock_edit_outcomes": "SELECT user_id, outcome, COUNT(*) AS edits FROM v_edits GROUP BY 1, 2",
+    "stock_edit_ledger": """
+        SELECT id AS edit_id, store_id, product_id, change_amount, CASE WHEN change_amount > 0 THEN 'import' ELSE 'sale' END AS type,
+               user_id AS created_by, created_at
+        FROM (SELECT e.*, CAST(e.quantity - COALESCE(LAG(e.quantity) OVER (PARTITION BY e.store_id, e.product_id ORDER BY e.created_at, e.id),
+                                                     s.quantity, 0) AS BIGINT) AS change_amount
+              FROM v_edits e LEFT JOIN v_shelf s ON s.store_id = e.store_id AND s.product_id = e.product_id
+              WHERE outcome = 'accepted')
+        WHERE change_amount <> 0""",
+    "stock_after_edits": """
+        WITH l AS (SELECT store_id, product_id, CAST(arg_max(quantity, (created_at, id)) AS BIGINT) AS quantity,
+                          CAST(arg_max(COALESCE(low_stock, 10), (created_at, id)) AS BIGINT) AS low_stock
+                   FROM v_edits WHERE outcome = 'accepted' GROUP BY 1, 2)
+        SELECT COALESCE(s.store_id, l.store_id) AS store_id, COALESCE(s.product_id, l.product_id) AS product_id,
+               COALESCE(l.quantity, s.quantity) AS quantity, COALESCE(l.low_stock, s.low_stock) AS low_stock
+        FROM v_shelf s FULL JOIN l ON l.store_id = s.store_id AND l.product_id = s.product_id""",
     "inventory_upsert": """
         WITH n AS (SELECT store_id, product_id * 50 AS product_id, CAST(SUM(change_amount) AS BIGINT) AS quantity
                    FROM v_ledger WHERE type = 'import' GROUP BY 1, 2)
@@ -659,7 +686,7 @@ STATEMENTS = {
         SELECT d, CAST(CASE WHEN isodow(d) IN (6, 7) THEN (3 * base + 1) // 2 ELSE base END AS BIGINT) AS num_orders FROM d""",
     "weighted_sample": """
         SELECT category, id, ROW_NUMBER() OVER (PARTITION BY category ORDER BY t, id) AS pick_rank
-        FROM (SELECT category, id, -ln((CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':7'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE)
+        FROM (SELECT category, id, -ln((CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':7'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
                      / CAST(popularity_weight AS DOUBLE) AS t FROM v_products WHERE popularity_weight > 0)
         QUALIFY pick_rank <= 3""",
 }

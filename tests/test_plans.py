@@ -10,7 +10,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from tillhouse.plans import access, checks, dashboard, ledger, olap_views, star, stores
+from tillhouse.plans import access, checks, dashboard, edits, ledger, olap_views, star, stores
 from tillhouse.registry import queries
 from tillhouse.sources import DriverTables
 
@@ -206,6 +206,10 @@ def test_access(spark):
 
     stock = spark.createDataFrame([(1, 1, 5), (2, 1, 6), (3, 2, 7)], "id long, store_id long, quantity long")
     assert [access.visible_to(stock, users, roles, u).count() for u in (1, 2, 4, 5, 99)] == [3, 2, 1, 0, 0]
+    of_all = access.visible_inventory(stock, users, roles, [1, 2, 4, 5, 99]).groupBy("user_id").count().collect()
+    assert {r.user_id: r["count"] for r in of_all} == {1: 3, 2: 2, 4: 1}
+    homeless = spark.createDataFrame([(4, None, 7)], stock.schema)
+    assert [r.user_id for r in access.visible_inventory(homeless, users, roles, [1, 2, 4]).collect()] == [1]
     totals = {r.user_id: (r.visible_rows, r.visible_quantity) for r in access.visible_totals(stock, users, roles).collect()}
     assert totals == {1: (3, 18), 2: (2, 11), 3: (1, 7), 4: (1, 7), 5: (0, 0)}
     asked = spark.createDataFrame([(1,), (2,), (None,)], "requested_store long")
@@ -315,6 +319,36 @@ def test_unknown_members_get_placeholders_that_keep_their_keys(spark, folder):
     assert (dim[901].branch_key, dim[901].name) == (placeholders[901], None)
 
 
+def test_edits_in_a_batch_equal_edits_one_by_one(spark):
+    rng = random.Random(4)
+    users = spark.createDataFrame([(1, 1, 1, True), (2, 2, 1, True), (3, 2, 2, True), (4, 2, 2, False), (5, 2, None, True)], "id long, role_id long, store_id long, active boolean")
+    roles = spark.createDataFrame([(1, "admin"), (2, "staff")], "id long, name string")
+    level = {(1, 1): (5, 3), (2, 1): (0, 4), (1, 3): (7, 5)}
+    stock = spark.createDataFrame([(s, p, *v) for (s, p), v in level.items()], "store_id long, product_id long, quantity long, low_stock long")
+    asked = []
+    for i in range(120):
+        at = dt.datetime(2026, 1, 1, 8, rng.randrange(30))
+        asked.append((i, rng.choice([1, 2, 3, 4, 5, 9, None]), rng.choice([1, 2, 1, 2, 0, None]), rng.choice([1, 2, 3, 0]), rng.choice([0, 4, 7, None]), rng.choice([None, 2]), at))
+    rng.shuffle(asked)
+    batch = spark.createDataFrame(asked, "id long, user_id long, store_id long, product_id long, quantity long, low_stock long, created_at timestamp_ntz")
+    outcome, log = {}, []
+    for i, user, store, product, quantity, low, at in sorted(asked, key=lambda e: (e[6], e[0])):
+        if not store or not product or quantity is None:
+            outcome[i] = "invalid"
+        elif user != 1 and (user, store) not in ((2, 1), (3, 2)):
+            outcome[i] = "refused"
+        else:
+            outcome[i] = "accepted"
+            change = quantity - level.get((store, product), (0,))[0]
+            if change:
+                log.append((i, store, product, change, "import" if change > 0 else "sale", user, at))
+            level[store, product] = (quantity, 10 if low is None else low)
+    checked = edits.checked(batch, users, roles)
+    assert {r.id: r.outcome for r in checked.collect()} == outcome and set(outcome.values()) == {"invalid", "refused", "accepted"}
+    assert rows(edits.ledger_of_edits(stock, checked)) == sorted(log, key=str)
+    assert rows(edits.stock_after_edits(stock, checked)) == sorted(((*k, *v) for k, v in level.items()), key=str)
+
+
 class _Shop:
     """Orders and items of a small shop, as lists that a test may change."""
 

@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Bits of a draw: as many as a double keeps with the half added.
+DRAW_BITS = 52
+
+
 def hash_uniform(key: Column, seed: int) -> Column:
     """A number in (0, 1) that depends only on the key and the seed, so a re-run
     task draws the same number again."""
-    digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 8)
-    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(4294967296.0)
+    digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, DRAW_BITS // 4)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << DRAW_BITS))
 
 
 def weighted_sample(

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Slots per side of an all-combinations join; its work is spread over their square.
+# Slots per side of an all-combinations join: at least so many, and one more for every
+# so many rows. The work is spread over the product of both numbers.
 SLOTS = 16
+ROWS_PER_SLOT = 4096
 
 
 def date_spine(bounds: DataFrame, first: Column, last: Column, name: str = "date") -> DataFrame:
@@ -29,9 +31,12 @@ def combinations(left: DataFrame, right: DataFrame) -> DataFrame:
     of either side, and none holds a side whole.
     """
 
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(SLOTS)).cast("int")
-        return df.withColumn(own, slot).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    def slots_of(df: DataFrame) -> Column:
+        return df.agg(F.greatest(F.lit(SLOTS), F.ceil(F.count(F.lit(1)) / ROWS_PER_SLOT)).cast("int")).scalar()
 
-    slots = ["_left", "_right"]
-    return dealt(left, *slots).join(dealt(right, *reversed(slots)), slots).drop(*slots)
+    def dealt(df: DataFrame, own: str, slots: Column, other: str, copies: Column) -> DataFrame:
+        slot = F.pmod(F.xxhash64(*df.columns), slots).cast("int")
+        return df.withColumn(own, slot).withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
+
+    a, b = slots_of(left), slots_of(right)
+    return dealt(left, "_left", a, "_right", b).join(dealt(right, "_right", b, "_left", a), ["_left", "_right"]).drop("_left", "_right")

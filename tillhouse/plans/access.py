@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +72,18 @@ def visible_to(inventory: DataFrame, users: DataFrame, roles: DataFrame, user_id
     return inventory.filter(is_admin | (F.col("store_id") == own_store)).withColumn("user_id", F.lit(user_id).cast("long"))
 
 
+def visible_inventory(inventory: DataFrame, users: DataFrame, roles: DataFrame, user_ids: Sequence[int]) -> DataFrame:
+    """The stock rows that each of some users may see, from one scan of the stock: a row
+    meets the users of its store in one join and the administrators as a list."""
+    named = roles.select(F.col("id").alias("role_id"), F.col("name").alias("role"))
+    asked = users.filter(F.col("id").isin(list(user_ids))).join(named, "role_id")
+    admins = asked.filter(F.col("role") == ADMIN).agg(F.collect_list(F.col("id").cast("long")).alias("ids")).scalar()
+    by_store = asked.filter(F.col("role") != ADMIN).groupBy("store_id").agg(F.collect_list(F.col("id").cast("long")).alias("_users"))
+    seen_by = F.concat(admins, F.coalesce("_users", F.array().cast("array<bigint>")))
+    rows = inventory.join(by_store, "store_id", "left").select(*[inventory[c] for c in inventory.columns], seen_by.alias("_users"))
+    return rows.select(*inventory.columns, F.explode("_users").alias("user_id"))
+
+
 def visible_totals(inventory: DataFrame, users: DataFrame, roles: DataFrame) -> DataFrame:
     """How much stock each user may see. Stock is summed per store before users
     are joined, so no (user, stock row) pair is ever made."""

@@ -40,6 +40,13 @@ def stock_matrix_init(branches: DataFrame, products: DataFrame, existing: DataFr
     return fresh.join(existing.select(*STOCK_KEY), STOCK_KEY, "left_anti")
 
 
+def stock_of_assortment(assortment: DataFrame, existing: DataFrame, level: int = 10_000) -> DataFrame:
+    """Opening stock for each (branch, product) of an assortment that has none yet: as long
+    as the assortment, where ``stock_matrix_init`` is as long as all combinations."""
+    pairs = assortment.select(*STOCK_KEY).distinct().withColumn("stock_level", F.lit(level).cast("long"))
+    return pairs.join(existing.select(*STOCK_KEY), STOCK_KEY, "left_anti")
+
+
 def deplete(stock: DataFrame, taken: DataFrame) -> DataFrame:
     """Stock after consumption (``total_qty`` per key). It may go below zero."""
     left = (F.col("stock_level") - F.col("total_qty")).cast("long")

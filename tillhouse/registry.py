@@ -22,7 +22,6 @@ from .operators import (
     replace_children,
     sanitize,
     snapshot_diff,
-    stock_changes,
     upsert,
     validate,
     weighted_sample,
@@ -36,7 +35,7 @@ from .operators.rules import (
     rejected,
     user_rules,
 )
-from .plans import access, checks, dashboard, deltas, features, ledger, olap_views, planning, pos, star, stores
+from .plans import access, checks, dashboard, deltas, edits, features, ledger, olap_views, planning, pos, star, stores
 from .schemas import LEDGER_TYPES, PRODUCT_JSON
 from .session import configure
 from .sources import DriverTables
@@ -422,6 +421,13 @@ def stock_matrix_init(t):
     return ledger.stock_matrix_init(t.branches, t.products, t.consumption)
 
 
+@whole
+def stock_of_assortment(t):
+    """Opening stock of what a branch has sold fifty units of, where it has no shelf stock left."""
+    sold = t.consumption.filter("total_qty >= 50")
+    return ledger.stock_of_assortment(sold, t.inventory_current.filter("stock_level > 0"))
+
+
 @whole
 def stock_after_consumption(t):
     return ledger.deplete(t.stock_matrix, t.consumption)
@@ -577,6 +583,32 @@ def inventory_upsert(t):
     return upsert(base, imported, ["store_id", "product_id"], ["quantity", "low_stock"])
 
 
+def _checked_edits(t):
+    """Each ledger row as an edit that its user asks for; some name a threshold."""
+    asked = t.ledger.select(
+        "id", F.col("created_by").alias("user_id"), "store_id", (F.col("product_id") % 8).alias("product_id"),
+        F.when(F.col("id") % 50 != 0, F.col("id") % 37).alias("quantity"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 9).alias("low_stock"), "created_at",
+    )
+    return edits.checked(asked, t.users, t.roles)
+
+
+@whole
+def stock_edit_outcomes(t):
+    """How many edits of each user pass the store check, and how many do not."""
+    return _checked_edits(t).groupBy("user_id", "outcome").agg(F.count(F.lit(1)).alias("edits"))
+
+
+@whole
+def stock_edit_ledger(t):
+    return edits.ledger_of_edits(t.inventory, _checked_edits(t))
+
+
+@whole
+def stock_after_edits(t):
+    return edits.stock_after_edits(t.inventory, _checked_edits(t))
+
+
 @whole
 def stock_patch(t):
     """Recounts from the ledger's adjustments; only some name a new threshold."""
@@ -648,8 +680,7 @@ def delete_users_set_null(t):
 @whole
 def visible_inventory(t):
     """What the administrator (user 10) and another user of that shift may see."""
-    admin = access.visible_to(t.inventory, t.users, t.roles, 10)
-    return admin.unionByName(access.visible_to(t.inventory, t.users, t.roles, 11))
+    return access.visible_inventory(t.inventory, t.users, t.roles, [10, 11])
 
 
 @whole
