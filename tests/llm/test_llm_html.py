@@ -1,10 +1,12 @@
 import html as entities
 import re
+import time
 
 import pytest
 
 from tillhouse.llm import html_text
 from tillhouse.llm.queries import queries
+from tillhouse.llm.shared import sample_texts
 
 NAME = "op9_html_extraction"
 FOLDER = "/root/testdata/sf0.01"
@@ -105,3 +107,77 @@ def test_names_of_headings_and_sections_do_not_drop_them():
     for tag in ('div class="big cookie-notice"', 'section id="comments"', 'ul class="social"', "div role=navigation"):
         page = f"<p>First {WORDS}</p><{tag}>Second {WORDS}</{tag.split()[0]}><p>Third {WORDS}</p>"
         assert html_text.main_text(page, none) == f"First {WORDS}\nThird {WORDS}", tag
+
+
+BOILERPLATE = ["cookie-consent", "ad-slot", "comment-list", "related-posts", "user-comments", "sidebarWidget", "social_share", "newsletter-signup box", "site-footer", "adverts"]
+
+
+@pytest.mark.parametrize("learned", [True, False])
+@pytest.mark.parametrize("name", BOILERPLATE)
+@pytest.mark.parametrize("place", ["inside", "behind"])
+def test_what_names_speak_of_is_left_out(weights, learned, name, place):
+    extra = f'<div class="{name}"><p>{WORDS} extra</p><ul><li>{WORDS}</li></ul></div>'
+    inside, behind = (extra, "") if place == "inside" else ("", extra)
+    page = f"<body><article><h1>Head</h1><p>One {WORDS}</p>{inside}<p>Two {WORDS}</p></article>{behind}</body>"
+    assert html_text.main_text(page, weights if learned else html_text.Weights()) == f"Head\nOne {WORDS}\nTwo {WORDS}"
+
+
+def test_lists_code_and_quotes_of_an_article_stay(weights):
+    page = "<article><h1>Head</h1>" + f"<p>{WORDS}</p>" * 6 + "<ul><li>first item</li><li>second</li></ul><pre>code  here</pre>"
+    page += "<blockquote>A quote</blockquote><table><tr><td>cell</td><td>other</td></tr></table><dl><dt>term</dt><dd>what it means</dd></dl></article>"
+    page += "<nav><ul><li><a href=x>Menu</a></li></ul></nav>"
+    end = ["first item", "second", "code here", "A quote", "cell", "other", "term", "what it means"]
+    assert html_text.main_text(page, weights) == "\n".join(["Head", *[WORDS] * 6, *end])
+
+
+def _menu(n):
+    return "".join(f'<li><a href="/{k}">Item {k}</a></li>' for k in range(n))
+
+
+LAYOUTS = {
+    "main and header": "<header><a href=/>Home</a></header><main>{}</main><footer>c</footer>",
+    "div soup": "<div><div><div><ul>" + _menu(12) + "</ul></div></div><div><div>{}</div></div><div class=footer>c</div></div>",
+    "table layout": "<table><tr><td><ul>" + _menu(9) + "</ul></td><td>{}</td></tr></table>",
+    "links behind": "{}<div><a href=a>Other</a> <a href=b>More</a> <a href=c>Next</a></div>",
+    "section": "<section id=story>{}</section><section class='reader-comments'><p>" + WORDS + "</p></section>",
+    "aside in the middle": "<div id=content>{}<aside><p>" + WORDS + "</p></aside></div>",
+    "form first": "<form><p>" + WORDS + "</p><input></form><div role=main>{}</div>",
+    "role navigation": "<div role=navigation><p>" + WORDS + "</p></div>{}",
+    "unclosed": "<div><ul>" + _menu(5) + "</ul><div>{}",
+    "upper case": "<BODY><NAV><UL>" + _menu(4) + "</UL></NAV><DIV>{}</DIV></BODY>",
+    "popup behind": "<div class=page>{}</div><div class='modal overlay'><p>" + WORDS + "</p></div>",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_foreign_layouts(weights, name):
+    body = f"<h2>Title</h2><p>First {WORDS}</p><p>Second <em>{WORDS}</em></p><p>Third {WORDS}</p>"
+    page = f"<html><head><title>t</title></head><body>{LAYOUTS[name].format(body)}</body></html>"
+    assert html_text.main_text(page, weights) == f"Title\nFirst {WORDS}\nSecond {WORDS}\nThird {WORDS}"
+
+
+@pytest.mark.parametrize("piece", ["<a b ", "<a '", '<a "', "<b>x</i>", "<b>", '<a x="', "<!", "<!--", "<svg>", "<script>", "&amp", "<li>"])
+def test_work_follows_the_length_of_broken_pages(weights, piece):
+    times = []
+    for size in (100_000, 400_000):
+        page = "<p>hello</p>" + piece * (size // len(piece)) + "</b></div>\">"
+        start = time.process_time()
+        html_text.main_text(page, weights)
+        times.append(time.process_time() - start)
+    assert times[1] < 8 * times[0] + 0.2 and times[1] < 3
+
+
+def test_words_score_positive_and_tags_negative(weights):
+    for token in html_text.tokens(f"<article><h1>a</h1><ul><li>b</li></ul></article><div>c<p>d</p><x>e</x></div>{_menu(2)}", weights):
+        weight = weights.of(token)
+        assert weight > 0 if token.text.strip() else weight <= 0
+
+
+def test_a_table_of_copies_keeps_its_sample(spark):
+    page, rows = "<body><div class=x>no</div><article><p>some text</p></article></body>", []
+    rows = [(page,)] * 3000 + [(page.replace("some", f"some {k}"),) for k in range(50)] + [(None,)] * 100
+    df = spark.createDataFrame(rows, "html string")
+    found = [r.text for r in sample_texts(df, "html", 20).collect()]
+    assert len(found) == len(set(found)) == 20
+    assert len(sample_texts(df, "html", 500).collect()) == 51
+    assert html_text.fit(df, sample_pages=20).known["word p"] > 0

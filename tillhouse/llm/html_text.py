@@ -1,10 +1,15 @@
 """Main text of web pages: the maximum-scoring contiguous run of tokens.
 
-A page is a sequence of words and tags. Words score by the block they are in, tags
-by their name and class; weights are log odds of lying inside the article, counted
-from labelled pages, and what the sample did not show falls back to words positive,
-tags negative. One linear scan finds the run with the greatest sum; blocks that are
-never text (menus, adverts, forms, scripts, comments of readers ...) are left out.
+A page is a sequence of words and tags. Words score positive and tags negative, by the
+block that words are in, the name of a tag, and whether an article is open around them:
+the log odds of these, counted from pages that label their article, are kept within
+positive bounds for words and negative ones for tags. One linear scan finds the run with
+the greatest sum. Left out of it are blocks that are never the article by their element
+name (menus, forms, scripts, ...), and containers whose class, role or id speaks of an
+advert, a notice, reader comments and the like: each part of such a name has a weight,
+log odds from the labelled pages or, for a short list of words, a fixed one.
+
+A page is read in one pass, with work in proportion to its length however broken it is.
 """
 
 from __future__ import annotations
@@ -21,12 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bound on the labelled pages that weights are counted from, about.
+from tillhouse.llm.shared import sample_texts
+
+#: Bound on the distinct pages that weights are counted from.
 SAMPLE_PAGES = 4000
-WORD_WEIGHT = 1.0
-TAG_WEIGHT = -2.0
-#: Weights stay within these, so that no single token decides alone.
+#: Bounds of the weight of a word and of a tag, and the weights where nothing is known.
+WORD_BOUNDS, WORD_WEIGHT = (0.5, 2.0), 1.0
+TAG_BOUNDS, TAG_WEIGHT = (-1.5, -0.1), -0.5
+#: Log odds stay within these, so that no single feature decides alone.
 LIMIT = 8.0
+#: A name is not the article's if its parts weigh this on average, or less.
+NEVER_WEIGHT = -2.0
+SPOKEN_OF = -4.0  # weight of the parts below
 
 # Element names of the HTML standard.
 RAW = "script style textarea title noscript template iframe xmp svg math".split()
@@ -43,129 +54,202 @@ BLOCKS = (
 LABELS = ("article", "main")
 NEVER = "nav aside footer header form button select menu dialog head".split()
 CONTAINERS = "div section ul ol dl table".split()
-# Classes, roles and ids that mark containers which are not the article: all their parts are of these words.
-_never_word = re.compile(
-    r"(?i)(?:^|(?<=\s))(?:(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|legal|"
-    r"login|masthead|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|recommended|related|replies|"
-    r"search|share|sharing|sidebar|signup|social|sponsor(?:ed)?|subscribe|toolbar|widget)(?:[_-](?=[^\s_-])|(?=\s|$)))+(?=\s|$)"
-)
-_token = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
+# Parts of names of containers that are not the article.
+SPEAKS = (
+    "ad advert advertisement advertising alert banner breadcrumb comment complementary consent contentinfo cookie dialog "
+    "disclaimer disqus footer gdpr header legal login masthead menu modal nav navbar navigation newsletter notice overlay pager "
+    "pagination popup promo promotion recommend recommendation recommended related reply replies search share sharing sidebar "
+    "signin signup social sponsor sponsored subscribe toolbar widget"
+).split()
+# Parts that say nothing.
+FILLER = (
+    "area bar block body box col column container content global group holder inner item list outer page panel "
+    "post reader region row section site slot unit user view wrap wrapper"
+).split()
+_speaks, _filler = set(SPEAKS), set(FILLER)
+_part = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_name = re.compile(r"/?[A-Za-z][^\s/>]*")
 _attribute = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_stop = re.compile(r">|=\s*([\"'])")
 _raw_end = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _open_value = re.compile(r"=\s*[^\s\"'=<>`]*/$")  # a slash that belongs to a value without quotes
 _raw, _void, _blocks, _never, _containers = set(RAW), set(VOID), set(BLOCKS), set(NEVER), set(CONTAINERS)
 
 
+def _parts(name: str) -> list[str]:
+    """Parts of a class, role or id that may say something, in singular."""
+    found = [m.lower() for m in _part.findall(name)]
+    return [p for p in (x[:-1] if len(x) > 2 and x.endswith("s") and not x.endswith("ss") else x for x in found) if p not in _filler]
+
+
 @dataclass
+class Weights:
+    """Log odds by feature; `part x` for parts of names."""
+
+    known: dict[str, float] = field(default_factory=dict)
+    _single: dict[tuple, float] = field(default_factory=dict)
+
+    def of(self, token: Token) -> float:
+        if not token.features or token.skip:
+            return 0.0
+        key = (token.features, bool(token.text))
+        if key not in self._single:
+            self._single[key] = self._of_one(*key)
+        return self._single[key] * (token.words if token.text else 1)
+
+    def _of_one(self, features: tuple[str, ...], word: bool) -> float:
+        found = [self.known[f] for f in features if f in self.known]
+        if not found:
+            return WORD_WEIGHT if word else TAG_WEIGHT
+        low, high = WORD_BOUNDS if word else TAG_BOUNDS
+        return min(max(sum(found) / len(found), low), high)
+
+    def of_name(self, name: str) -> float:
+        """Mean weight of the parts of a class, role or id."""
+        parts = _parts(name)
+        own = [min(self.known.get(f"part {p}", 0.0), SPOKEN_OF if p in _speaks else 0.0) for p in parts]
+        return sum(own) / len(own) if own else 0.0
+
+
+@dataclass(slots=True)
 class Token:
-    """A piece of text or a tag. `feature` is what its weight is looked up by."""
+    """A piece of text or a tag. Its weight is looked up by its `features`."""
 
-    feature: str
+    features: tuple[str, ...]
     text: str = ""  # of a piece of text, decoded
     words: int = 0
     breaks: bool = False  # a tag that ends a block
     space: bool = False  # a line break inside a block
     label: bool = False  # inside a labelled article
     skip: bool = False  # inside a block that is never article
+    parts: tuple[str, ...] = ()  # of the names of the container that a piece of text is in
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
     name: str
-    mark: str
+    block: int  # place of the nearest block on the stack, this one included
+    blocks: int  # blocks on the stack up to here
     label: bool
     skip: bool
+    words: tuple[str, ...]  # features of words in here
+    parts: tuple[str, ...]
 
 
-def _mark(name: str, attributes: str, label: bool) -> tuple[str, bool]:
-    """Name with class, id and role; whether they say that it is never article. Inside
-    a labelled article ids say nothing: there they name what a section is about."""
-    found = []
-    if attributes:
-        pairs = ((m[1].lower(), m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes))
-        found = [(key, value) for key, value in pairs if key in ("class", "id", "role")]
-    never = name in _never or (
-        name in _containers and any(_never_word.search(value) for key, value in found if key != "id" or not label)
-    )
-    words = " ".join(value for _, value in found)
-    return f"{name}.{words}" if words else name, never
+def _names(attributes: str) -> list[tuple[str, str]]:
+    """(class, role or id; one name of it)."""
+    if not attributes:
+        return []
+    pairs = ((m[1].lower(), m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes))
+    return [(key, name) for key, value in pairs if key in ("class", "id", "role") for name in value.split()]
+
+
+def _is_never(name: str, names: list[tuple[str, str]], label: bool, weights: Weights) -> bool:
+    """Whether an element is never article. An id says so only as a whole, and inside a
+    labelled article not at all: there it names what a section is about."""
+    if name in _never:
+        return True
+    if name not in _containers:
+        return False
+    limits = {"class": NEVER_WEIGHT, "role": NEVER_WEIGHT, "id": -LIMIT if label else SPOKEN_OF}
+    return any(weights.of_name(own) <= limits[key] for key, own in names)
+
+
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where a tag that starts before `at` ends, after its `>`; values in quotes may hold one."""
+    while True:
+        m = _stop.search(page, at)
+        if m is None:
+            return len(page)
+        if not m[1]:
+            return m.end()
+        # A quote that is never closed is a character like others.
+        at = page.index(m[1], m.end()) + 1 if last[m[1]] >= m.end() else m.end()
 
 
-def tokens(page: str | None) -> Iterator[Token]:
+def tokens(page: str | None, weights: Weights | None = None) -> Iterator[Token]:
     """Tokens of a page; malformed markup is read as far as it goes, never fails."""
-    page = page or ""
-    at, stack = 0, [_Open("", "", False, False)]
+    page, weights = page or "", weights or Weights()
+    last = {c: page.rfind(c) for c in "<>\"'"}
+    at, stack = 0, [_Open("", 0, 0, False, False, ("word",), ())]
+    places: dict[str, list[int]] = defaultdict(list)  # of open elements on the stack, by name
+    known: dict[tuple[str, bool], tuple[str, ...]] = {}
     unclosed: set[str] = set()  # raw elements without an end tag from here on
 
     def text(piece: str) -> Iterator[Token]:
         if piece:
-            piece = html.unescape(piece)
-            top = next((x for x in reversed(stack) if x.name in _blocks or not x.name), stack[0])
-            yield Token(f"word {top.mark}", piece, len(piece.split()), label=stack[-1].label, skip=stack[-1].skip)
-
-    while at < len(page):
-        m = _token.search(page, at)
-        if m is None:
-            yield from text(page[at:])
-            break
-        yield from text(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+            piece, top = html.unescape(piece), stack[-1]
+            yield Token(top.words, piece, len(piece.split()), label=top.label, skip=top.skip, parts=top.parts)
+
+    def close(depth: int) -> None:
+        for x in stack[depth:]:
+            places[x.name].pop()
+        del stack[depth:]
+
+    begun = 0  # of text that is not yet given out
+    while at <= last["<"]:
+        start = page.find("<", at)
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = len(page) if end < 0 else end + 3
+        elif page.startswith(("<!", "<?"), start):
+            end = page.find(">", start) + 1 if last[">"] > start else 0
+        else:
+            m = _name.match(page, start + 1)
+            end = _tag_end(page, m.end(), last) if m and last[">"] > start else 0
+            end = 0 if end and page[end - 1] != ">" else end
+        if not end:  # a bare <
+            at = start + 1
+            continue
+        yield from text(page[begun:start])
+        at = begun = end
+        if page[start + 1] in "!?":
             continue
-        name = m[2].lower()
-        if name in _raw and not m[1]:
-            if name in unclosed or (name in FOREIGN and m[3].endswith("/") and not _open_value.search(m[3])):
+        closing = page[start + 1] == "/"
+        name = m[0].strip("/").lower()
+        attributes = page[m.end() : end - 1]
+        if name in _raw and not closing:
+            if name in unclosed or (name in FOREIGN and attributes.endswith("/") and not _open_value.search(attributes)):
                 continue
-            end = _raw_end[name].search(page, at)
-            if end:
-                at = end.end()
+            found = _raw_end[name].search(page, at)
+            if found:
+                at = begun = found.end()
             elif name in ENDLESS:
-                at = len(page)
+                at = begun = len(page)
             else:
                 unclosed.add(name)
             continue
-        label, skip = stack[-1].label, stack[-1].skip
-        if m[1]:
-            mark = name
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
-            if depth:
-                mark = stack[depth].mark
+        top, skip = stack[-1], stack[-1].skip
+        if closing:
+            if places[name]:
+                depth = places[name][-1]
                 # An end tag closes what is open inside; one of a phrase closes no block.
-                if name in _blocks or not any(x.name in _blocks for x in stack[depth:]):
+                if name in _blocks or top.blocks == stack[depth - 1].blocks:
                     skip = stack[depth].skip
-                    del stack[depth:]
-            label, feature = stack[-1].label, f"/{mark}"
+                    close(depth)
+            label = stack[-1].label
         else:
-            mark, never = _mark(name, m[3], stack[-1].label)
+            names = _names(attributes)
             if name in _blocks:  # a new block ends an open paragraph
-                p = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name in _blocks), 0)
-                if p and stack[p].name in ("p", "li") and (name == stack[p].name or stack[p].name == "p"):
-                    del stack[p:]
-            label, skip = stack[-1].label, stack[-1].skip or never
-            if name not in _void and not m[3].endswith("/"):
-                stack.append(_Open(name, mark, label or name in LABELS, skip))
-            feature = mark
-        if name not in LABELS:
-            yield Token(feature, breaks=name in _blocks, space=name == "br", label=label, skip=skip)
-        else:
-            yield Token("", breaks=True, label=label, skip=skip)
-
-
-@dataclass
-class Weights:
-    """Log odds by feature; names without class where the class was not seen."""
-
-    known: dict[str, float] = field(default_factory=dict)
-
-    def of(self, token: Token) -> float:
-        if not token.feature:
-            return 0.0
-        weight = self.known.get(token.feature)
-        if weight is None:
-            weight = self.known.get(token.feature.split(".")[0])
-        if weight is None:
-            weight = WORD_WEIGHT if token.words or token.text else TAG_WEIGHT
-        return weight * (token.words if token.text else 1)
+                nearest = stack[top.block]
+                if nearest.name == "p" or nearest.name == name == "li":
+                    close(top.block)
+            top = stack[-1]
+            label, skip = top.label, top.skip or _is_never(name, names, top.label, weights)
+            if name not in _void and not attributes.endswith("/"):
+                block = name in _blocks
+                places[name].append(len(stack))
+                inside = label or name in LABELS
+                words = (f"word {name}", *(("word in article",) if inside else ())) if block else top.words
+                parts = tuple(p for _, own in names for p in _parts(own)) if name in _containers and names else top.parts
+                stack.append(
+                    _Open(name, len(stack) if block else top.block, top.blocks + block, inside, skip, words, parts)
+                )
+        if (features := known.get((name, label))) is None:
+            features = () if name in LABELS else (f"tag {name}", *(("tag in article",) if label else ()))
+            known[name, label] = features
+        yield Token(features, breaks=name in _blocks, space=name == "br", label=label, skip=skip)
+    yield from text(page[begun:])
 
 
 def best_region(page_tokens: list[Token], weights: Weights) -> tuple[int, int]:
@@ -182,7 +266,7 @@ def best_region(page_tokens: list[Token], weights: Weights) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, white space turned into single spaces, joined by \\n."""
-    found = list(tokens(page))
+    found = list(tokens(page, weights))
     start, end = best_region(found, weights)
     blocks, block = [], []
     for token in found[start:end]:
@@ -204,7 +288,7 @@ def count_features(pages: list[str | None]) -> dict[str, list[int]]:
         own: Counter = Counter()
         for token in tokens(page):
             inside = token.label and not token.skip
-            for feature in {token.feature, token.feature.split(".")[0]} - {""}:
+            for feature in (*token.features, *(f"part {p}" for p in token.parts)):
                 own[feature, inside] += token.words if token.text else 1
         if any(inside for _, inside in own):
             for (feature, inside), n in own.items():
@@ -213,11 +297,9 @@ def count_features(pages: list[str | None]) -> dict[str, list[int]]:
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES, most_features: int = 20_000) -> Weights:
-    """Weights from about `sample_pages` pages that label their article themselves
-    (an <article> or <main> element), chosen by hash; the `most_features` most frequent."""
-    number, share = pages.count(), 1 << 20
-    least = share if number <= sample_pages else max(1, share * sample_pages // number)
-    chosen = pages.select(F.col(html_col).alias("html")).filter(F.pmod(F.xxhash64("html"), F.lit(share)) < least)
+    """Weights from `sample_pages` distinct pages, chosen by hash, as far as they label their
+    article themselves (an <article> or <main> element); the `most_features` most frequent."""
+    chosen = sample_texts(pages, html_col, sample_pages)
 
     def count(batches):
         for batch in batches:

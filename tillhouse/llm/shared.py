@@ -62,3 +62,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sample_texts(df: DataFrame, text_col: str, number: int) -> DataFrame:
+    """(text): the `number` distinct texts with the least hashes, all where there are no
+    more; nulls are none. However many copies a text has, it counts once, so the sample
+    is neither lost among copies nor longer than its bound."""
+    place = F.shiftrightunsigned(F.xxhash64(text_col), 1)
+    rows = df.filter(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), place.alias("place"))
+    known = stored(rows.select("place").distinct(), "sampled-texts")
+    size, enough = known.count(), number + 10 * int(number**0.5) + 10
+    if size > number:
+        # Surely enough of the least, then the last of those wanted.
+        near = known.filter(F.col("place") <= (((1 << 63) - 1) * enough // size if size > enough else (1 << 63) - 1))
+        last = near.orderBy("place").limit(number).agg(F.max("place")).first()[0]
+        rows = rows.filter(F.col("place") <= last)
+    return rows.groupBy("place").agg(F.min("text").alias("text")).select("text")
