@@ -73,3 +73,82 @@ def test_copies_and_rows_without_letters_take_no_place_in_the_sample(spark):
     assert len(set(found)) == len(found) and set(found) <= set(rows)
     number = {lang: sum(r[0] == lang for r in found) for lang in ("aa", "bb", "cc")}
     assert number == {"aa": 41, "bb": 100, "cc": 0}
+
+
+def grams(text):
+    """Hashed bigrams and trigrams of a text, counted one by one."""
+    kept = bytearray(b" ")
+    for b in text.lower().encode("utf-8", "surrogatepass") + b" ":
+        b = b if 97 <= b <= 122 or b >= 128 else 32
+        if b != 32 or kept[-1] != 32:
+            kept.append(b)
+    found = np.zeros(language.SIZE)
+    for k in range(len(kept) - 1):
+        found[((kept[k] << 8 | kept[k + 1] | 1 << 24) * 2654435761 & 0xFFFFFFFF) >> 20] += 1
+        if k + 2 < len(kept):
+            found[((kept[k] << 16 | kept[k + 1] << 8 | kept[k + 2]) * 2654435761 & 0xFFFFFFFF) >> 20] += 1
+    return found
+
+
+def by_hand(rows):
+    """Prediction and score of every row, TF-IDF, centroids and cosines worked out plainly."""
+    texts = {}
+    for r in rows:
+        crc = zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode())
+        if crc % 3 != 1 and r["lang"] is not None and any(c.isalpha() for c in r["text"] or ""):
+            texts.setdefault(r["lang"], set()).add(r["text"])
+    counted = {lang: [grams(t) for t in own] for lang, own in texts.items()}
+    every = [v for own in counted.values() for v in own]
+    df = np.sum([v > 0 for v in every], axis=0)
+    idf = np.log((1 + len(every)) / (1 + df)) + 1
+
+    def unit(v):
+        v = np.log1p(v) * idf
+        return v / np.linalg.norm(v)
+
+    centroids = []
+    for lang, own in counted.items():
+        own = sorted(own, key=lambda v: v.astype("<f4").tobytes())
+        points = np.stack([unit(v) for v in own])
+        chosen = [0]
+        while len(chosen) < min(language.CLUSTERS, len(points)):
+            near = [max(p @ points[c] for c in chosen) for p in points]
+            if min(near) > 1 - 1e-6:
+                break
+            chosen.append(int(np.argmin(near)))
+        means = points[chosen]
+        for _ in range(language.ROUNDS):
+            member = [int(np.argmax([p @ m for m in means])) for p in points]
+            for k in range(len(means)):
+                total = sum((p for p, m in zip(points, member, strict=True) if m == k), np.zeros(language.SIZE))
+                if np.linalg.norm(total) > 0:
+                    means[k] = total / np.linalg.norm(total)
+        centroids += [(lang, m) for m in means]
+    found = []
+    for r in rows:
+        if not any(c.isalpha() for c in r["text"] or ""):
+            found.append((r["doc_id"], "und", 0.0))
+            continue
+        v = unit(grams(r["text"]))
+        score, lang = max(((float(v @ m), lang) for lang, m in centroids), key=lambda x: x[0])
+        found.append((r["doc_id"], lang, min(max(score, 0.0), 1.0)))
+    return found
+
+
+def test_predictions_equal_those_worked_out_by_hand(spark, messy, rows):
+    found = sorted(((r["doc_id"], r["lang_pred"], r["score"]) for r in queries()[NAME](spark, messy).collect()), key=str)
+    expected = sorted(by_hand(rows), key=str)
+    assert [r[0] for r in found] == [r[0] for r in expected]
+    left = list(expected)
+    for doc_id, lang, score in found:
+        match = next((e for e in left if e[0] == doc_id and e[1] == lang and abs(e[2] - score) < 1e-3), None)
+        assert match, (doc_id, lang, score)
+        left.remove(match)
+
+
+def test_only_letters_make_a_language(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.fit(docs.filter(~language.held_out()))
+    texts = ["\u00b2 \u00bd", "\u2167 \u2460 123", "_ _", "\U0001f600!", "a", "\u00aa", "\u02b0", "\u4e00"]
+    got = language.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()
+    assert [r.lang_pred == "und" for r in sorted(got)] == [True] * 4 + [False] * 4
