@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,34 @@ def test_secrets_that_a_base_match_covers_in_part_are_found_whole(spark):
     assert found == ["see [secret] here", "see [secret] here", "[secret] here"]
     report = secrets.secret_report(df.selectExpr("1 as doc_id", "text"), always)
     assert [r["n_markov"] for r in report.collect()] == [1, 1, 0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000, 70_000])
+def test_running_sums(spark, n):
+    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).alias("x") if n else F.array().cast("array<int>").alias("x"))
+    found = df.select(secrets._running_sums(F.transform("x", lambda v: (v % 7).cast("int"))).alias("s")).first()["s"]
+    total, expected = 0, []
+    for k in range(1, n + 1):
+        total += k % 7
+        expected.append(total)
+    assert found == expected
+
+
+def test_a_text_with_many_matches_takes_seconds(spark):
+    """Thirty thousand matches in one text of 1.2 MB."""
+    text = "".join(f"x {k:032x} é " for k in range(30_000)) + "token: abcdefgh12"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    r = secrets.secret_report(df, secrets.MarkovModels((0.0,) * 67 * 67)).first()
+    took = time.time() - start
+    spans = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{32,}", text)]
+    assert r["n_hex"] == len(spans) == 30_000 and r["n_assign"] == 1
+    want = ",".join(f"hex:{a}:{b}" for a, b in spans) + f",assign:{text.index('token')}:{len(text)}"
+    assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    assert took < 60
+
+
+def test_a_table_of_copies_keeps_its_samples(spark):
+    rows = [("the password: hunter2hunter2 of everybody here",)] * 3000 + [(f"ordinaryword{k} and another",) for k in range(30)]
+    found = secrets.labelled_samples(spark.createDataFrame(rows, "text string"), sample_docs=31).collect()
+    assert sum(r["secret"] for r in found) == 1 and sum(r["token"].startswith("ordinaryword") for r in found) == 30

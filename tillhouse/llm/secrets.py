@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.shared import let, text_or_empty
+from tillhouse.llm.shared import let, sample_texts, text_or_empty
 
 # Fixed patterns and least lengths.
 ASSIGN = (
@@ -36,35 +36,51 @@ THRESHOLD = 20.0
 MARK = "[secret]"
 
 
+#: Numbers that are added up in one go; bounds what appending to an array costs.
+_BLOCK = 256
+
+
+def _running_sums(numbers: Column) -> Column:
+    """Sums of the first 1, 2, … of an array of ints, in blocks: work in proportion to
+    the length, but for a small part."""
+    none = F.array().cast("array<int>")
+
+    def sums(block: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("all"))
+        return F.aggregate(
+            block,
+            start,
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"] + n)).alias("all")),
+        )
+
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(numbers), F.lit(1)) - 1) / _BLOCK).cast("int")),
+        lambda k: sums(F.slice(numbers, k * _BLOCK + 1, _BLOCK)),
+    )
+
+    def joined(blocks: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), sums(F.transform(blocks, lambda b: b["at"]))["all"])
+        offset = F.zip_with(F.slice(before, 1, F.size(blocks)), blocks, lambda o, b: F.struct(o.alias("o"), b.alias("b")))
+        return F.flatten(F.transform(offset, lambda x: F.transform(x["b"]["all"], lambda n: n + x["o"])))
+
+    return F.when(F.size(numbers) == 0, none).otherwise(let(blocks, joined))
+
+
 def _placed(text: Column, pattern: str, order: int, ok: Column | None = None) -> Column:
     """Spans (start, order, end) of the matches, in code points; `ok`: which matches stay."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     none = F.array().cast("array<struct<start:int,order:int,end:int>>")
 
     def place(matches: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        widths = F.zip_with(
-            F.slice(gaps, 1, F.size(matches)),
-            matches,
-            lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("n")),
-        )
-        spans = F.aggregate(
-            widths,
-            F.struct(F.lit(0).alias("at"), none.alias("spans")),
-            lambda acc, w: F.struct(
-                (acc["at"] + w["gap"] + w["n"]).alias("at"),
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + w["gap"]).alias("start"),
-                            F.lit(order).alias("order"),
-                            (acc["at"] + w["gap"] + w["n"]).alias("end"),
-                        )
-                    ),
-                ).alias("spans"),
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+        lengths = F.transform(matches, lambda m: F.length(m))
+        steps = F.zip_with(gaps, lengths, lambda gap, n: F.length(gap) + n)
+        spans = let(
+            _running_sums(steps),
+            lambda ends: F.zip_with(
+                ends, lengths, lambda end, n: F.struct((end - n).alias("start"), F.lit(order).alias("order"), end.alias("end"))
             ),
-        )["spans"]
+        )
         if ok is not None:
             spans = F.filter(F.zip_with(spans, ok, lambda s, o: F.when(o, s)), lambda s: s.isNotNull())
         return F.when(F.size(matches) == 0, none).otherwise(spans)
@@ -128,13 +144,9 @@ def train(samples: DataFrame, token_col: str = "token", secret_col: str = "secre
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(token, secret) from about `sample_docs` documents: what the fixed patterns
-    find is a secret, any other word of eight or more characters is ordinary."""
-    total = docs.count()
-    share = 1 << 20
-    least = share if total <= sample_docs else max(1, share * sample_docs // total)
-    text = text_or_empty(text_col)
-    chosen = docs.select(text.alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(share)) < least)
+    """(token, secret) from `sample_docs` distinct texts, chosen by hash: what the fixed
+    patterns find is a secret, any other word of eight or more characters is ordinary."""
+    chosen = sample_texts(docs, text_col, sample_docs)
     blank = reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.col("text"))
     secret = F.concat(
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_VALUE),
