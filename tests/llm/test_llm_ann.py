@@ -74,6 +74,22 @@ def test_several_shards_and_blocks(spark, monkeypatch):
     assert compare(found, exact(table)) >= 0.95
 
 
+@pytest.mark.parametrize("lengths", ["one long", "log-normal", "two sizes"])
+def test_uneven_lengths(spark, lengths):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3000, 32))
+    if lengths == "one long":
+        vectors[7] *= 10_000
+    elif lengths == "log-normal":
+        vectors *= rng.lognormal(0, 2, size=(3000, 1))
+    else:
+        vectors[::2] *= 1e-6
+    table = list(enumerate(vectors))
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in table], "vec_id long, embedding array<double>")
+    found = ann.search(ann.build_index(df, 20), df.filter("vec_id % 20 = 0"), 20).toPandas()
+    assert compare(found, exact(table)) >= 0.95
+
+
 def test_empty_table(spark, empty):
     assert queries()[NAME](spark, empty).count() == 0
 

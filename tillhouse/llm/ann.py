@@ -1,11 +1,12 @@
 """Nearest neighbours by largest inner product, from a navigable small-world graph per shard.
 
-Equal vectors are one point that carries its smallest ids. Points are dealt by hash
-into shards; each shard is a hierarchical graph, stored as one row of flat arrays.
+Equal vectors are one point that carries its smallest ids. Points are dealt by length, to
+the next power of two, and by hash into shards; each shard is a hierarchical graph, stored as one row of flat arrays.
 Queries go in blocks to every shard, and the shards' best are merged by query.
 
 For graphs, inner product becomes an angle: each point gets one more coordinate that
-brings all of a shard to one length, and queries get a zero there. Scores are inner
+brings all of a shard to one length, and queries get a zero there. As no vector of a shard
+is more than twice as long as another, that coordinate does not drown the others. Scores are inner
 products of the original vectors in double precision.
 """
 
@@ -213,15 +214,23 @@ def build_index(
     """One row per shard, for searches of up to k neighbours.
 
     A vector that several rows share keeps its k + 1 smallest ids: a search for k needs
-    no more of them. Vectors of different lengths are in different shards.
+    no more of them. Vectors with different numbers of components, and those of very
+    different length, are in different shards.
     """
     rows = _vectors(table, id_col, vector_col).distinct()
     nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     points = rows.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
     points = points.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     points = stored(points.withColumn("dim", F.size("v")), "points")
-    shards = max(1, -(-points.count() // options.shard_points))
-    shard = F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")
+    # Octaves of the length, with a border away from one, where many tables have theirs.
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
+    points = points.withColumn("band", F.floor(F.log2(most) + F.log2(square) / 2 + 0.5).cast("int"))
+    bands = points.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / options.shard_points).cast("int").alias("shards"))
+    in_line = Window.partitionBy("dim").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("first_shard", F.coalesce(F.sum("shards").over(in_line), F.lit(0)).cast("int"))
+    points = points.join(bands, ["dim", "band"])
+    shard = F.col("first_shard") + F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(first=[ids[0] for ids in pdf["ids"]]).sort_values("first")
@@ -242,7 +251,8 @@ def build_index(
         }
         return pd.DataFrame([row])
 
-    return points.withColumn("shard", shard).groupBy("dim", "shard").applyInPandas(make, INDEX)
+    points = points.withColumn("shard", shard).select("dim", "shard", "v", "ids")
+    return points.groupBy("dim", "shard").applyInPandas(make, INDEX)
 
 
 def _open(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
