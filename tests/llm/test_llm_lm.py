@@ -35,12 +35,12 @@ def by_hand(texts, order):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_of_messy_documents(spark, messy, rows, order, monkeypatch):
+@pytest.mark.parametrize("order, scores", [(1, lm.lm_scores), (2, lm.lm_scores), (3, lm.lm_scores), (3, lm.relational_scores)])
+def test_scores_of_messy_documents(spark, messy, rows, order, scores, monkeypatch):
     monkeypatch.setattr(lm, "BATCH_BYTES", 50_000)
     monkeypatch.setattr(lm, "SLICE_WORDS", 5_000)
     docs = spark.read.parquet(f"{messy}/documents.parquet")
-    got = sorted(((r["doc_id"], r["n_words"], r["n_backed_off"], r["log_score"], r["mean_log_score"]) for r in lm.lm_scores(docs, order=order).collect()), key=str)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_backed_off"], r["log_score"], r["mean_log_score"]) for r in scores(docs, order=order).collect()), key=str)
     hand = by_hand([r["text"] for r in rows], order)
     expected = sorted(((r["doc_id"], *h, h[2] / h[0] if h[0] else None) for r, h in zip(rows, hand, strict=True)), key=str)
     assert len(got) == len(expected)
@@ -71,3 +71,9 @@ def test_integers_survive_packing():
         assert lm._unpacked(lm._packed(values), kind).tolist() == values.tolist()
     hashes = lm.np.array([3, 2**63, 2**64 - 1], dtype="<u8")
     assert lm.np.cumsum(lm._steps(hashes), dtype=lm.np.uint64).tolist() == hashes.tolist()
+
+
+@pytest.mark.parametrize("scores", [lm.lm_scores, lm.relational_scores])
+def test_a_table_without_words(spark, scores):
+    df = spark.createDataFrame([(1, None), (2, ""), (2, " ")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in scores(df).collect()) == [(1, 0, 0, 0.0, None), (2, 0, 0, 0.0, None), (2, 0, 0, 0.0, None)]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.llm.shared import WORD, text_or_empty
+from tillhouse.llm.shared import WORD, stored, text_or_empty
 
 ORDER = 3
 BACKOFF = 0.4
@@ -126,7 +126,7 @@ def score(words: np.ndarray, lengths: np.ndarray, totals: list[dict], corpus_wor
         result, below = value, left
     full = np.minimum(np.arange(len(words)) - (np.cumsum(lengths) - lengths)[text] + 1, len(totals))
     return {
-        "log_score": np.bincount(text, result, minlength=len(lengths)),
+        "log_score": np.bincount(text, result, minlength=len(lengths)).astype(float),  # whole numbers without any word
         "n_backed_off": np.bincount(text, used < full, minlength=len(lengths)).astype(np.int64),
     }
 
@@ -208,3 +208,51 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     asked = keyed.groupBy("batch").applyInArrow(ask, ASKED)
     answers = asked.groupBy("slice", "n").applyInArrow(answer, ANSWER)
     return keyed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, schema)
+
+
+def relational_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """The same rows as `lm_scores`, by joins alone: n-grams exploded, once per document
+    with how often it has them; a count table by hash; both joined, where adaptive planning
+    splits the most frequent n-grams; and summed per document.
+
+    Each n-gram of each document is a row of three exchanges, which is why the query
+    takes the other form; see the README for what this one needs.
+    """
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.cast("binary").alias("data"))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+    def explode(parts):
+        for part in parts:
+            for row, data in zip(part.column("row").to_pylist(), part.column("data").to_pylist(), strict=True):
+                words, lengths = _words([data])
+                for n in range(1, order + 1):
+                    h, there = _ngrams(words, lengths, n)
+                    hashes, own = np.unique(h[there], return_counts=True)
+                    columns = [pa.repeat(pa.scalar(row), len(hashes)), pa.repeat(pa.scalar(n, pa.int32()), len(hashes))]
+                    columns += [pa.array(hashes.view(np.int64)), pa.array(own)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["row", "n", "hash", "own"])
+
+    grams = rows.select("row", "data").mapInArrow(explode, "row long, n int, hash long, own long")
+    counts = grams.groupBy("n", "hash").agg(F.sum("own").alias("total"))
+    known = grams.join(counts, ["n", "hash"]).select("row", "n", "hash", "total")
+    corpus_words = int(docs.agg(F.sum(F.regexp_count(text, F.lit(WORD)).cast("long"))).first()[0] or 0)
+    schema = T.StructType(
+        [rows.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_backed_off", T.LongType()),
+         T.StructField("log_score", T.DoubleType()), T.StructField("mean_log_score", T.DoubleType())]
+    )
+
+    def sum_up(own: pa.Table, given: pa.Table) -> pa.Table:
+        words, lengths = _words(own.column("data").to_pylist())
+        of, hashes = given.column("n").to_numpy(), given.column("hash").to_numpy().view(np.uint64)
+        totals = []
+        for n in range(1, order + 1):
+            at = np.flatnonzero(of == n)
+            at = at[np.argsort(hashes[at])]
+            totals.append({"hashes": hashes[at], "counts": given.column("total").to_numpy()[at].astype(float)})
+        found = score(words, lengths, totals, corpus_words)
+        mean = pa.array(found["log_score"] / np.maximum(lengths, 1), mask=lengths == 0)
+        columns = [own.column("doc_id"), pa.array(lengths), pa.array(found["n_backed_off"]), pa.array(found["log_score"]), mean]
+        return pa.Table.from_arrays(columns, names=schema.fieldNames())
+
+    return rows.groupBy("row").cogroup(known.groupBy("row")).applyInArrow(sum_up, schema)
