@@ -668,6 +668,19 @@ STATEMENTS = {
         SELECT error, COUNT(*) AS forms FROM (SELECT unnest(errors) AS error FROM v_checked) GROUP BY 1""",
     "duplicate_part_names": """
         SELECT p_name, p_brand, COUNT(*) AS copies FROM part GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "uniqueness_report": " UNION ALL ".join(
+        f"SELECT 'Unique {table}({keys})' AS check_name, CASE WHEN COUNT(*) > 0 THEN 'FAILED' ELSE 'PASSED' END AS status, "
+        f"CAST(COUNT(*) AS VARCHAR) || ' repeated keys.' AS details FROM (SELECT 1 FROM {view} GROUP BY {keys} HAVING COUNT(*) > 1)"
+        for table, keys, view in [
+            ("branches", "name", "v_branches"),
+            ("products", "name", "v_products"),
+            ("inventory", "store_id, product_id", "v_shelf"),
+            ("inventory_current", "branch_id, product_id", "v_stock"),
+            ("raw events", "transaction_id", "v_pos"),
+            ("staged events", "transaction_id", "(SELECT DISTINCT transaction_id FROM v_pos)"),
+            ("order lines", "l_orderkey, l_linenumber", "lineitem"),
+        ]
+    ),
     "json_array_load": """
         WITH e AS (
             SELECT p_partkey, 0 AS pos, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS name, p_type, p_retailprice, p_size FROM part

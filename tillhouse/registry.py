@@ -791,6 +791,24 @@ def duplicate_part_names(t):
     return duplicate_keys(t.raw("part"), ["p_name", "p_brand"])
 
 
+@whole
+def uniqueness_report(t):
+    """The uniqueness constraints of the operational tables, one row each."""
+    kept = [
+        checks.uniqueness(t.branches, ["name"], "branches"),
+        checks.uniqueness(t.products, ["name"], "products"),
+        checks.uniqueness(t.inventory, ["store_id", "product_id"], "inventory"),
+        checks.uniqueness(t.inventory_current, ["branch_id", "product_id"], "inventory_current"),
+        checks.uniqueness(t.pos_events, ["transaction_id"], "raw events"),
+        checks.uniqueness(t.staged, ["transaction_id"], "staged events"),
+        checks.uniqueness(t.raw("lineitem"), ["l_orderkey", "l_linenumber"], "order lines"),
+    ]
+    report = kept[0]
+    for more in kept[1:]:
+        report = report.unionByName(more)
+    return report
+
+
 @whole
 def validate_rows(t):
     return validate(t.sign_ups, user_rules()).select("id", "errors")
