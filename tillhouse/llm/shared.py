@@ -50,6 +50,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     application = spark.sparkContext.applicationId
     if application not in _own_folders:
         _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
