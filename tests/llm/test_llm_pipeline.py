@@ -42,7 +42,7 @@ def test_empty_table(spark, empty):
 
 def test_registered():
     names = set(entry.queries())
-    assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= names
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
