@@ -1,4 +1,6 @@
+import itertools
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -73,3 +75,32 @@ def test_ids_come_along(spark, messy):
     docs = spark.read.parquet(f"{messy}/documents.parquet")
     for r in packing.pack(docs, with_ids=True).limit(20).collect():
         assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+
+
+class FourIds:
+    """In place of a tokenizer."""
+
+    ids = [1, 2, 3, 4]
+
+    def encode_batch_fast(self, words, add_special_tokens):
+        return [self] * len(words)
+
+
+def remembered_mb():
+    held = [packing._recent, packing._older]
+    return sum(map(sys.getsizeof, held + [x for d in held for x in itertools.chain(d, d.values())])) / 1e6
+
+
+def test_remembered_words_leave_room_for_other_operators(monkeypatch):
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: FourIds())
+    texts = (" ".join(f"w{k:x}" for k in range(lo, lo + 25_000)) for lo in range(0, 1_500_000, 25_000))
+    assert sum(len(x) for x in packing.encode(texts, "four")) == 1_500_000 * 16 + 60 * 4
+    assert len(packing._recent) + len(packing._older) > 300_000
+    assert remembered_mb() < 125
+
+
+def test_long_words_are_not_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: FourIds())
+    texts = [f"{k:010000} short {k:010000}" for k in range(500)] * 2
+    assert list(packing.encode(texts, "long")) == [np.array([1, 2, 3, 4] * 3 + [0], dtype="<u4").tobytes()] * 1000
+    assert remembered_mb() < 0.1

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from tillhouse.llm import similar
@@ -120,3 +122,22 @@ def test_pairs_just_similar_enough_and_repeated_sentences_are_found(spark):
     expected = {k: k - k % 2 for k in found}
     assert all(expected[found[k]] == expected[k] for k in found)  # no wrong documents
     assert sum(found[k] != expected[k] for k in found) <= 1
+
+
+def test_few_rows_of_a_batch_are_python_objects_at_once(monkeypatch):
+    texts = [None, "", *(f"word{k} " * (k % 40) + "and some more words of a text" for k in range(700))]
+    sets = [similar.shingles(t) for t in texts]
+    assert similar._segments.func(pa.array(texts)).to_pylist() == [similar.segments(t) for t in texts]
+    assert similar._shingles.func(pa.array(texts)).to_pylist() == sets
+    found = similar._jaccard.func(pa.array(sets), pa.array(sets[1:] + sets[:1])).to_pylist()
+    assert found == [similar.jaccard(a, b) for a, b in zip(sets, sets[1:] + sets[:1], strict=True)]
+    assert similar._segments.func(pa.array([], pa.string())).to_pylist() == []
+
+    long = pa.array([f"{k:05000}" for k in range(8000)])
+    monkeypatch.setattr(similar, "segments", lambda text: [len(text)])
+    tracemalloc.start()
+    try:
+        assert similar._segments.func(long).to_pylist() == [[5000]] * 8000
+        assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    finally:
+        tracemalloc.stop()

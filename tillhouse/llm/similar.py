@@ -17,10 +17,10 @@ afterwards, so nothing is left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -44,7 +44,9 @@ HALF = WIDTH // 2
 #: (116 if three-word shingles differ as much as those of five), unrelated ones about 384.
 FAR = 230
 CROWD = 8
-AT_ONCE = 1 << 15  # fewer than an unsigned 16-bit sum can hold
+AT_ONCE = 1 << 13  # fewer than an unsigned 16-bit sum can hold
+#: Rows of a batch that a worker turns into Python objects together.
+SLICE = 256
 #: Segments that a group of those dealt by their halves has, about.
 GROUP = 1 << 15
 
@@ -98,19 +100,28 @@ def jaccard(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _segments(texts: pd.Series) -> pd.Series:
-    return pd.Series([segments(t) for t in texts])
+def _by_slices(columns: list[pa.Array], of_row: Callable, kind: pa.DataType) -> pa.Array:
+    """`of_row` of each row; only SLICE rows at a time are Python objects, a worker's batch may have many MB."""
+    done = []
+    for lo in range(0, len(columns[0]), SLICE):
+        part = [c[lo : lo + SLICE].to_pylist() for c in columns]
+        done.append(pa.array([of_row(*row) for row in zip(*part, strict=True)], kind))
+    return pa.concat_arrays(done) if done else pa.array([], kind)
 
 
-@F.pandas_udf(T.BinaryType())
-def _shingles(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingles(t) for t in texts])
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _segments(texts: pa.Array) -> pa.Array:
+    return _by_slices([texts], segments, pa.list_(pa.int32()))
 
 
-@F.pandas_udf(T.DoubleType())
-def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaccard(x, y) for x, y in zip(a, b, strict=True)])
+@F.arrow_udf(T.BinaryType())
+def _shingles(texts: pa.Array) -> pa.Array:
+    return _by_slices([texts], shingles, pa.binary())
+
+
+@F.arrow_udf(T.DoubleType())
+def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+    return _by_slices([a, b], jaccard, pa.float64())
 
 
 def _halves(fp: Column) -> Column:
