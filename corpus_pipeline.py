@@ -41,7 +41,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=packing.REMEMBERED_BESIDE_OTHERS)
 
 
 STAGES = [

@@ -94,7 +94,7 @@ def remembered_mb():
 def test_remembered_words_leave_room_for_other_operators(monkeypatch):
     monkeypatch.setattr(packing, "_tokenizer", lambda path: FourIds())
     texts = (" ".join(f"w{k:x}" for k in range(lo, lo + 25_000)) for lo in range(0, 1_500_000, 25_000))
-    assert sum(len(x) for x in packing.encode(texts, "four")) == 1_500_000 * 16 + 60 * 4
+    assert sum(len(x) for x in packing.encode(texts, "four", packing.REMEMBERED_BESIDE_OTHERS)) == 1_500_000 * 16 + 60 * 4
     assert len(packing._recent) + len(packing._older) > 300_000
     assert remembered_mb() < 125
 

@@ -28,10 +28,11 @@ from tillhouse.llm.shared import stored
 
 END = 0
 LOT = 16_384
-#: Words whose ids a Python worker remembers for sure; twice as many at most, some 100 MB.
-#: An idle worker keeps them, next to those of the operators that come after. Beyond
-#: 349,525 entries a dictionary takes twice the room.
-REMEMBERED = 340_000
+#: Words whose ids a Python worker remembers for sure; twice as many at most.
+REMEMBERED = 700_000
+#: The same between other operators, as idle workers keep them: some 100 MB at most.
+#: Beyond 349,525 entries a dictionary takes twice the room.
+REMEMBERED_BESIDE_OTHERS = 340_000
 #: Bytes of the longest words that are remembered.
 LONGEST = 64
 
@@ -65,7 +66,7 @@ _recent: dict[bytes, bytes] = {}
 _older: dict[bytes, bytes] = {}
 
 
-def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
+def encode(texts: list[str | None], path: str, remembered: int | None = None) -> Iterator[bytes]:
     """Ids of each text and END, as little-endian unsigned 32-bit integers.
 
     The tokenizer never joins what white space (space, tab to carriage return) parts
@@ -97,11 +98,11 @@ def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
         for w in new:
             if len(w) > LONGEST:
                 del _recent[w]
-        if len(_recent) > REMEMBERED:
+        if len(_recent) > (remembered or REMEMBERED):
             _recent, _older = {b"": path.encode()}, _recent
 
 
-def _pieces(docs: DataFrame, id_col: str, text_col: str, path: str, most: int, with_ids: bool) -> DataFrame:
+def _pieces(docs: DataFrame, id_col: str, text_col: str, path: str, most: int, with_ids: bool, remembered: int | None) -> DataFrame:
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType(
@@ -115,7 +116,7 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, path: str, most: int, w
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 rows: list[tuple] = []
-                for k, ids in enumerate(encode(part.column(1).to_pylist(), path)):
+                for k, ids in enumerate(encode(part.column(1).to_pylist(), path, remembered)):
                     n = len(ids) // 4
                     for piece, start in enumerate(range(0, n, most)):
                         own = ids[4 * start : 4 * (start + most)]
@@ -174,6 +175,7 @@ def pack(
     capacity: Capacity = Capacity(),
     with_ids: bool = False,
     lot: int = LOT,
+    remembered: int | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids), sequence_id, offset.
 
@@ -182,7 +184,7 @@ def pack(
     sequence has are cut. Other columns are not looked at.
     """
     most = capacity.tokens
-    pieces = stored(_pieces(docs, id_col, text_col, tokenizer or default_tokenizer(), most, with_ids), "pieces")
+    pieces = stored(_pieces(docs, id_col, text_col, tokenizer or default_tokenizer(), most, with_ids, remembered), "pieces")
     lots = max(1, -(-pieces.count() // lot))
     key = F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(lots))
     schema = T.StructType(
