@@ -1,10 +1,11 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from tillhouse.llm import similar
+from tillhouse.llm import components, similar
 
 
 def sets_of(rows):
@@ -141,3 +142,54 @@ def test_few_rows_of_a_batch_are_python_objects_at_once(monkeypatch):
         assert tracemalloc.get_traced_memory()[1] < 8_000_000
     finally:
         tracemalloc.stop()
+
+
+def test_crowds_make_rows_by_their_members_not_by_their_pairs(spark, monkeypatch):
+    """Near copies of one text, half of them too far from all others to be linked."""
+    rng = random.Random(4)
+    base = [f"{rng.randrange(400)}w" for _ in range(150)]
+    texts = [" ".join(base)]
+    for k in range(400):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 3) if k % 2 else rng.randint(6, 15)):
+            words[at] = f"x{k}y{at}"
+        texts.append(" ".join(words))
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    made, real = [], similar.stored
+
+    def counted(df, name):
+        out = real(df, name)
+        if name in ("pairs", "rest", "links", "edges"):
+            made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(similar, "stored", counted)
+    monkeypatch.setattr(components, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in similar.near_copy_classes(df).collect()}
+    assert found == {r["doc_id"]: c for r, c in zip(rows, by_hand(rows), strict=True)}
+    assert 100 < len(set(found.values())) < 300
+    assert max(n for _, n in made) <= 5 * len(rows), made
+
+
+def test_prefix_pairs_lose_no_similar_sets(spark):
+    """Sets of uneven sizes around the threshold, with shingles shared by few and by most."""
+    rng = random.Random(8)
+    sets = []
+    for _ in range(6):
+        base = rng.sample(range(1 << 20), rng.randint(5, 60))
+        for _ in range(15):
+            kept = [x for x in base if rng.random() < rng.choice([0.8, 0.95, 1])]
+            sets.append(sorted({*kept, *rng.sample(range(1 << 20), rng.randint(0, 6))}))
+    sets = [np.array(x, dtype="<u4").tobytes() for x in sets]
+    roots = [rng.randrange(40) for _ in sets]
+    members = spark.createDataFrame(list(zip(range(len(sets)), roots, sets)), "node long, root long, set binary")
+    found = {(r["u"], r["v"]) for r in similar._prefix_pairs(members).collect()}
+    similar_ones = {
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if roots[a] != roots[b] and similar.jaccard(sets[a], sets[b]) >= similar.SIMILARITY
+    }
+    assert similar_ones <= found and len(similar_ones) > 40
+    assert all(roots[a] != roots[b] for a, b in found)

@@ -9,10 +9,13 @@ are made where they arrive. Pairs whose whole fingerprints are too far apart go,
 shingles of the others decide. Fingerprints count distinct shingles, as these sets do: a
 sentence weighs the same however often it occurs.
 
-Where more than CROWD fingerprints share a variant, each is compared with the least and
-the greatest of them instead of all pairs, so that links grow with the fingerprints and
-not with their square; what these links do not connect is compared pair by pair
-afterwards, so nothing is left out.
+Sets of sizes too far apart cannot be similar; a variant's fingerprints are parted where
+their sizes have such a gap. Each fingerprint is compared first with one partner, the one
+that shares most of all that share a variant with it, and what this connects is a class
+from then on. Only members of different classes are compared further: pair by pair where a
+variant has CROWD fingerprints at most, and where it has more, those whose sets can still
+overlap enough by their rarest common shingle (prefix filter). Both are exact, and neither
+grows with the square of a crowd whose members resemble one text, or nothing.
 """
 
 from __future__ import annotations
@@ -47,6 +50,10 @@ CROWD = 8
 AT_ONCE = 1 << 13  # fewer than an unsigned 16-bit sum can hold
 #: Rows of a batch that a worker turns into Python objects together.
 SLICE = 256
+#: Classes of set sizes: so many for a factor of e.
+SIZE_CLASSES = 16
+#: What sums of fractions may be off.
+EPSILON = 1e-6
 #: Segments that a group of those dealt by their halves has, about.
 GROUP = 1 << 15
 
@@ -119,6 +126,16 @@ def _shingles(texts: pa.Array) -> pa.Array:
     return _by_slices([texts], shingles, pa.binary())
 
 
+@F.arrow_udf(T.IntegerType())
+def _size(texts: pa.Array) -> pa.Array:
+    return _by_slices([texts], lambda text: len(shingles(text)) // 4, pa.int32())
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _numbers(sets: pa.Array) -> pa.Array:
+    return _by_slices([sets], lambda x: np.frombuffer(x, dtype="<i4"), pa.list_(pa.int32()))
+
+
 @F.arrow_udf(T.DoubleType())
 def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
     return _by_slices([a, b], jaccard, pa.float64())
@@ -139,8 +156,8 @@ def _halves(fp: Column) -> Column:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Variants that several nodes have: each with its nodes, their number, least and greatest."""
-    key, rest, node = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "rest", "node"))
+    """Variants that several nodes have, parted where their sizes have a gap: each part with its nodes and their number."""
+    key, rest, node, size = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "rest", "node", "size"))
     found = []
     for b in range(HALF):
         variant = (key * HALF + b) << HALF | rest & ~(1 << b)
@@ -148,25 +165,85 @@ def _shared(table: pa.Table) -> pa.Table:
         ordered = variant[order]
         same = ordered[1:] == ordered[:-1]
         order = order[np.r_[False, same] | np.r_[same, False]]
-        order = order[np.lexsort((node[order], variant[order]))]
-        values, starts, n = np.unique(variant[order], return_index=True, return_counts=True)
-        own = node[order]
-        found.append([np.repeat(values, n), own, np.repeat(n, n), np.repeat(own[starts], n), np.repeat(own[starts + n - 1], n)])
+        order = order[np.lexsort((size[order], variant[order]))]
+        values, sizes = variant[order], size[order]
+        apart = (values[1:] != values[:-1]) | (sizes[:-1] < SIMILARITY * sizes[1:] - EPSILON)
+        starts = np.flatnonzero(np.r_[np.ones(min(1, len(order)), bool), apart])
+        n = np.diff(np.r_[starts, len(order)])
+        several = np.repeat(n > 1, n)
+        # A part is named by its variant and its least size.
+        names = np.repeat(values[starts] << 24 | np.minimum(sizes[starts], (1 << 24) - 1), n)
+        found.append([names[several], node[order][several], np.repeat(n, n)[several]])
     columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)]
-    return pa.Table.from_arrays(columns, names=["variant", "node", "n", "v", "u"])
+    return pa.Table.from_arrays(columns, names=["variant", "node", "n"])
+
+
+def _partners(more: DataFrame) -> DataFrame:
+    """(u, v): for each node the one that shares most, of those that share a variant with it, if not itself."""
+    weight = more.groupBy("node").agg(F.sum("n").alias("weight"))
+    tops = more.join(weight, "node").groupBy("variant").agg(F.max(F.struct("weight", "node")).alias("top"))
+    best = more.join(tops, "variant").groupBy("node").agg(F.max("top").alias("top"))
+    return best.select(F.col("node").alias("u"), F.col("top.node").alias("v")).filter("u <> v")
 
 
-def _all_pairs(members: Column) -> Column:
+def _open_pairs(members: Column) -> Column:
+    """Pairs of different roots, unless both are in crowds."""
     return F.flatten(
         F.transform(
             members,
             lambda a: F.transform(
-                F.filter(members, lambda b: b < a), lambda b: F.struct(a.alias("u"), b.alias("v"))
+                F.filter(
+                    members, lambda b: (b.node < a.node) & (b.root != a.root) & ~(a.crowded & b.crowded)
+                ),
+                lambda b: F.struct(a.node.alias("u"), b.node.alias("v")),
             ),
         )
     )
 
 
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(F.greatest(size, F.lit(1.0))) * SIZE_CLASSES).cast("int")
+
+
+def _prefix_pairs(members: DataFrame) -> DataFrame:
+    """(u, v): pairs of different roots among `members` (node, root, set) that may be similar, all similar ones among them.
+
+    Similar sets a and b have SIMILARITY / (1 + SIMILARITY) * (|a| + |b|) shingles in common. Those
+    that occur in one root only are none of them. Of the others, rare ones first, each set has at least as
+    many left from the first common one on. So pairs are matched by a shingle, and each side offers it only
+    for the sizes that what it has left is enough for.
+    """
+    of_root = members.groupBy("root").agg(F.count(F.lit(1)).alias("many"))
+    every = members.join(of_root, "root").select(
+        "node", "root", "many", F.expr("octet_length(set) div 4").alias("size"), F.explode(_numbers("set")).alias("shingle")
+    )
+    known = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.min("root").alias("a"), F.max("root").alias("b"))
+    useful = every.join(known.filter("a <> b").select("shingle", "times"), "shingle")
+    common_first = Window.partitionBy("node").orderBy(F.desc("times"), F.desc("shingle"))
+    enough = F.row_number().over(common_first) * ((1 + SIMILARITY) / SIMILARITY) - F.col("size")
+    offers = useful.withColumn("most", F.least(enough, F.col("size") / SIMILARITY) + EPSILON)
+    offers = offers.withColumn("fewest", F.col("size") * SIMILARITY - EPSILON).filter("most >= fewest")
+    offers = offers.withColumn("own", _size_class(F.col("size").cast("double"))).withColumn(
+        "other", F.explode(F.sequence(_size_class(F.col("fewest")), _size_class(F.col("most"))))
+    )
+    offers = offers.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    key = ["shingle", "low", "high"]
+    offers = stored(offers.select(*key, "own", "other", "node", "root", "many", "size", "most"), "offers")
+    # The largest root of a key is not matched with itself.
+    tops = offers.groupBy(*key).agg(
+        F.max(F.struct("many", "root")).alias("top"), F.min("root").alias("a"), F.max("root").alias("b")
+    )
+    tops = tops.filter("a <> b").select(*key, F.col("top.root").alias("top"))
+    x = offers.join(tops, key).filter("root <> top").alias("x")
+    y = offers.join(tops, key).alias("y")
+    fits = (
+        "x.shingle = y.shingle and x.own = y.other and x.other = y.own"
+        " and x.root <> y.root and x.size <= y.most and y.size <= x.most"
+    )
+    pairs = x.join(y, F.expr(fits))
+    return pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
+
+
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Distinct pairs whose fingerprints differ in FAR bits at most."""
     of = nodes.select("node", "fp")
@@ -182,17 +259,23 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose shingles are similar enough. Only texts that occur in a pair are read for it."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, set) of the nodes `wanted`. Only their texts are read for it."""
     firsts = nodes.join(wanted, "node").select(
         "node", F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash")
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_known"))
     own = texts.join(firsts, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_known") == F.col("_hash")))
     sets = own.select("node", _shingles("_text").alias("set"))
-    sets = stored(sets.groupBy("node").agg(F.first("set").alias("set")), "shingles")
+    return stored(sets.groupBy("node").agg(F.first("set").alias("set")), "shingles")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose shingles are similar enough."""
     return (
         pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("set_u")), "u")
         .join(sets.select(F.col("node").alias("v"), F.col("set").alias("set_v")), "v")
@@ -201,35 +284,38 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     )
 
 
+def _roots(nodes: DataFrame, more: DataFrame, docs: DataFrame, id_col: str, text_col: str, crowd: int) -> DataFrame:
+    """(node, root) of nodes that are similar to another; `more` has those that share a variant."""
+    first = stored(_close(_partners(more), nodes), "pairs")
+    links = stored(_similar(first, _sets(_ends(first), nodes, docs, id_col, text_col)), "links")
+    roots = least_reachable(links)
+    # Of variants whose members are not all connected: pairs that are not.
+    named = more.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = named.groupBy("variant").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+    named = stored(named.join(open_.select("variant"), "variant"), "open-variants")
+    crowded = stored(named.filter(F.col("n") > crowd).select("node", "root").distinct(), "crowds")
+    few = named.filter(F.col("n") <= crowd).join(crowded.select("node", F.lit(True).alias("crowded")), "node", "left")
+    few = few.withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    few = few.groupBy("variant").agg(F.collect_list(F.struct("node", "root", "crowded")).alias("members"))
+    few = stored(_close(few.select(F.explode(_open_pairs(F.col("members"))).alias("p")).select("p.*"), nodes), "pairs")
+    sets = _sets(_ends(few).union(crowded.select("node")).distinct(), nodes, docs, id_col, text_col)
+    many = _prefix_pairs(crowded.join(sets, "node"))
+    more_links = stored(_similar(stored(few.unionByName(many), "pairs"), sets), "links")
+    if more_links.isEmpty():
+        return roots
+    return least_reachable(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more_links))
+
+
 def _classes(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, crowd: int) -> DataFrame:
     """(fp, first): the first row (by id, nulls last, then text hash) of its class."""
-    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "size")
     nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
     nodes = stored(nodes.withColumn("node", F.xxhash64("fp")), "fingerprints")
     groups = max(1, nodes.count() * 2 * SEGMENTS // GROUP)
-    index = nodes.select("node", F.explode(_halves(F.col("fp"))).alias("h")).select("node", "h.*")
-    index = index.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
-    more = index.groupBy("part").applyInArrow(_shared, "variant long, node long, n long, v long, u long")
-    more = stored(more, "shared-variants")
-    few = more.filter((F.col("n") > 2) & (F.col("n") <= crowd)).groupBy("variant").agg(F.collect_list("node").alias("members"))
-    crowds = more.filter((F.col("n") > 2) & (F.col("n") > crowd))
-    pairs = (
-        more.filter("n = 2 and node = u").select("u", "v")
-        .unionByName(few.select(F.explode(_all_pairs(F.col("members"))).alias("p")).select("p.*"))
-        .unionByName(crowds.select(F.col("node").alias("u"), "v").filter("u <> v"))
-        .unionByName(crowds.select("u", F.col("node").alias("v")).filter("u <> v"))
-    )
-    links = stored(_similar(_close(pairs, nodes), nodes, docs, id_col, text_col), "links")
-    roots = least_reachable(links)
-    # In crowds: pairs that are not connected so far.
-    named = crowds.select("variant", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = named.groupBy("variant").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    named = named.join(open_.select("variant"), "variant")
-    other = named.select("variant", F.col("node").alias("v"), F.col("root").alias("other"))
-    rest = named.withColumnRenamed("node", "u").join(other, "variant").filter("u > v and root <> other").select("u", "v")
-    rest = stored(_close(rest, nodes), "rest")
-    if not rest.isEmpty():
-        roots = least_reachable(links.unionByName(_similar(rest, nodes, docs, id_col, text_col)))
+    index = nodes.select("node", F.col("first.size").alias("size"), F.explode(_halves(F.col("fp"))).alias("h"))
+    index = index.select("node", "size", "h.*").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
+    more = index.groupBy("part").applyInArrow(_shared, "variant long, node long, n long")
+    roots = _roots(nodes, stored(more, "shared-variants"), docs, id_col, text_col, crowd)
     of = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = of.groupBy("root").agg(F.min("first").alias("first"))
     return of.select("fp", "root").join(firsts, "root").select("fp", "first")
@@ -237,7 +323,9 @@ def _classes(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, cro
 
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
-    prints = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _segments(text).alias("fp"))
+    prints = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _segments(text).alias("fp"), _size(text).alias("size")
+    )
     return stored(prints, "prints")
 
 
